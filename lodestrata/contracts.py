@@ -38,8 +38,8 @@ BUSINESS_KEYS = {
 
 # A column has the same type wherever it appears; a column not listed is a string.
 COLUMN_TYPES = {
-    "int": ("ano", "ranking_taxa"),
-    "bigint": (
+    "integer": ("ano", "ranking_taxa"),
+    "long": (
         "total_alunos",
         "total_alfabetizados",
         "total_alunos_avaliados",

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -11,9 +12,12 @@ from pyspark.sql.types import StructType
 
 
 def scan(spark: SparkSession, path: str | Sequence[str], schema: StructType) -> DataFrame:
-    """A partitioned Parquet tree (or several). Partition columns take the types the schema declares."""
+    """A partitioned Parquet tree, or several as one table.
+
+    Partition columns take the types the schema declares, so ``mes=07`` stays text.
+    """
     paths = [path] if isinstance(path, str) else list(path)
-    return spark.read.schema(schema).parquet(*paths)
+    return reduce(DataFrame.unionByName, (spark.read.schema(schema).parquet(p) for p in paths))
 
 
 def path_missing(error: AnalysisException) -> bool:

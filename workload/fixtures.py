@@ -138,7 +138,7 @@ def _dialect(text: str, engine: str) -> str:
 
 
 def needs(text: str) -> list[str]:
-    return re.findall(r"\{(\w+)\}", text)
+    return re.findall(r"\{([a-z]\w*)\}", text)
 
 
 def base(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -155,4 +155,4 @@ def source(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def source_sql(name: str) -> str:
     """The SELECT of a raw entity for the checking engine; names stand for themselves."""
-    return re.sub(r"\{(\w+)\}", r"\1", _dialect(SOURCES[name], "duckdb"))
+    return re.sub(r"\{([a-z]\w*)\}", r"\1", _dialect(SOURCES[name], "duckdb"))

@@ -135,6 +135,21 @@ TABLES = {
     FROM {{base_gap}})""",
 }
 
+# The same steps as the jobs see them: one raw load without state codes, bad rows set aside on the way.
+TABLES |= {
+    "job_municipio": "SELECT * FROM {municipio} WHERE regexp_full_match(id_municipio, '[0-9]{7}')",
+    "job_meta_all": f"""SELECT f.*, taxa_alfabetizacao - {IN_FORCE} AS gap_meta,
+    {hit('taxa_alfabetizacao', IN_FORCE)} AS atingiu_meta
+  FROM (SELECT r.* REPLACE ({pad('r.id_municipio')} AS id_municipio, m.sigla_uf AS sigla_uf)
+        FROM {{fx_meta_municipio}} r LEFT JOIN {{job_municipio}} m ON m.id_municipio = {pad('r.id_municipio')}) f""",
+    "job_meta": "SELECT * FROM {job_meta_all} WHERE NOT coalesce(taxa_alfabetizacao > 100, false)",
+}
+for _name in ("batch", "judged", "valid", "events_rich", "merged", "integrated", "base", "base_gap", "v1"):
+    _text = TABLES[_name].replace("{meta_municipio}", "{job_meta}").replace("{municipio}", "{job_municipio}")
+    for _dep in ("batch", "judged", "valid", "events_rich", "merged", "integrated", "base", "base_gap"):
+        _text = _text.replace("{" + _dep + "}", "{job_" + _dep + "}")
+    TABLES["job_" + _name] = _text
+
 
 def oracle(select: str) -> str:
     """``select`` with every ``{name}`` it needs, directly or not, as a CTE in front."""
@@ -149,7 +164,7 @@ def oracle(select: str) -> str:
         order.append(name)
 
     def plain(text: str) -> str:
-        return re.sub(r"\{(\w+)\}", lambda m: f"o_{m[1]}" if m[1] in TABLES else m[1], text)
+        return re.sub(r"\{([a-z]\w*)\}", lambda m: f"o_{m[1]}" if m[1] in TABLES else m[1], text)
 
     for name in needs(select):
         visit(name)
