@@ -9,13 +9,21 @@ EXACT = "decimal(18,6)"
 
 
 def round2(value: Column) -> Column:
-    """Two decimals, half up, decided on the decimal value instead of its binary neighbour."""
-    return F.round(value.cast(EXACT), 2).cast("double")
+    """Two decimals, half up, decided on the decimal value instead of its binary neighbour.
+
+    Values no such decimal can hold (very large, NaN) are rounded as doubles.
+    """
+    return F.coalesce(F.round(value.try_cast(EXACT), 2).cast("double"), F.round(value, 2))
 
 
 def exact_mean(value: Column) -> Column:
-    """Mean of the non-null values, summed as decimals so that partial sums merge in any order."""
-    return F.try_divide(F.sum(value.cast(EXACT)).cast("double"), F.count(value))
+    """Mean of the non-null values, summed as decimals so that partial sums merge in any order.
+
+    A group with a value no such decimal can hold falls back to the mean of doubles.
+    """
+    exact = value.try_cast(EXACT)
+    mean = F.try_divide(F.sum(exact).cast("double"), F.count(value))
+    return F.when(F.count(exact) == F.count(value), mean).otherwise(F.avg(value))
 
 
 def lenient_double(value: Column) -> Column:

@@ -7,13 +7,22 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lodestrata.contracts import ContractError, REQUIRED_VIEW_COLUMNS, conform, conform_present, schema_for
+from lodestrata.contracts import (
+    REQUIRED_VIEW_COLUMNS,
+    TARGET_PREFIX,
+    ContractError,
+    conform,
+    conform_present,
+    schema_for,
+)
 from lodestrata.functions.lineage import BATCH_SOURCE
 from lodestrata.functions.numbers import exact_mean, round2
 from lodestrata.functions.targets import with_target_gap
 from lodestrata.operators.dedup import first_per_key
 from lodestrata.operators.integrate import GRAIN
 
+NAMES = ("nome_municipio", "sigla_uf", "nome_uf")
+
 
 def base_rows(integrated: DataFrame) -> DataFrame:
     """Batch rows, or all rows where there are none; one per grain.
@@ -27,8 +36,11 @@ def base_rows(integrated: DataFrame) -> DataFrame:
     return first_per_key(integrated, GRAIN)
 
 
-def _base(integrated: DataFrame) -> DataFrame:
-    return with_target_gap(base_rows(integrated))
+def _base(integrated: DataFrame, *attributes: str) -> DataFrame:
+    """Base rows with target and gap. Only what a view needs is read, sorted and shuffled."""
+    wanted = {*GRAIN, "_source_type", "taxa_alfabetizacao", *attributes}
+    columns = [c for c in integrated.columns if c in wanted or c.startswith(TARGET_PREFIX)]
+    return with_target_gap(base_rows(integrated.select(*columns)))
 
 
 def student_totals(students: DataFrame) -> DataFrame:
@@ -37,7 +49,8 @@ def student_totals(students: DataFrame) -> DataFrame:
 
 def indicador_municipio(integrated: DataFrame, students: DataFrame | None = None) -> DataFrame:
     """Rate, target and gap of each municipality, year and network, with the number of students seen."""
-    view = _base(integrated).withColumnsRenamed(
+    attributes = (*NAMES, "indicador_uf", "nivel_alfabetizacao", "percentual_participacao")
+    view = _base(integrated, *attributes).withColumnsRenamed(
         {"nome_municipio": "nome", "taxa_alfabetizacao": "pct_alfabetizados", "meta_vigente": "meta_pct"}
     )
     if students is not None:
@@ -47,7 +60,10 @@ def indicador_municipio(integrated: DataFrame, students: DataFrame | None = None
 
 
 def with_dense_rank(df: DataFrame, group: str, value: str, rank: str) -> DataFrame:
-    """Dense rank from the highest value down; a null value has no rank."""
+    """Dense rank from the highest value down; a null value has no rank.
+
+    Made for roll-ups: a group holds one row per state, not one per record.
+    """
     window = Window.partitionBy(group).orderBy(F.col(value).desc_nulls_last())
     return df.withColumn(rank, F.when(F.col(value).isNotNull(), F.dense_rank().over(window)).cast("int"))
 
@@ -56,7 +72,7 @@ def meta_vs_resultado(integrated: DataFrame, uf: DataFrame | None = None) -> Dat
     """Means, hits and misses per state and year, ranked within the year and compared with the year before."""
     hit = F.col("atingiu_meta")
     rollup = (
-        _base(integrated)
+        _base(integrated, "sigla_uf")
         .groupBy("sigla_uf", "ano")
         .agg(
             round2(exact_mean(F.col("taxa_alfabetizacao"))).alias("taxa_media"),
@@ -83,7 +99,7 @@ def evolucao_temporal(integrated: DataFrame) -> DataFrame:
     rate = F.col("taxa_alfabetizacao")
     before = F.lag(rate).over(by_year)
     view = (
-        _base(integrated)
+        _base(integrated, *NAMES)
         .withColumn("pct_anterior", before)
         .withColumn("delta_percentual", round2(rate - F.col("pct_anterior")))
         .withColumn("delta_anual", F.col("delta_percentual"))
@@ -124,7 +140,7 @@ def gold_meta_municipio(integrated: DataFrame) -> DataFrame:
     """Municipal targets with the yearly change, one row per municipality, year and network."""
     by_year = Window.partitionBy("id_municipio", "rede").orderBy(F.col("ano").asc_nulls_last())
     rate = F.col("taxa_alfabetizacao")
-    view = _base(integrated).withColumn("delta_anual", round2(rate - F.lag(rate).over(by_year)))
+    view = _base(integrated, *NAMES).withColumn("delta_anual", round2(rate - F.lag(rate).over(by_year)))
     return conform(view, schema_for("meta_municipio", "gold", lineage=False))
 
 
