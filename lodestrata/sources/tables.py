@@ -20,6 +20,12 @@ def scan(spark: SparkSession, path: str | Sequence[str], schema: StructType) ->
     return reduce(DataFrame.unionByName, (spark.read.schema(schema).parquet(p) for p in paths))
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Deals the rows of a source in few splits out to all cores; a source in many splits stays as it is."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def path_missing(error: AnalysisException) -> bool:
     return error.getCondition() == "PATH_NOT_FOUND"
 

@@ -24,9 +24,10 @@ class Data:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = apply_settings(spark)
         self.sf_dir = sf_dir
+        self._known: dict[str, DataFrame] = {}
 
     def raw(self, name: str) -> DataFrame:
-        return source(self.spark, self.sf_dir, name)
+        return source(self.spark, self.sf_dir, name, self._known)
 
     def folder(self, label: str) -> str:
         return work_folder(self.spark, label)

@@ -11,13 +11,32 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 
 from lodestrata.contracts import TARGET_PREFIX
+from lodestrata.sources.tables import spread
 
 YEARS = tuple(range(1996, 2002))
 STATE_CODE = r"^NATION_(\d+|X)$"
 FIT = {"state_code": STATE_CODE, "first_year": 1995, "last_year": 2001}
 TARGETS = [f"{TARGET_PREFIX}{year}" for year in YEARS]
 
-BASE_TABLES = ("region", "nation", "customer", "orders", "lineitem", "events")
+# Schemas of the given tables, declared so that reading them needs no look into the files
+BASE_TABLES = {
+    "region": "r_regionkey INT, r_name STRING",
+    "nation": "n_nationkey INT, n_name STRING, n_regionkey INT",
+    "customer": (
+        "c_custkey BIGINT, c_name STRING, c_nationkey INT, c_acctbal DOUBLE, c_mktsegment STRING"
+    ),
+    "orders": (
+        "o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE,"
+        " o_orderdate TIMESTAMP_NTZ, o_orderpriority STRING"
+    ),
+    "lineitem": (
+        "l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_linenumber INT, l_quantity DOUBLE,"
+        " l_extendedprice DOUBLE, l_discount DOUBLE, l_tax DOUBLE, l_returnflag STRING, l_linestatus STRING,"
+        " l_shipdate TIMESTAMP_NTZ"
+    ),
+    "events": "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING",
+}
+FACT_TABLES = ("orders", "lineitem", "events")
 
 
 def _targets(key: str) -> str:
@@ -142,15 +161,20 @@ def needs(text: str) -> list[str]:
 
 
 def base(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{table}.parquet")
-
-
-def source(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A given table or a raw entity as a DataFrame."""
-    if name in BASE_TABLES:
-        return base(spark, sf_dir, name)
-    text = _dialect(SOURCES[name], "spark")
-    return spark.sql(text, **{dep: source(spark, sf_dir, dep) for dep in needs(text)})
+    df = spark.read.schema(BASE_TABLES[table]).parquet(f"{sf_dir}/{table}.parquet")
+    return spread(df) if table in FACT_TABLES else df
+
+
+def source(spark: SparkSession, sf_dir: str, name: str, known: dict[str, DataFrame] | None = None) -> DataFrame:
+    """A given table or a raw entity as a DataFrame; ``known`` keeps those already built."""
+    known = {} if known is None else known
+    if name not in known:
+        if name in BASE_TABLES:
+            known[name] = base(spark, sf_dir, name)
+        else:
+            text = _dialect(SOURCES[name], "spark")
+            known[name] = spark.sql(text, **{dep: source(spark, sf_dir, dep, known) for dep in needs(text)})
+    return known[name]
 
 
 def source_sql(name: str) -> str:
