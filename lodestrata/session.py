@@ -21,6 +21,9 @@ RUNTIME_SETTINGS = {
     ),
 }
 
+SHUFFLE_BYTES = 256 << 20
+MOST_SHUFFLE_PARTITIONS = 50_000
+
 _local_roots: dict[str, str] = {}
 
 
@@ -41,6 +44,19 @@ def apply_settings(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def fit_shuffle(spark: SparkSession, input_bytes: int) -> SparkSession:
+    """Lets shuffles over an input of this many (compressed) bytes start with partitions small enough to sort.
+
+    Only ever raises the number; adaptive execution joins what turns out too small.
+    """
+    wanted = min(input_bytes // SHUFFLE_BYTES, MOST_SHUFFLE_PARTITIONS)
+    initial = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    present = int(spark.conf.get(initial, None) or spark.conf.get("spark.sql.shuffle.partitions"))
+    if wanted > present:
+        spark.conf.set(initial, str(wanted))
+    return spark
+
+
 def work_folder(spark: SparkSession, label: str) -> str:
     """A fresh folder below the shared one the cluster names in ``spark.checkpoint.dir``.
 

@@ -4,9 +4,22 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
+from lodestrata.contracts import (
+    BATCH_ENTITIES,
+    EVENT_ENTITY,
+    GOLD_VIEWS,
+    INTEGRATED_ENTITY,
+    TARGET_YEARS,
+    partition_columns,
+    stored_schema,
+)
+from lodestrata.sources.layout import Lake
+from lodestrata.sources.tables import path_missing, scan
+
 
 def register_table(
     spark: SparkSession, name: str, path: str, schema: StructType, partitions: Sequence[str] = ()
@@ -20,3 +33,44 @@ def register_table(
     if partitions:
         spark.sql(f"MSCK REPAIR TABLE {name}")
     return spark.table(name)
+
+
+def register_stream_output(spark: SparkSession, name: str, path: str, schema: StructType) -> DataFrame:
+    """A view over what a stream wrote. Its own log of finished files says what belongs to it, so rows of
+    a batch that is being written are not seen; a table over the folder would not know that log."""
+    columns = ", ".join(f"CAST(`{f.name}` AS {f.dataType.simpleString()}) AS `{f.name}`" for f in schema.fields)
+    spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT {columns} FROM parquet.`{path}`")
+    return spark.table(name)
+
+
+def lake_tables(lake: Lake) -> dict[str, tuple[str, str, str]]:
+    """Every table of a lake: its name with the entity, layer and path behind it."""
+    tables = {entity: (entity, "bronze", lake.bronze(entity)) for entity in BATCH_ENTITIES}
+    tables[EVENT_ENTITY] = (EVENT_ENTITY, "bronze", lake.bronze_stream(EVENT_ENTITY))
+    for entity in (*BATCH_ENTITIES, INTEGRATED_ENTITY):
+        tables[f"silver_{entity}"] = (entity, "silver", lake.silver(entity))
+    for view in GOLD_VIEWS:
+        tables[f"gold_{view}"] = (view, "gold", lake.gold(view))
+    return tables
+
+
+def register_lake(
+    spark: SparkSession, lake: Lake, database: str, target_years: Sequence[int] = tuple(TARGET_YEARS)
+) -> list[str]:
+    """Registers the tables of a lake that are stored; returns their names."""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    names = []
+    for name, (entity, layer, path) in lake_tables(lake).items():
+        schema = stored_schema(entity, layer, target_years)
+        try:
+            scan(spark, path, schema)
+        except AnalysisException as error:
+            if not path_missing(error):
+                raise
+            continue
+        names.append(f"{database}.{name}")
+        if entity == EVENT_ENTITY:
+            register_stream_output(spark, names[-1], path, schema)
+        else:
+            register_table(spark, names[-1], path, schema, partition_columns(entity, layer))
+    return names

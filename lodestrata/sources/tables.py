@@ -20,10 +20,23 @@ def scan(spark: SparkSession, path: str | Sequence[str], schema: StructType) ->
     return reduce(DataFrame.unionByName, (spark.read.schema(schema).parquet(p) for p in paths))
 
 
+SMALL_BYTES = 1 << 30
+
+
+def size_in_bytes(df: DataFrame) -> int:
+    """Size of the files behind ``df`` as the optimizer estimates it; nothing is read."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
 def spread(df: DataFrame) -> DataFrame:
-    """Deals the rows of a source in few splits out to all cores; a source in many splits stays as it is."""
+    """Deals the rows of a small source in few splits out to all cores.
+
+    A source over 1 GiB stays as it is: there the exchange would cost more than idle cores.
+    """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    if size_in_bytes(df) >= SMALL_BYTES or df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores)
 
 
 def path_missing(error: AnalysisException) -> bool:

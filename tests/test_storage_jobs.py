@@ -6,18 +6,18 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from lodestrata.contracts import EVENT_ENTITY, INTEGRATED_ENTITY, schema_for, stored_schema
-from lodestrata.functions.events import encode_events
+from lodestrata.functions.events import decode_events, encode_events
 from lodestrata.functions.lineage import bronze_rows
 from lodestrata.operators.quality import QualityError, rule_book
 from lodestrata.plans.jobs import Run, bronze_job, gold_job, gold_jobs, integration_job, silver_job, silver_jobs
-from lodestrata.session import materialise, work_folder
-from lodestrata.sources.catalog import register_table
+from lodestrata.plans.validation import validate_lake
+from lodestrata.session import fit_shuffle, materialise, work_folder
+from lodestrata.sources.catalog import register_lake, register_table
 from lodestrata.sources.layout import Lake
 from lodestrata.sources.sinks import write_layer, write_partitions
-from lodestrata.sources.tables import extract, optional_scan, scan, stored_or
+from lodestrata.sources.tables import extract, optional_scan, scan, size_in_bytes, spread, stored_or
 from lodestrata.streaming import jobs
 from lodestrata.streaming.source import NoEventsError, drain, file_wire
-from lodestrata.functions.events import decode_events
 
 DAY1 = datetime(2026, 7, 11, 8, tzinfo=timezone.utc)
 DAY2 = DAY1 + timedelta(days=1)
@@ -39,6 +39,25 @@ def test_materialise_keeps_rows_and_cuts_the_plan(spark):
     assert rows(stored) == rows(df) and "Aggregate" not in plan(stored)
 
 
+def test_shuffles_grow_with_the_input(spark):
+    initial = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    fit_shuffle(spark, 1 << 20)
+    assert spark.conf.get(initial, None) is None
+    fit_shuffle(spark, 100 << 40)
+    assert spark.conf.get(initial) == "50000"
+    spark.conf.unset(initial)
+
+
+def test_only_small_sources_are_spread(spark, folder, monkeypatch):
+    path = folder("small")
+    spark.range(10).coalesce(1).write.parquet(path)
+    df = spark.read.parquet(path)
+    assert 0 < size_in_bytes(df) < 10_000
+    assert spread(df).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    monkeypatch.setattr("lodestrata.sources.tables.SMALL_BYTES", 1)
+    assert spread(df) is df
+
+
 def test_a_load_replaces_its_own_day_only(spark, folder):
     path, schema = folder("bronze"), stored_schema("uf", "bronze")
     df = spark.createDataFrame([("1", "SP", "n", "r")], schema_for("uf", "bronze", lineage=False))
@@ -261,6 +280,22 @@ def test_all_jobs(run, spark, folder):
     with pytest.raises(KeyError):
         gold_job(run, "unknown")
 
+    report = validate_lake(run, {"alunos": (3, 3), "gold_indicador_municipio": (5, 9)})
+    assert rows(report, "nome", "aprovado") == [
+        ("dq_bronze_streaming", True),
+        ("dq_duplicidade_silver_municipio", True),
+        ("dq_gap_meta_consistente", True),
+        ("dq_orfaos_integrado", True),
+        ("dq_streaming_presente", True),
+        ("volume_alunos", True),
+        ("volume_gold_indicador_municipio", False),
+    ]
+    names = register_lake(spark, run.lake, "lake_test")
+    assert len(names) == 17
+    assert spark.table("lake_test.gold_indicador_municipio").count() == 2
+    assert rows(spark.table("lake_test.indicador_alfabetizacao"), "event_id", "dia") == [("e1", "11")] * 2
+    spark.sql("DROP DATABASE lake_test CASCADE")
+
 
 def test_a_second_day_replaces_what_readers_see(run, spark):
     load(run, spark)

@@ -13,8 +13,9 @@ from lodestrata.functions.numbers import lenient_double
 from lodestrata.functions.text import text_key, pad_key
 from lodestrata.functions.targets import derived_flag
 from lodestrata.operators import entities, integrate
-from lodestrata.session import apply_settings, materialise, work_folder
-from workload.fixtures import YEARS, source
+from lodestrata.session import apply_settings, fit_shuffle, materialise, work_folder
+from lodestrata.sources.tables import size_in_bytes
+from workload.fixtures import FACT_TABLES, YEARS, given, source
 
 RUN_TS = datetime(2026, 7, 12, 10, 30, tzinfo=timezone.utc)
 EARLIER_TS = datetime(2026, 7, 11, 10, 30, tzinfo=timezone.utc)
@@ -25,6 +26,8 @@ class Data:
         self.spark = apply_settings(spark)
         self.sf_dir = sf_dir
         self._known: dict[str, DataFrame] = {}
+        largest = max(size_in_bytes(given(spark, sf_dir, table)) for table in FACT_TABLES)
+        fit_shuffle(self.spark, largest)
 
     def raw(self, name: str) -> DataFrame:
         return source(self.spark, self.sf_dir, name, self._known)

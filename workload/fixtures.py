@@ -160,8 +160,12 @@ def needs(text: str) -> list[str]:
     return re.findall(r"\{([a-z]\w*)\}", text)
 
 
+def given(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    return spark.read.schema(BASE_TABLES[table]).parquet(f"{sf_dir}/{table}.parquet")
+
+
 def base(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    df = spark.read.schema(BASE_TABLES[table]).parquet(f"{sf_dir}/{table}.parquet")
+    df = given(spark, sf_dir, table)
     return spread(df) if table in FACT_TABLES else df
 
 
