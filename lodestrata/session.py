@@ -13,6 +13,8 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     # Split a hot key even where the split costs one more exchange downstream.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # The same for streams without state, such as enrichment by joins.
+    "spark.sql.adaptive.streaming.stateless.enabled": "true",
     # Partition values such as mes=07 stay text.
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
     # Streaming state lives on disk, so its size is not bound by the heap.

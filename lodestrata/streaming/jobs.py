@@ -55,17 +55,24 @@ def store_parsed(events: DataFrame, path: str, checkpoint: str) -> StreamingQuer
     return _append_files(events, path, checkpoint)
 
 
-def suppress_duplicates(events: DataFrame, within: str) -> DataFrame:
+def suppress_duplicates(events: DataFrame, within: str, salts: int = 32) -> DataFrame:
     """The first arrival of each event id. State for an id is kept ``within`` event time past it.
 
     Choose ``within`` longer than the longest delay of the source: rows later than that are dropped.
+    An id that arrives in very many copies is thinned out in ``salts`` groups first, so that its rows do
+    not all meet in one task; how rows fall into the groups does not change the result.
     """
     timed = events.withColumn("_event_time", event_time()).withWatermark("_event_time", within)
+    if salts > 1:
+        timed = timed.withColumn("_salt", F.spark_partition_id() % salts)
+        timed = timed.dropDuplicatesWithinWatermark(["event_id", "_salt"]).drop("_salt")
     return timed.dropDuplicatesWithinWatermark(["event_id"]).drop("_event_time")
 
 
-def store_unique(events: DataFrame, path: str, checkpoint: str, within: str) -> StreamingQuery:
-    return _append_files(suppress_duplicates(events, within), path, checkpoint)
+def store_unique(
+    events: DataFrame, path: str, checkpoint: str, within: str, salts: int = 32
+) -> StreamingQuery:
+    return _append_files(suppress_duplicates(events, within, salts), path, checkpoint)
 
 
 def store_enriched(

@@ -155,14 +155,15 @@ def test_a_repeated_run_adds_nothing(spark, folder):
     ]
 
 
-def test_duplicates_and_late_rows(spark, folder):
+@pytest.mark.parametrize("salts", [1, 4])
+def test_duplicates_and_late_rows(spark, folder, salts):
     bus, out, checkpoint = folder("bus"), folder("out"), folder("cp")
     put(spark, bus, event("a", at(10)), event("a", at(11)))
-    drain(jobs.store_unique(arriving(spark, bus), out, checkpoint, "2 hours"))
+    drain(jobs.store_unique(arriving(spark, bus), out, checkpoint, "2 hours", salts))
     put(spark, bus, event("a", at(11)), event("b", at(20)))  # a again, within reach
-    drain(jobs.store_unique(arriving(spark, bus), out, checkpoint, "2 hours"))
+    drain(jobs.store_unique(arriving(spark, bus), out, checkpoint, "2 hours", salts))
     put(spark, bus, event("c", at(1)), event("d", at(19)))  # c is later than two hours allow
-    drain(jobs.store_unique(arriving(spark, bus), out, checkpoint, "2 hours"))
+    drain(jobs.store_unique(arriving(spark, bus), out, checkpoint, "2 hours", salts))
     assert rows(scan(spark, out, FLAT), "event_id") == [("a",), ("b",), ("d",)]
 
 
