@@ -5,10 +5,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestrata.llm import exact_dedup, kd_shards, mixing
-from lodestrata.llm.shared import documents
+from lodestrata.llm import exact_dedup, kd_shards, language_id, minhash_dedup, mixing, token_counts
+from lodestrata.llm.shared import documents, remainder, stored, whole
 
 SHARDS = 40
+TOKENIZER = "piece_bpe_32k.model"
+TOKEN_LIMIT = 4096
+
+
+def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    counts = token_counts.token_count(spark, public_tokenizers.path(TOKENIZER))
+    counted = documents(spark, sf_dir).select("doc_id", F.octet_length(whole("text")).cast("long").alias("n_bytes"), counts.alias("n_tokens"))
+    return counted.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
 
 
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -16,6 +26,10 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
 
 
+def op5_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash_dedup.near_groups(documents(spark, sf_dir), size=4)
+
+
 def op6_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     shards = kd_shards.kd_shards(documents(spark, sf_dir), leaves=SHARDS)
     return shards.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
@@ -25,6 +39,13 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(documents(spark, sf_dir))
 
 
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text", "lang")
+    learned = stored(language_id.profiles(docs.where(remainder("doc_id", 4) != 2)), "profiles")
+    found = language_id.identify(docs.select("doc_id", "text"), learned)
+    return found.select("doc_id", (remainder("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score")
+
+
 OP9_SQL = r"""
 WITH d AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS norm FROM documents)
 SELECT doc_id, min(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size, doc_id = min(doc_id) OVER g AS kept, sha256(norm) AS text_sha256
@@ -32,8 +53,11 @@ FROM d WINDOW g AS (PARTITION BY norm)
 """
 
 QUERIES = {
+    "op1_token_counts": op1_token_counts,
     "op2_mixing": op2_mixing,
+    "op5_minhash_dedup": op5_minhash_dedup,
     "op6_kd_shards": op6_kd_shards,
     "op9_exact_dedup": op9_exact_dedup,
+    "op10_language_id": op10_language_id,
 }
 ORACLES = {"op2_mixing": mixing.ORACLE_SQL, "op9_exact_dedup": OP9_SQL}

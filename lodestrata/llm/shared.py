@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import shutil
 import tempfile
 import uuid
 from collections.abc import Sequence
@@ -83,3 +84,20 @@ def numbered(df: DataFrame, groups: Sequence[str], key: str, order: Sequence[str
     same = [F.col(c).eqNullSafe(F.col(f"{c}s")) for c in lane]
     joined = placed.join(starts, same, "left").withColumn(name, F.col("__start") + F.col("__row"))
     return joined.select(*df.columns, name)
+
+
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per application, and bound the rows they get at a time.
+
+    Texts may be long, so a batch of Arrow's usual ten thousand rows may not fit a worker.
+    """
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "256")
+    app = spark.sparkContext.applicationId
+    if app not in _shipped:
+        package = Path(__file__).resolve().parents[1]
+        target = shutil.make_archive(f"{tempfile.mkdtemp(prefix='lodestrata-')}/{package.name}", "zip", package.parent, package.name)
+        spark.sparkContext.addPyFile(target)
+        _shipped.add(app)
