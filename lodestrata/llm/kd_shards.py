@@ -4,14 +4,18 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lodestrata.llm.shared import numbered, one_row, stored, whole
 
 #: Steps of a coordinate between its least and its greatest value.
-STEPS = 4096
-#: A run of equal texts lighter than this part of a leaf is never cut.
+STEPS = 1024
+#: Order inside a step: 32 bits of the text's hash, then 20 of the id's; refined by so many bits at a time.
+TEXT_BITS, ID_BITS = (11, 11, 10), (10, 10)
+#: A cut is fine enough if what lies in the step it falls into weighs less than this part of a shard.
+CLOSE = 0.005
+#: A run of equal texts is cut only if it weighs more than this part of a shard.
 WHOLE_RUN = 0.02
 
 
@@ -22,98 +26,82 @@ def text_dimensions(text: str = "text") -> dict[str, Column]:
     return {"size": F.log2(size + 1), "lines": F.log2(lines + 1.0), "bytes_per_char": size / F.greatest(F.length(whole(text)), F.lit(1))}
 
 
-def _table(points: DataFrame, rows: list[tuple], schema: str) -> DataFrame:
-    """A few rows, one for each open node, sent to all tasks: never more than there are shards."""
-    columns = [field.split() for field in schema.split(", ")]
-    values = ", ".join("(" + ", ".join(f"CAST('{v}' AS {kind})" for v, (_, kind) in zip(row, columns, strict=True)) + ")" for row in rows)
-    names = ", ".join(name for name, _ in columns)
-    return F.broadcast(points.sparkSession.sql(f"SELECT * FROM VALUES {values} AS t({names})"))
-
-
-def _descended(points: DataFrame, levels: list[list[tuple]]) -> DataFrame:
-    """``points`` with the node each row lies in after the splits of ``levels``, one lookup per level."""
-    rows = points.withColumn("node", F.lit(1))
-    for splits in levels:
-        rows = rows.join(_table(points, splits, "node int, at_dim int, at_bin int, at_run long, at_ident long"), "node", "left")
-        bin_ = F.element_at("bins", F.col("at_dim") + 1)
-        inside = (F.col("run") < F.col("at_run")) | ((F.col("run") == F.col("at_run")) & (F.col("ident") < F.col("at_ident")))
-        lower = (bin_ < F.col("at_bin")) | ((bin_ == F.col("at_bin")) & inside)
-        below = 2 * F.col("node") + F.when(lower, 0).otherwise(1)
-        rows = rows.withColumn("node", F.when(F.col("at_dim").isNull(), F.col("node")).otherwise(below))
-        rows = rows.drop("at_dim", "at_bin", "at_run", "at_ident")
-    return rows
-
-
-def _cut(histogram: DataFrame, at: str, wanted: dict[int, float]) -> dict[int, tuple[int, float, float]]:
-    """For each node the step of its histogram in which the wanted weight is reached: (step, weight before it, weight of it)."""
-    asked = _table(histogram, [(n, float(max(v, 1.0))) for n, v in wanted.items()], "node int, wanted double")
-    running = Window.partitionBy("node").orderBy(at)
-    found = histogram.join(asked, "node").withColumn("upto", F.sum("w").over(running))
-    found = found.where((F.col("upto") >= F.col("wanted")) & (F.col("upto") - F.col("w") < F.col("wanted")))
-    return {r["node"]: (r[at], float(r["upto"] - r["w"]), float(r["w"])) for r in found.select("node", at, "upto", "w").collect()}
-
-
-def kd_tree(points: DataFrame, dims: int, leaves: int, total: int) -> tuple[list[list[tuple]], dict[int, int]]:
-    """The splits, level by level, and the shard of each leaf. ``points``: bins (a step per dimension), run, ident, weight w.
-
-    All nodes of a level are split together. One pass counts the weight of every node by dimension and step; the dimension in
-    which a node's rows spread widest is cut where the weight reaches the share of its left leaves. Inside the step that is
-    cut, two passes order rows by a hash of their text and, only where one run of equal texts is heavy, one more orders them
-    by a hash of their id. What comes to the driver is a row per node; histograms stay tables of at most nodes x dimensions x steps rows.
+def _at(values: list[int], first: int) -> Column:
+    """The entry for a row's node, out of one number per node of the level that begins with node ``first``."""
+    return F.element_at(F.lit(values), F.col("node") - first + 1)
+
+
+def _weights(rows: DataFrame, *keys: str | Column) -> dict[int, dict[int, dict[int, int]]]:
+    """Weight by node, first and second key. At most nodes x dimensions x steps rows come to the driver."""
+    out: dict = {}
+    for r in rows.groupBy("node", *keys).agg(F.sum("w").alias("w")).collect():
+        out.setdefault(r[0], {}).setdefault(r[1], {})[r[2]] = r[3]
+    return out
+
+
+def _crossed(steps: dict[int, int], wanted: float) -> tuple[int, float, float]:
+    """The step in which the weight wanted is reached, the weight before it and its own."""
+    before = 0.0
+    for step in sorted(steps):
+        if before + steps[step] >= wanted:
+            break
+        before += steps[step]
+    else:
+        before -= steps[step]
+    return step, before, steps[step]
+
+
+def kd_split(points: DataFrame, leaves: int, total: int) -> DataFrame:
+    """``points`` with the shard of each row. They hold bins (a step per dimension), fine (the order inside a step) and weight w.
+
+    All nodes of a level are split together. One pass sums each node's weight by dimension and step; the dimension in which
+    the node's rows spread widest is cut at the step where the weight reaches the share of its left leaves. Where that step
+    is heavy, further passes refine the cut by the hash of the text, and only where one run of equal texts is heavier than
+    ``WHOLE_RUN`` by the hash of the id. Each level is stored; a retried task reads it again.
     """
-    levels: list[list[tuple]] = []
-    counts, weights = {1: leaves}, {1: float(total)}
-    ended: set[int] = set()
-    while open_nodes := [n for n, c in counts.items() if c > 1 and n not in ended]:
-        here = _descended(points, levels)
-        here = here.join(_table(points, [(n,) for n in open_nodes], "node int"), "node")
-        histogram = here.select("node", "w", F.posexplode("bins").alias("dim", "bin")).groupBy("node", "dim", "bin").agg(F.sum("w").alias("w"))
-        histogram = stored(histogram, "shard-histogram")
-        spread = histogram.groupBy("node", "dim").agg((F.max("bin") - F.min("bin")).alias("width"))
-        widest = {r["node"]: r["dim"] for r in spread.groupBy("node").agg(F.max_by("dim", F.struct("width", -F.col("dim"))).alias("dim")).collect()}
-        left = {n: counts[n] // 2 for n in open_nodes}
-        share = {n: weights[n] * left[n] / counts[n] for n in open_nodes}
-        chosen = _table(points, list(widest.items()), "node int, dim int")
-        bins = _cut(histogram.join(chosen, ["node", "dim"]), "bin", share)
-        inner = here.join(_table(points, [(n, widest[n], b[0]) for n, b in bins.items()], "node int, dim int, bin int"), "node")
-        inner = inner.where(F.element_at("bins", F.col("dim") + 1) == F.col("bin")).withColumn("coarse", F.shiftright("run", 22))
-        coarse = _cut(inner.groupBy("node", "coarse").agg(F.sum("w").alias("w")), "coarse", {n: share[n] - bins[n][1] for n in bins})
-        rest = {n: share[n] - bins[n][1] - c[1] for n, c in coarse.items()}
-        exact = inner.join(_table(points, [(n, c[0]) for n, c in coarse.items()], "node int, coarse long"), ["node", "coarse"])
-        runs = _cut(exact.groupBy("node", "run").agg(F.sum("w").alias("w")), "run", rest)
-        rest = {n: rest[n] - r[1] for n, r in runs.items()}
-        heavy = [(n, r[0]) for n, r in runs.items() if r[2] > WHOLE_RUN * total / leaves]
-        idents: dict[int, tuple[int, float, float]] = {}
-        if heavy:
-            same = exact.join(_table(points, heavy, "node int, run long"), ["node", "run"])
-            idents = _cut(same.groupBy("node", "ident").agg(F.sum("w").alias("w")), "ident", {n: rest[n] for n, _ in heavy})
-        level = []
-        for n, (run, _, weight) in runs.items():
-            ident, reached = 0, share[n] - rest[n]
-            if n in idents:
-                step, below, own = idents[n]
-                more = rest[n] - below > own / 2
-                ident, reached = step + more, reached + below + more * own
-            elif rest[n] > weight / 2:
-                run, reached = run + 1, reached + weight
-            level.append((n, widest[n], bins[n][0], run, ident))
-            counts[2 * n], counts[2 * n + 1] = left[n], counts[n] - left[n]
-            weights[2 * n], weights[2 * n + 1] = reached, weights[n] - reached
-        # A node without weight has no median: its leaves but the first stay empty.
-        ended.update(open_nodes)
-        levels.append(level)
-    split = {row[0] for level in levels for row in level}
-    shard_of: dict[int, int] = {}
-
-    def walk(node: int, first: int) -> None:
-        if node in split:
-            walk(2 * node, first)
-            walk(2 * node + 1, first + counts[2 * node])
-        else:
-            shard_of[node] = first
-
-    walk(1, 0)
-    return levels, shard_of
+    counts, weights, bases = [leaves], [float(total)], [0]
+    rows, first = points.withColumn("node", F.lit(1)), 1
+    close = CLOSE * total / leaves
+    while max(counts) > 1:
+        there = [i for i, c in enumerate(counts) if c > 1]
+        table = _weights(rows.where(F.col("node").isin([first + i for i in there])).select("node", "w", F.posexplode("bins").alias("dim", "bin")), "dim", "bin")
+        # Rows of a node that is not cut are all below its bin.
+        dims, bins, fines = [0] * len(counts), [STEPS] * len(counts), [0] * len(counts)
+        low, rest = list(weights), {}
+        for i in there:
+            own = table[first + i]
+            dims[i] = max(own, key=lambda d: (max(own[d]) - min(own[d]), -d))
+            share = weights[i] * (counts[i] // 2) / counts[i]
+            bins[i], low[i], heavy = _crossed(own[dims[i]], share)
+            rest[i] = (share - low[i], heavy, sum(TEXT_BITS) + sum(ID_BITS))
+        shift = sum(TEXT_BITS) + sum(ID_BITS)
+        for width in (*TEXT_BITS, *ID_BITS):
+            limit = close if shift > sum(ID_BITS) else total / leaves * WHOLE_RUN
+            heavy = [i for i in there if rest[i][1] > limit and rest[i][2] == shift]
+            if not heavy:
+                break
+            inside = F.element_at("bins", _at(dims, first) + 1) == _at(bins, first)
+            same = F.shiftright("fine", shift) == F.shiftright(_at(fines, first), shift)
+            shift -= width
+            here = rows.where(F.col("node").isin([first + i for i in heavy])).where(inside & same)
+            table = _weights(here.select("node", "w", F.lit(0).alias("all"), F.shiftright("fine", shift).alias("step")), "all", "step")
+            for i in heavy:
+                step, before, own = _crossed(table[first + i][0], rest[i][0])
+                fines[i], low[i] = step << shift, low[i] + before
+                rest[i] = (rest[i][0] - before, own, shift)
+        for i, (wanted, own, at) in rest.items():  # what is left undivided goes to the side that it fits better
+            if wanted > own / 2:
+                bins[i], fines[i] = (bins[i] + 1, 0) if at == sum(TEXT_BITS) + sum(ID_BITS) else (bins[i], fines[i] + (1 << at))
+                low[i] += own
+        place = F.element_at("bins", _at(dims, first) + 1)
+        lower = (place < _at(bins, first)) | ((place == _at(bins, first)) & (F.col("fine") < _at(fines, first)))
+        rows = stored(rows.withColumn("node", 2 * F.col("node") + F.when(lower, 0).otherwise(1)), "shard-points")
+        halves = [(c // 2, c - c // 2) if c > 1 else (c, 0) for c in counts]
+        bases = [x for base, (one, _) in zip(bases, halves, strict=True) for x in (base, base + one)]
+        weights = [x for w, part in zip(weights, low, strict=True) for x in (part, w - part)]
+        counts = [c if weights[i] > 0 else min(c, 1) for i, c in enumerate(c for pair in halves for c in pair)]
+        first *= 2
+    return rows.withColumn("shard", _at(bases, first))
 
 
 def kd_shards(docs: DataFrame, leaves: int | None = None, target_bytes: int | None = None, dimensions: dict[str, Column] | None = None, id_col: str = "doc_id", text: str = "text", overhead: int = 16) -> DataFrame:
@@ -121,7 +109,7 @@ def kd_shards(docs: DataFrame, leaves: int | None = None, target_bytes: int | No
 
     A k-d tree over ``dimensions`` (numbers; ``text_dimensions`` by default) is split at weighted medians along the widest
     dimension until there are ``leaves`` shards, or as many as make leaves of ``target_bytes``. Shards have near equal
-    bytes: off by less than a run of equal texts of 2 % of a leaf, or one row, at each level. Equal texts stay together unless a cut falls
+    bytes: each level is off by less than half a percent of a shard, or half a row. Equal texts stay together unless a cut falls
     into a run heavier than that. Coordinates are taken in steps between the least and the greatest value over all rows.
 
     Null and empty texts weigh ``overhead``; a null dimension counts as its least value. Repeated rows count each. An empty table gives an
@@ -136,8 +124,7 @@ def kd_shards(docs: DataFrame, leaves: int | None = None, target_bytes: int | No
         F.col(id_col).alias("id"),
         (F.octet_length(body) + overhead).cast("long").alias("w"),
         F.crc32(F.encode(body, "utf-8")).alias("crc"),
-        F.shiftrightunsigned(F.xxhash64(body), 32).alias("run"),
-        F.pmod(F.xxhash64(F.col(id_col), F.lit("ident")), F.lit(1 << 20)).alias("ident"),
+        (F.shiftleft(F.shiftrightunsigned(F.xxhash64(body), 32), sum(ID_BITS)) + F.pmod(F.xxhash64(F.col(id_col), F.lit("id")), F.lit(1 << sum(ID_BITS)))).alias("fine"),
         *(c.cast("double").alias(n) for n, c in zip(names, dimensions.values(), strict=True)),
     )
     raw = stored(raw, "shard-points")
@@ -149,9 +136,8 @@ def kd_shards(docs: DataFrame, leaves: int | None = None, target_bytes: int | No
         least, most = bounds[f"min_{n}"] or 0.0, bounds[f"max_{n}"] or 0.0
         scale = (STEPS - 1) / (most - least) if most > least else 0.0
         steps.append(F.coalesce(F.floor((F.col(n) - least) * scale).cast("int"), F.lit(0)).alias(n))
-    points = raw.select("id", "w", "crc", "run", "ident", F.array(*steps).alias("bins"))
-    levels, shard_of = kd_tree(points, len(names), leaves, total) if total else ([], {1: 0})
-    placed = _descended(points, levels).join(_table(points, list(shard_of.items()), "node int, shard int"), "node")
+    points = raw.select("id", "w", "crc", "fine", F.array(*steps).alias("bins"))
+    placed = kd_split(points, leaves, total) if total else points.withColumn("shard", F.lit(0))
     placed = placed.select(F.col("id").alias(id_col), F.col("w").alias("size"), F.col("crc").alias("text_crc32"), "shard")
     return numbered(placed, ["shard"], id_col, [F.col(id_col), "text_crc32"], None, "rank").withColumn("slot", F.col("rank") - 1).drop("rank")
 

@@ -5,12 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestrata.llm import exact_dedup, kd_shards, language_id, minhash_dedup, mixing, token_counts
+from lodestrata.llm import exact_dedup, kd_shards, language_id, minhash_dedup, mixing, quality, token_counts
 from lodestrata.llm.shared import documents, remainder, stored, whole
 
 SHARDS = 40
 TOKENIZER = "piece_bpe_32k.model"
 TOKEN_LIMIT = 4096
+QUALITY_AT_LEAST = 0.3
 
 
 def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -35,6 +36,14 @@ def op6_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shards.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "quality").where(remainder("doc_id", 5) != 0)
+    weights = quality.fit(docs, labels, "quality")
+    scored = docs.select("doc_id", (remainder("doc_id", 5) == 0).alias("held_out"), quality.quality(spark, weights).alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= QUALITY_AT_LEAST).cast("int"))
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(documents(spark, sf_dir))
 
@@ -57,6 +66,7 @@ QUERIES = {
     "op2_mixing": op2_mixing,
     "op5_minhash_dedup": op5_minhash_dedup,
     "op6_kd_shards": op6_kd_shards,
+    "op7_quality": op7_quality,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_language_id": op10_language_id,
 }
