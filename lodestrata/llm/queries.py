@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestrata.llm import exact_dedup, kd_shards, language_id, minhash_dedup, mixing, neighbours, quality, token_counts
+from lodestrata.llm import exact_dedup, kd_shards, language_id, minhash_dedup, mixing, neighbours, quality, suffix_tree, token_counts
 from lodestrata.llm.shared import documents, remainder, stored, whole
 
 SHARDS = 40
@@ -27,6 +27,13 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
 
 
+def op3_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    tree = suffix_tree.fit(docs.where(remainder("doc_id", 5) != 1))
+    scored = suffix_tree.score(docs, tree)
+    return scored.withColumns({"held_out": remainder("doc_id", 5) == 1, "train_tokens": F.lit(tree.tokens).cast("long")})
+
+
 def op4_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
     return neighbours.search(vectors, vectors.where(F.col("vec_id") % 100 == 0), k=10)
@@ -69,6 +76,7 @@ FROM d WINDOW g AS (PARTITION BY norm)
 QUERIES = {
     "op1_token_counts": op1_token_counts,
     "op2_mixing": op2_mixing,
+    "op3_suffix_tree": op3_suffix_tree,
     "op4_neighbours": op4_neighbours,
     "op5_minhash_dedup": op5_minhash_dedup,
     "op6_kd_shards": op6_kd_shards,
