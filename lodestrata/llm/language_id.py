@@ -7,7 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lodestrata.llm.shared import ship
@@ -98,17 +98,17 @@ def profiles(docs: DataFrame, lang: str = "lang", text: str = "text", top: int =
     return sums.withColumn("rank", rank).where(F.col("rank") <= top).select("lang", "gram", "rank")
 
 
-def identify(docs: DataFrame, learned: DataFrame, text: str = "text", top: int = TOP) -> DataFrame:
-    """``docs`` with lang_pred and score.
+def language(learned: DataFrame, text: str = "text", top: int = TOP) -> Column:
+    """Language and score of a text, as a struct of lang_pred and score.
 
     The ``top`` most frequent n-grams of a document are compared with each profile by the distance between their ranks; one
     that a profile lacks counts ``top``. The nearest language is predicted, the first by code point where several are. The
     score is one less the mean distance over ``top``. Texts that are null or without a letter, and all texts if nothing was
-    learned, get ``und`` and 0. Columns of ``docs`` named like an added one are replaced.
+    learned, get ``und`` and 0.
 
     What comes to the driver is ``top`` n-grams for each language.
     """
-    ship(docs.sparkSession)
+    ship(learned.sparkSession)
     table = learned.toPandas()
     names = sorted(table["lang"].unique())
     known = np.unique(table["gram"].to_numpy(np.int64))
@@ -132,5 +132,10 @@ def identify(docs: DataFrame, learned: DataFrame, text: str = "text", top: int =
     def predicted(texts: pd.Series) -> pd.DataFrame:
         return pd.DataFrame([nearest(t) for t in texts], columns=["lang_pred", "score"])
 
-    rows = docs.drop("lang_pred", "score").withColumn("__found", predicted(text))
+    return predicted(text)
+
+
+def identify(docs: DataFrame, learned: DataFrame, text: str = "text", top: int = TOP) -> DataFrame:
+    """``docs`` with lang_pred and score, see ``language``. Columns of ``docs`` with these names are replaced."""
+    rows = docs.drop("lang_pred", "score").withColumn("__found", language(learned, text, top))
     return rows.withColumns({"lang_pred": F.col("__found.lang_pred"), "score": F.col("__found.score")}).drop("__found")

@@ -34,10 +34,11 @@ def source_targets(sized: DataFrame, weights: Sequence[int] = WEIGHTS, most: int
     earlier, all_rows = tight.rowsBetween(Window.unboundedPreceding, -1), Window.partitionBy()
     left = F.sum("source_size").over(all_rows) - F.coalesce(F.sum("limit").over(earlier), F.lit(0))
     share = left / (F.sum("weight").over(all_rows) - F.coalesce(F.sum("weight").over(earlier), F.lit(0)))
-    rated = rated.withColumn("share", share).withColumn("full", F.col("limit") <= F.col("share") * F.col("weight"))
-    # Sources that are not full all take the share of the first of them.
-    open_share = F.min(F.when(~F.col("full"), F.col("share"))).over(all_rows)
-    target = F.when(F.col("full"), F.col("limit").cast("double")).otherwise(F.col("weight") * open_share)
+    rated = rated.withColumn("share", share)
+    # The first source that its share doesn't fill tells what all from there on get by weight; those before it are full.
+    whole_order = tight.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    open_share = F.first(F.when(F.col("limit") > F.col("share") * F.col("weight"), F.col("share")), ignorenulls=True).over(whole_order)
+    target = F.least(F.col("limit").cast("double"), F.col("weight") * open_share)
     return rated.select("__source", "source_size", target.alias("target"))
 
 
@@ -80,8 +81,8 @@ s AS (SELECT source, sum(size)::BIGINT AS source_size, count(*) AS n FROM d GROU
 w AS (SELECT *, [5, 2, 1][((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1)::INT] AS weight, 3 * source_size AS "limit" FROM s),
 r AS (SELECT *, ((sum(source_size) OVER () - coalesce(sum("limit") OVER p, 0))::DOUBLE / (sum(weight) OVER () - coalesce(sum(weight) OVER p, 0))::DOUBLE) AS share
       FROM w WINDOW p AS (ORDER BY "limit"::DOUBLE / weight::DOUBLE, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
-f AS (SELECT *, "limit" <= share * weight AS "full" FROM r),
-t AS (SELECT source, source_size, CASE WHEN "full" THEN "limit"::DOUBLE ELSE weight * min(share) FILTER (NOT "full") OVER () END AS target FROM f),
+t AS (SELECT source, source_size, least("limit"::DOUBLE, weight * first_value(CASE WHEN "limit" > share * weight THEN share END IGNORE NULLS) OVER
+             (ORDER BY "limit"::DOUBLE / weight::DOUBLE, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)) AS target FROM r),
 k AS (SELECT d.doc_id, d.source, d.size, t.source_size, t.target, length(bin(d.size)) AS bits,
              ('0x' || substr(md5(d.doc_id::VARCHAR), 1, 8))::BIGINT % (SELECT greatest(1, (floor(sqrt(max(n))) + 15)::BIGINT // 16) FROM s) AS lane
       FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source),

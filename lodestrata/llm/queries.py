@@ -5,13 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestrata.llm import exact_dedup, kd_shards, language_id, minhash_dedup, mixing, neighbours, quality, suffix_tree, token_counts
+from lodestrata.llm import exact_dedup, kd_shards, language_id, minhash_dedup, mixing, neighbours, quality, segmentations, suffix_tree, token_counts
 from lodestrata.llm.shared import documents, remainder, stored, whole
 
 SHARDS = 40
 TOKENIZER = "piece_bpe_32k.model"
 TOKEN_LIMIT = 4096
 QUALITY_AT_LEAST = 0.3
+SAMPLES = 2
 
 
 def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -56,6 +57,13 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.withColumn("predicted", (F.col("score") >= QUALITY_AT_LEAST).cast("int"))
 
 
+def op8_segmentations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    drawn = segmentations.encode_samples(documents(spark, sf_dir), public_tokenizers.path(TOKENIZER), k=SAMPLES)
+    return drawn.drop("ids")
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(documents(spark, sf_dir))
 
@@ -81,6 +89,7 @@ QUERIES = {
     "op5_minhash_dedup": op5_minhash_dedup,
     "op6_kd_shards": op6_kd_shards,
     "op7_quality": op7_quality,
+    "op8_segmentations": op8_segmentations,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_language_id": op10_language_id,
 }
