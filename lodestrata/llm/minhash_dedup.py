@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lodestrata.llm.components import components
+from lodestrata.llm.filters import maybe_in
 from lodestrata.llm.shared import ship, stored
 from lodestrata.llm.words import WordHashes, chained, shingles
 
@@ -69,27 +70,35 @@ def _stacked(blobs) -> np.ndarray:
     return np.frombuffer(b"".join(blobs), dtype=np.uint16).reshape(len(blobs), -1)
 
 
+def _similar(one: np.ndarray, two: np.ndarray, percent: int) -> bool:
+    both = len(np.intersect1d(one, two, assume_unique=True))
+    return 100 * both >= percent * (len(one) + len(two) - both)
+
+
+def _texts_of(texts: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The texts of ``nodes``; a filter drops the others before they are shuffled."""
+    spark = texts.sparkSession
+    wanted = maybe_in(spark, nodes.select(F.xxhash64("node").alias("key")))
+    return texts.where(wanted(F.xxhash64("node"))).join(nodes, "node", "left_semi")
+
+
 def _confirmed(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
     """The pairs (a, b) whose whole shingle sets are similar enough. A hot ``a`` is cut into blocks of its partners."""
     pairs = stored(pairs, "near-survivors")
-    needed = stored(texts.join(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "node", "left_semi"), "near-texts")
+    needed = stored(_texts_of(texts, pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()), "near-texts")
     blocks = stored(pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("long").alias("blocks")), "near-blocks")
     right = pairs.join(blocks, "a").withColumn("block", F.pmod(F.xxhash64("b"), "blocks")).drop("blocks")
     right = right.join(needed.select(F.col("node").alias("b"), F.col("text").alias("text")), "b")
-    left = blocks.join(needed.select(F.col("node").alias("a"), F.col("text").alias("text")), "a").withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))).select("a", "block", "text")
+    left = blocks.join(needed.select(F.col("node").alias("a"), F.col("text").alias("text")), "a")
+    left = left.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))).select("a", "block", "text")
     right = right.select(F.col("a").alias("a"), F.col("b").alias("b"), F.col("block").alias("block"), "text")
 
     def compare(one: pd.DataFrame, many: pd.DataFrame) -> pd.DataFrame:
-        if not len(one) or not len(many):
-            return pd.DataFrame({"a": pd.Series([], dtype="int64"), "b": pd.Series([], dtype="int64")})
-        own = shingles(one["text"].iloc[0], size, _KEPT)
         found = []
-        for b, text in zip(many["b"], many["text"], strict=True):
-            other = shingles(text, size, _KEPT)
-            both = len(np.intersect1d(own, other, assume_unique=True))
-            if 100 * both >= percent * (len(own) + len(other) - both):
-                found.append(b)
-        return pd.DataFrame({"a": [one["a"].iloc[0]] * len(found), "b": found}).astype("int64")
+        if len(one) and len(many):
+            own = shingles(one["text"].iloc[0], size, _KEPT)
+            found = [b for b, text in zip(many["b"], many["text"], strict=True) if _similar(own, shingles(text, size, _KEPT), percent)]
+        return pd.DataFrame({"a": [one["a"].iloc[0]] * len(found) if found else [], "b": found}).astype("int64")
 
     return left.groupBy("a", "block").cogroup(right.groupBy("a", "block")).applyInPandas(compare, "a long, b long")
 
@@ -102,14 +111,15 @@ def near_groups(docs: DataFrame, size: int = 5, percent: int = 80, bands: int =
     1. Documents with equal sets are one class, held by its smallest id; everything below is done between classes.
     2. Classes that share a band of their signature are candidates. First each is compared with the smallest of its bucket;
        components of what is confirmed are formed; then all members of a bucket that lie in different components are
-       compared. A bucket of any size whose members are alike thus costs a row each. Nothing is capped.
+       compared, block by block. A bucket of any size whose members are alike thus costs a row each. Nothing is capped.
     3. Candidates are compared in batches of ``BATCH`` hashes and leave once the posterior chance of reaching the threshold is
-       below ``miss``; survivors are confirmed on their whole sets (64-bit hashes of the shingles).
+       below ``miss``; survivors are confirmed on their whole sets (64-bit hashes of the shingles). Only links leave a task.
 
     A pair right at 80 % shares no band with a chance of 6e-5 (32 bands of 6), less above. Null and empty texts, and texts without words, have an empty set, are linked with
     nothing and kept; null ids too. Rows that share an id are one document. An empty table gives an empty result. Other columns are not read.
     """
-    ship(docs.sparkSession)
+    spark = docs.sparkSession
+    ship(spark)
     factors, offsets = _permutations(bands * rows)
 
     def signed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -128,50 +138,73 @@ def near_groups(docs: DataFrame, size: int = 5, percent: int = 80, bands: int =
 
     plain = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text).alias("text"))
     sets = stored(plain.mapInPandas(signed, "id long, n long, key binary, sig binary, buckets array<long>"), "near-sets")
-    held = sets.where("key IS NOT NULL").groupBy("key")
-    classes = stored(held.agg(F.min("id").alias("node"), F.any_value("sig").alias("sig"), F.any_value("buckets").alias("buckets")), "near-classes")
-    members = stored(classes.select(F.explode("buckets").alias("bucket"), "node"), "near-buckets")
+    # Only keys that occur twice are grouped with their signatures; the filter tells the others without a shuffle.
+    keyed = sets.where("key IS NOT NULL").withColumn("short", F.conv(F.hex(F.substring("key", 1, 7)), 16, 10).cast("long"))
+    twice = stored(keyed.groupBy("key").agg(F.min("short").alias("short"), F.count(F.lit(1)).alias("n")).where("n > 1"), "near-equal")
+    copied = maybe_in(spark, twice.select(F.xxhash64("short").alias("key")))
+    flagged = keyed.withColumn("copied", copied(F.xxhash64("short")))
+    grouped = flagged.where("copied").groupBy("key").agg(F.min("id").alias("node"), F.any_value("sig").alias("sig"), F.any_value("buckets").alias("buckets"))
+    lone = flagged.where("NOT copied").select("key", F.col("id").alias("node"), "sig", "buckets")
+    classes = stored(lone.unionByName(grouped), "near-classes")
     texts = plain.withColumnRenamed("id", "node")
-    signs = classes.select("node", "sig")
     bounds = least_matches(percent / 100, miss, BATCH, bands * rows)
 
     @F.pandas_udf("boolean")
     def likely(a: pd.Series, b: pd.Series) -> pd.Series:
         return pd.Series(plausible(_stacked(a), _stacked(b), bounds), dtype=bool) if len(a) else pd.Series([], dtype=bool)
 
-    centres = stored(members.groupBy("bucket").agg(F.min("node").alias("a"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n"), "near-centres")
-    stars = stored(members.join(centres, "bucket").where("a <> node").select("a", F.col("node").alias("b")).distinct(), "near-stars")
-    signed_pairs = stars.join(signs.toDF("a", "sig_a"), "a").join(signs.toDF("b", "sig_b"), "b")
-    links = stored(_confirmed(signed_pairs.where(likely("sig_a", "sig_b")).select("a", "b"), texts, size, percent), "near-links")
+    members = classes.select(F.posexplode("buckets").alias("band", "bucket"), "node")
+    shared = members.groupBy("bucket").agg(F.min("node").alias("a"), F.max("node").alias("last"), F.count(F.lit(1)).alias("n"))
+    shared = stored(shared.where("a <> last").drop("last"), "near-shared")
+    crowded = maybe_in(spark, shared.select(F.xxhash64("bucket").alias("key")))
+    crowd = stored(members.where(crowded(F.xxhash64("bucket"))).join(shared, "bucket"), "near-crowd")
+    stars = stored(crowd.where("a <> node").select("a", F.col("node").alias("b")).distinct(), "near-stars")
+    met = maybe_in(spark, crowd.select(F.xxhash64("node").alias("key")).distinct())
+    signs = stored(classes.where(met(F.xxhash64("node"))).select("node", "sig", "buckets"), "near-signs")
+    sig = signs.select("node", "sig")
+    pairs = stars.join(sig.toDF("a", "sig_a"), "a").join(sig.toDF("b", "sig_b"), "b").where(likely("sig_a", "sig_b")).select("a", "b")
+    links = stored(_confirmed(pairs, texts, size, percent), "near-links")
     found = stored(components(links), "near-components")
 
-    placed = members.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    placed = stored(placed, "near-placed")
-    mixed = placed.groupBy("bucket").agg(F.min("component").alias("least"), F.max("component").alias("most"), F.count(F.lit(1)).alias("n"))
-    mixed = stored(mixed.where("least <> most").select("bucket", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")), "near-mixed")
-    inside = placed.join(mixed, "bucket").join(signs, "node").withColumn("block", F.pmod(F.xxhash64("node"), "blocks").cast("int"))
+    placed = crowd.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    placed = stored(placed.select("band", "bucket", "node", "component", "n"), "near-placed")
+    mixed = placed.groupBy("bucket").agg(F.min("component").alias("least"), F.max("component").alias("most"))
+    mixed = stored(mixed.where("least <> most").select("bucket"), "near-mixed")
+    inside = stored(placed.join(mixed, "bucket", "left_semi"), "near-inside")
+    nodes = inside.select("node").distinct()
+    known = stored(_texts_of(texts, nodes).join(signs, "node"), "near-known")
+    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
     # Every block of a bucket meets every block, itself too: both sorted numbers are part of the group's key.
-    spread = inside.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    spread = spread.select("bucket", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "node", "component", "sig")
+    spread = inside.join(known, "node").withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("node"), "blocks").cast("int"))
+    spread = spread.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    spread = spread.select("bucket", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "band", "node", "component", "sig", "buckets", "text")
 
     def across(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values("node")
-        low, high = group["low"].iloc[0], group["high"].iloc[0]
+        """Links between members of a bucket that lie in different components, each pair in the first band it shares."""
+        group = group.drop_duplicates(["node", "block"]).sort_values("node")
+        low, high, band = group["low"].iloc[0], group["high"].iloc[0], group["band"].iloc[0]
         one, two = group[group["block"] == low], group[group["block"] == high]
-        sigs, comps, nodes = _stacked(two["sig"].tolist()) if len(two) else None, two["component"].to_numpy(), two["node"].to_numpy()
-        left, right = [], []
-        for node, comp, sig in zip(one["node"], one["component"], one["sig"], strict=True):
-            at = np.flatnonzero((comps != comp) & ((nodes > node) | (low != high)))
-            if len(at):
-                own = np.broadcast_to(np.frombuffer(sig, dtype=np.uint16), (len(at), bands * rows))
-                near = nodes[at[plausible(own, sigs[at], bounds)]]
-                left.append(np.minimum(near, node))
-                right.append(np.maximum(near, node))
-        empty = np.zeros(0, dtype=np.int64)
-        return pd.DataFrame({"a": np.concatenate([empty, *left]), "b": np.concatenate([empty, *right])})
-
-    more = spread.groupBy("bucket", "low", "high").applyInPandas(across, "a long, b long").distinct().join(stars, ["a", "b"], "left_anti")
-    links = links.unionByName(_confirmed(more, texts, size, percent))
+        found: list[tuple[int, int]] = []
+        if len(two):
+            sigs, all_buckets = _stacked(two["sig"].tolist()), np.stack(two["buckets"].to_numpy())
+            comps, nodes, bodies = two["component"].to_numpy(), two["node"].to_numpy(), two["text"].tolist()
+            sets: dict[int, np.ndarray] = {}
+            for node, comp, own_sig, own_buckets, body in zip(one["node"], one["component"], one["sig"], one["buckets"], one["text"], strict=True):
+                at = np.flatnonzero((comps != comp) & ((nodes > node) | (low != high)))
+                at = at[(all_buckets[at] == own_buckets).argmax(axis=1) == band]
+                if len(at):
+                    repeated = np.broadcast_to(np.frombuffer(own_sig, dtype=np.uint16), (len(at), bands * rows))
+                    at = at[plausible(repeated, sigs[at], bounds)]
+                own = shingles(body, size, _KEPT) if len(at) else None
+                for i in at:
+                    if nodes[i] not in sets:
+                        sets[nodes[i]] = shingles(bodies[i], size, _KEPT)
+                    if _similar(own, sets[nodes[i]], percent):
+                        found.append((min(node, nodes[i]), max(node, nodes[i])))
+        return pd.DataFrame(found, columns=["a", "b"]).astype("int64")
+
+    more = spread.groupBy("bucket", "low", "high").applyInPandas(across, "a long, b long")
+    links = stored(links.unionByName(more), "near-links")
     reached = stored(components(links), "near-components")
 
     held_by = classes.select("key", "node").join(reached, "node", "left").select(F.col("key").alias("k"), F.coalesce("component", "node").alias("component"))
