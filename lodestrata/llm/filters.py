@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Bits of a filter. One that is full costs rows that the join then drops, not results.
-FILTER_BITS = 1 << 26
+FILTER_BITS = 1 << 25
 _U = np.uint64
 
 

@@ -30,7 +30,17 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     """``df`` written once to the shared folder and read back, so a lost executor costs a re-read and later readers no plan."""
     path = f"{shared_root(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    back = df.sparkSession.read.schema(df.schema).parquet(path)
+    back._stored_at = path
+    return back
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables that ``stored`` wrote, once nothing that is still to run reads them."""
+    for table in tables:
+        spark = table.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(table._stored_at)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def release(spark: SparkSession) -> None:
