@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import BooleanType, DoubleType, IntegerType, LongType, StringType, StructType, TimestampType
 
 # --- Fixed values: entities, layers, lineage columns, column types, table contracts ---------
 
@@ -16,13 +16,20 @@ EVENT_ENTITY = "indicador_alfabetizacao"
 INTEGRATED_ENTITY = "municipio_indicador_completo"
 GOLD_VIEWS = ("indicador_municipio", "meta_vs_resultado", "evolucao_temporal")
 
+# Partition that holds the full date of a load, above all others
+LOAD = "carga"
+UNPARSABLE = "unparsable: "
+
 TARGET_PREFIX = "meta_alfabetizacao_"
 TARGET_YEARS = range(2024, 2031)
 
 LINEAGE = {
-    "bronze": ("_ingestion_timestamp!", "_ingestion_date!", "_source_entity!", "_job_name!", "_record_hash"),
-    "silver": ("_silver_processed_at!",),
-    "gold": ("_gold_processed_at!",),
+    "bronze": (
+        "_ingestion_timestamp TIMESTAMP NOT NULL, _ingestion_date STRING NOT NULL, "
+        "_source_entity STRING NOT NULL, _job_name STRING NOT NULL, _record_hash STRING"
+    ),
+    "silver": "_silver_processed_at TIMESTAMP NOT NULL",
+    "gold": "_gold_processed_at TIMESTAMP NOT NULL",
 }
 
 BUSINESS_KEYS = {
@@ -36,92 +43,90 @@ BUSINESS_KEYS = {
     INTEGRATED_ENTITY: ("id_municipio", "ano", "rede"),
 }
 
-# A column has the same type wherever it appears; a column not listed is a string.
-COLUMN_TYPES = {
-    "integer": ("ano", "ranking_taxa"),
-    "long": (
-        "total_alunos",
-        "total_alfabetizados",
-        "total_alunos_avaliados",
-        "municipios_total",
-        "municipios_acima_meta",
-        "municipios_abaixo_meta",
-    ),
-    "double": (
-        "taxa_alfabetizacao",
-        "percentual_participacao",
-        "proficiencia",
-        "peso_aluno",
-        "meta",
-        "meta_vigente",
-        "gap_meta",
-        "delta_anual",
-        "delta_percentual",
-        "indicador_uf",
-        "pct_alfabetizados",
-        "pct_anterior",
-        "meta_pct",
-        "taxa_media",
-        "meta_media",
-        "gap_medio",
-        "taxa_anterior",
-        "taxa_alfabetizacao_calc",
-    ),
-    "boolean": ("atingiu_meta",),
-    "timestamp": ("_ingestion_timestamp", "_silver_processed_at", "_gold_processed_at"),
-}
-
-# "!" marks a column that may not be null, "<targets>" the yearly target columns.
+# Declared schemas as DDL; {targets} stands for a DOUBLE column per target year.
 CONTRACTS = {
-    ("uf", "bronze"): "id_uf sigla nome regiao",
-    ("uf", "silver"): "id_uf! sigla_uf! nome_uf! regiao",
-    ("uf", "gold"): "sigla_uf! nome_uf! regiao",
-    ("municipio", "bronze"): "id_municipio sigla_uf nome nome_uf",
-    ("municipio", "silver"): "id_municipio! sigla_uf! nome_municipio! nome_uf",
-    ("municipio", "gold"): "id_municipio! sigla_uf! nome_municipio!",
-    ("meta_brasil", "bronze"): "ano rede taxa_alfabetizacao <targets> percentual_participacao",
-    ("meta_brasil", "silver"): "ano! rede! taxa_alfabetizacao <targets> percentual_participacao",
-    ("meta_brasil", "gold"): "ano! rede! taxa_alfabetizacao meta_vigente gap_meta atingiu_meta",
-    ("meta_uf", "bronze"): "ano sigla_uf rede taxa_alfabetizacao <targets> percentual_participacao",
-    ("meta_uf", "silver"): "ano! sigla_uf! rede! taxa_alfabetizacao <targets> percentual_participacao",
-    ("meta_uf", "gold"): "ano! sigla_uf! taxa_alfabetizacao meta_vigente gap_meta atingiu_meta",
+    ("uf", "bronze"): "id_uf STRING, sigla STRING, nome STRING, regiao STRING",
+    ("uf", "silver"): "id_uf STRING NOT NULL, sigla_uf STRING NOT NULL, nome_uf STRING NOT NULL, regiao STRING",
+    ("uf", "gold"): "sigla_uf STRING NOT NULL, nome_uf STRING NOT NULL, regiao STRING",
+    ("municipio", "bronze"): "id_municipio STRING, sigla_uf STRING, nome STRING, nome_uf STRING",
+    ("municipio", "silver"): (
+        "id_municipio STRING NOT NULL, sigla_uf STRING NOT NULL, nome_municipio STRING NOT NULL, "
+        "nome_uf STRING"
+    ),
+    ("municipio", "gold"): "id_municipio STRING NOT NULL, sigla_uf STRING NOT NULL, nome_municipio STRING NOT NULL",
+    ("meta_brasil", "bronze"): "ano INT, rede STRING, taxa_alfabetizacao DOUBLE, {targets}, percentual_participacao DOUBLE",
+    ("meta_brasil", "silver"): (
+        "ano INT NOT NULL, rede STRING NOT NULL, taxa_alfabetizacao DOUBLE, {targets}, "
+        "percentual_participacao DOUBLE"
+    ),
+    ("meta_brasil", "gold"): (
+        "ano INT NOT NULL, rede STRING NOT NULL, taxa_alfabetizacao DOUBLE, meta_vigente DOUBLE, "
+        "gap_meta DOUBLE, atingiu_meta BOOLEAN"
+    ),
+    ("meta_uf", "bronze"): (
+        "ano INT, sigla_uf STRING, rede STRING, taxa_alfabetizacao DOUBLE, {targets}, "
+        "percentual_participacao DOUBLE"
+    ),
+    ("meta_uf", "silver"): (
+        "ano INT NOT NULL, sigla_uf STRING NOT NULL, rede STRING NOT NULL, taxa_alfabetizacao DOUBLE, "
+        "{targets}, percentual_participacao DOUBLE"
+    ),
+    ("meta_uf", "gold"): (
+        "ano INT NOT NULL, sigla_uf STRING NOT NULL, taxa_alfabetizacao DOUBLE, meta_vigente DOUBLE, "
+        "gap_meta DOUBLE, atingiu_meta BOOLEAN"
+    ),
     ("meta_municipio", "bronze"): (
-        "ano id_municipio rede taxa_alfabetizacao <targets> nivel_alfabetizacao percentual_participacao"
+        "ano INT, id_municipio STRING, rede STRING, taxa_alfabetizacao DOUBLE, {targets}, "
+        "nivel_alfabetizacao STRING, percentual_participacao DOUBLE"
     ),
     ("meta_municipio", "silver"): (
-        "ano! id_municipio! sigla_uf rede! taxa_alfabetizacao <targets> nivel_alfabetizacao"
-        " percentual_participacao gap_meta atingiu_meta"
+        "ano INT NOT NULL, id_municipio STRING NOT NULL, sigla_uf STRING, rede STRING NOT NULL, "
+        "taxa_alfabetizacao DOUBLE, {targets}, nivel_alfabetizacao STRING, "
+        "percentual_participacao DOUBLE, gap_meta DOUBLE, atingiu_meta BOOLEAN"
     ),
     ("meta_municipio", "gold"): (
-        "ano! id_municipio! sigla_uf! nome_municipio taxa_alfabetizacao meta_vigente gap_meta atingiu_meta"
-        " delta_anual"
+        "ano INT NOT NULL, id_municipio STRING NOT NULL, sigla_uf STRING NOT NULL, "
+        "nome_municipio STRING, taxa_alfabetizacao DOUBLE, meta_vigente DOUBLE, gap_meta DOUBLE, "
+        "atingiu_meta BOOLEAN, delta_anual DOUBLE"
     ),
     ("alunos", "bronze"): (
-        "ano id_municipio id_escola id_aluno caderno serie rede presenca preenchimento_caderno alfabetizado"
-        " proficiencia peso_aluno"
+        "ano INT, id_municipio STRING, id_escola STRING, id_aluno STRING, caderno STRING, serie STRING, "
+        "rede STRING, presenca STRING, preenchimento_caderno STRING, alfabetizado STRING, "
+        "proficiencia DOUBLE, peso_aluno DOUBLE"
     ),
     ("alunos", "silver"): (
-        "ano! id_municipio! id_escola id_aluno! serie rede alfabetizado proficiencia peso_aluno"
+        "ano INT NOT NULL, id_municipio STRING NOT NULL, id_escola STRING, id_aluno STRING NOT NULL, "
+        "serie STRING, rede STRING, alfabetizado STRING, proficiencia DOUBLE, peso_aluno DOUBLE"
+    ),
+    ("alunos", "gold"): (
+        "ano INT NOT NULL, id_municipio STRING NOT NULL, total_alunos BIGINT NOT NULL, "
+        "total_alfabetizados BIGINT NOT NULL, taxa_alfabetizacao_calc DOUBLE"
     ),
-    ("alunos", "gold"): "ano! id_municipio! total_alunos! total_alfabetizados! taxa_alfabetizacao_calc",
     (EVENT_ENTITY, "bronze"): (
-        "event_id event_type timestamp id_municipio sigla_uf ano taxa_alfabetizacao meta"
+        "event_id STRING, event_type STRING, timestamp STRING, id_municipio STRING, sigla_uf STRING, "
+        "ano INT, taxa_alfabetizacao DOUBLE, meta DOUBLE"
     ),
     (INTEGRATED_ENTITY, "silver"): (
-        "ano id_municipio sigla_uf rede taxa_alfabetizacao <targets> nivel_alfabetizacao"
-        " percentual_participacao gap_meta atingiu_meta nome_municipio nome_uf indicador_uf event_id _source_type"
+        "ano INT, id_municipio STRING, sigla_uf STRING, rede STRING, taxa_alfabetizacao DOUBLE, "
+        "{targets}, nivel_alfabetizacao STRING, percentual_participacao DOUBLE, gap_meta DOUBLE, "
+        "atingiu_meta BOOLEAN, nome_municipio STRING, nome_uf STRING, indicador_uf DOUBLE, "
+        "event_id STRING, _source_type STRING"
     ),
     ("indicador_municipio", "gold"): (
-        "id_municipio nome sigla_uf nome_uf ano rede pct_alfabetizados meta_pct gap_meta atingiu_meta"
-        " indicador_uf nivel_alfabetizacao percentual_participacao total_alunos_avaliados"
+        "id_municipio STRING, nome STRING, sigla_uf STRING, nome_uf STRING, ano INT, rede STRING, "
+        "pct_alfabetizados DOUBLE, meta_pct DOUBLE, gap_meta DOUBLE, atingiu_meta BOOLEAN, "
+        "indicador_uf DOUBLE, nivel_alfabetizacao STRING, percentual_participacao DOUBLE, "
+        "total_alunos_avaliados BIGINT"
     ),
     ("meta_vs_resultado", "gold"): (
-        "sigla_uf ano taxa_media meta_media gap_medio municipios_total municipios_acima_meta"
-        " municipios_abaixo_meta ranking_taxa taxa_anterior delta_percentual regiao nome_uf"
+        "sigla_uf STRING, ano INT, taxa_media DOUBLE, meta_media DOUBLE, gap_medio DOUBLE, "
+        "municipios_total BIGINT, municipios_acima_meta BIGINT, municipios_abaixo_meta BIGINT, "
+        "ranking_taxa INT, taxa_anterior DOUBLE, delta_percentual DOUBLE, regiao STRING, nome_uf STRING"
     ),
     ("evolucao_temporal", "gold"): (
-        "id_municipio nome sigla_uf nome_uf rede ano pct_alfabetizados pct_anterior delta_percentual"
-        " delta_anual meta_pct gap_meta atingiu_meta"
+        "id_municipio STRING, nome STRING, sigla_uf STRING, nome_uf STRING, rede STRING, ano INT, "
+        "pct_alfabetizados DOUBLE, pct_anterior DOUBLE, delta_percentual DOUBLE, delta_anual DOUBLE, "
+        "meta_pct DOUBLE, gap_meta DOUBLE, atingiu_meta BOOLEAN"
     ),
 }
 
@@ -148,25 +153,28 @@ VOLUME_BANDS = {
 
 # --- End of fixed values ---------------------------------------------------------------------
 
-_TYPE_OF = {column: kind for kind, columns in COLUMN_TYPES.items() for column in columns}
+_TYPES = {
+    "INT": IntegerType(),
+    "BIGINT": LongType(),
+    "DOUBLE": DoubleType(),
+    "BOOLEAN": BooleanType(),
+    "TIMESTAMP": TimestampType(),
+    "STRING": StringType(),
+}
 
 
 class ContractError(ValueError):
     """A table does not have the columns its contract declares."""
 
 
-def column_type(name: str) -> str:
-    if name.startswith(TARGET_PREFIX):
-        return "double"
-    return _TYPE_OF.get(name, "string")
-
-
-def struct_of(columns: Iterable[str]) -> StructType:
-    """A StructType from column names, each with the type the data model gives that name."""
+def struct_of(ddl: str) -> StructType:
+    """The StructType of a DDL string; works without a session. An unknown type is an error."""
     schema = StructType()
-    for column in columns:
-        name = column.rstrip("!")
-        schema = schema.add(name, column_type(name), nullable=not column.endswith("!"))
+    for column in ddl.split(", "):
+        name, kind, *rest = column.split(" ")
+        if kind not in _TYPES or rest not in ([], ["NOT", "NULL"]):
+            raise ContractError(f"not a column of a contract: {column}")
+        schema = schema.add(name, _TYPES[kind], nullable=not rest)
     return schema
 
 
@@ -179,19 +187,18 @@ def schema_for(
         raise KeyError(f"unknown entity: {entity}")
     if (entity, layer) not in CONTRACTS:
         raise KeyError(f"{entity} has no contract in layer {layer}")
-    targets = " ".join(f"{TARGET_PREFIX}{year}" for year in target_years)
-    columns = CONTRACTS[entity, layer].replace("<targets>", targets).split()
+    targets = ", ".join(f"{TARGET_PREFIX}{year} DOUBLE" for year in target_years)
+    columns = [CONTRACTS[entity, layer].format(targets=targets)]
     if lineage:
-        extra = ("_source_type",) if (entity, layer) == (EVENT_ENTITY, "bronze") else ()
-        columns += [*LINEAGE[layer], *extra]
-    return struct_of(columns)
+        extra = ["_source_type STRING"] if (entity, layer) == (EVENT_ENTITY, "bronze") else []
+        columns += [LINEAGE[layer], *extra]
+    return struct_of(", ".join(columns))
 
 
 def partition_columns(entity: str, layer: str) -> tuple[str, ...]:
-    """Raw data and the directories are split by year too, everything else by load month and day."""
-    if layer.lower() == "bronze" or entity in DIRECTORY_ENTITIES:
-        return ("ano", "mes", "dia")
-    return ("mes", "dia")
+    """The load's full date first, then year (raw data and directories), month and day. Events are appended, not loaded."""
+    parts = ("ano", "mes", "dia") if layer.lower() == "bronze" or entity in DIRECTORY_ENTITIES else ("mes", "dia")
+    return parts if entity == EVENT_ENTITY else (LOAD, *parts)
 
 
 def stored_schema(
@@ -206,18 +213,25 @@ def stored_schema(
 
 
 def conform(df: DataFrame, schema: StructType) -> DataFrame:
-    """Exactly the declared columns, in order, cast to the declared types."""
+    """Exactly the declared columns, in order, with the declared types; text that is no value of its type becomes null."""
     missing = [name for name in schema.fieldNames() if name not in df.columns]
     if missing:
         raise ContractError(f"missing columns: {', '.join(missing)}")
-    return df.select([F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+    return df.select([F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema.fields])
+
+
+def unparsable(df: DataFrame, schema: StructType) -> Column:
+    """Names of the columns that hold something ``conform`` makes null, as text; null where there are none."""
+    lost = [F.when(F.col(f.name).isNotNull() & F.col(f.name).try_cast(f.dataType).isNull(), F.lit(f.name)) for f in schema.fields if f.name in df.columns]
+    names = F.concat_ws(", ", *lost)
+    return F.when(names != "", F.concat(F.lit(UNPARSABLE), names))
 
 
 def conform_present(df: DataFrame, schema: StructType) -> DataFrame:
     """Like ``conform``, but a column the input lacks becomes a null of the declared type."""
     return df.select(
         [
-            (F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name)
+            (F.col(f.name) if f.name in df.columns else F.lit(None)).try_cast(f.dataType).alias(f.name)
             for f in schema.fields
         ]
     )

@@ -8,7 +8,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lodestrata.contracts import DIRECTORY_ENTITIES, EVENT_ENTITY, LINEAGE
+from lodestrata.contracts import DIRECTORY_ENTITIES, EVENT_ENTITY, LINEAGE, struct_of
 
 # Job labels and source types
 BATCH_JOB = "etl-bronze-batch"
@@ -16,7 +16,7 @@ STREAM_JOB = "etl-bronze-streaming"
 BATCH_SOURCE = "batch"
 STREAM_SOURCE = "streaming"
 
-TECHNICAL_COLUMNS = tuple(name.rstrip("!") for name in LINEAGE["bronze"]) + ("_source_type",)
+TECHNICAL_COLUMNS = (*struct_of(LINEAGE["bronze"]).fieldNames(), "_source_type")
 
 
 def fingerprint(columns: Sequence[str]) -> Column:
@@ -25,6 +25,11 @@ def fingerprint(columns: Sequence[str]) -> Column:
     return F.md5(F.concat_ws("|", *texts))
 
 
+def load_name(run_ts: datetime) -> str:
+    """The full date of a load, which names its folder."""
+    return f"{run_ts:%Y-%m-%d}"
+
+
 def load_parts(run_ts: datetime, with_year: bool) -> dict[str, Column]:
     """Partition values of one load as zero-padded text."""
     parts = {"ano": F.lit(f"{run_ts:%Y}")} if with_year else {}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodestrata.contracts import BUSINESS_KEYS, CONTRACTS, EVENT_ENTITY
+from lodestrata.contracts import BUSINESS_KEYS, EVENT_ENTITY, schema_for
 from lodestrata.functions.lineage import drop_technical
 from lodestrata.functions.numbers import lenient_double
 from lodestrata.functions.targets import derived_flag, gap, reached, target_in_force
@@ -103,7 +103,7 @@ def clean_alunos(df: DataFrame) -> DataFrame:
         typed = typed.withColumn("id_escola", F.col("id_escola").cast("string"))
     if "peso_aluno" in df.columns:
         typed = typed.withColumn("peso_aluno", lenient_double(F.col("peso_aluno")))
-    wanted = CONTRACTS["alunos", "silver"].replace("!", "").split()
+    wanted = schema_for("alunos", "silver", lineage=False).fieldNames()
     return _one_per_key(project_present(typed, [*wanted, LOADED_AT]), "alunos")
 
 

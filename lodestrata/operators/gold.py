@@ -130,10 +130,14 @@ def gold_meta_brasil(meta_brasil: DataFrame) -> DataFrame:
     return conform(with_target_gap(meta_brasil), schema_for("meta_brasil", "gold", lineage=False))
 
 
+def _with_network(view: DataFrame, entity: str) -> DataFrame:
+    contract = schema_for(entity, "gold", lineage=False)
+    return conform(view, contract.add("rede", "string"))
+
+
 def gold_meta_uf(meta_uf: DataFrame) -> DataFrame:
-    """One row per year and state: the contract has no network, so the first network by name stands."""
-    one = first_per_key(meta_uf, ["sigla_uf", "ano"], [F.col("rede").asc_nulls_last()])
-    return conform(with_target_gap(one), schema_for("meta_uf", "gold", lineage=False))
+    """One row per year, state and network; the network is a column beside those of the contract."""
+    return _with_network(with_target_gap(meta_uf), "meta_uf")
 
 
 def gold_meta_municipio(integrated: DataFrame) -> DataFrame:
@@ -141,7 +145,7 @@ def gold_meta_municipio(integrated: DataFrame) -> DataFrame:
     by_year = Window.partitionBy("id_municipio", "rede").orderBy(F.col("ano").asc_nulls_last())
     rate = F.col("taxa_alfabetizacao")
     view = _base(integrated, *NAMES).withColumn("delta_anual", round2(rate - F.lag(rate).over(by_year)))
-    return conform(view, schema_for("meta_municipio", "gold", lineage=False))
+    return _with_network(view, "meta_municipio")
 
 
 def check_view(view: DataFrame, name: str) -> DataFrame:

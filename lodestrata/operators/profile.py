@@ -14,31 +14,46 @@ from lodestrata.functions.lineage import STREAM_SOURCE
 
 # The part each column plays in the model, and the keys a table may be identified by
 COLUMN_ROLES = {
-    "chave": ("ano", "sigla_uf", "id_municipio", "id_aluno", "id_escola"),
-    "dimensao": (
-        "rede", "serie", "presenca", "preenchimento_caderno", "caderno", "nome", "nome_uf", "nome_municipio",
-    ),
-    "resultado": (
-        "taxa_alfabetizacao", "media_portugues", "proficiencia", "alfabetizado", "peso_aluno",
-        "percentual_participacao", "nivel_alfabetizacao",
-    ),
+    "ano": "chave",
+    "sigla_uf": "chave",
+    "id_municipio": "chave",
+    "id_aluno": "chave",
+    "id_escola": "chave",
+    "rede": "dimensao",
+    "serie": "dimensao",
+    "presenca": "dimensao",
+    "preenchimento_caderno": "dimensao",
+    "caderno": "dimensao",
+    "nome": "dimensao",
+    "nome_uf": "dimensao",
+    "nome_municipio": "dimensao",
+    "taxa_alfabetizacao": "resultado",
+    "media_portugues": "resultado",
+    "proficiencia": "resultado",
+    "alfabetizado": "resultado",
+    "peso_aluno": "resultado",
+    "percentual_participacao": "resultado",
+    "nivel_alfabetizacao": "resultado",
 }
 PREFIX_ROLES = {TARGET_PREFIX: "meta", "proporcao_aluno_nivel_": "indicador"}
 CANDIDATE_KEYS = ("id_municipio", "sigla_uf", "ano", "rede", "serie", "id_aluno")
 TYPE_NAMES = {
-    "INTEGER": ("tinyint", "smallint", "int", "bigint"),
-    "FLOAT": ("float", "double"),
-    "BOOLEAN": ("boolean",),
-    "TIMESTAMP": ("timestamp", "timestamp_ntz", "date"),
+    "tinyint": "INTEGER",
+    "smallint": "INTEGER",
+    "int": "INTEGER",
+    "bigint": "INTEGER",
+    "float": "FLOAT",
+    "double": "FLOAT",
+    "boolean": "BOOLEAN",
+    "timestamp": "TIMESTAMP",
+    "timestamp_ntz": "TIMESTAMP",
+    "date": "TIMESTAMP",
 }
 
-_ROLE_OF = {column: role for role, columns in COLUMN_ROLES.items() for column in columns}
-_TYPE_NAME_OF = {kind: name for name, kinds in TYPE_NAMES.items() for kind in kinds}
-
 
 def column_role(name: str) -> str:
-    if name in _ROLE_OF:
-        return _ROLE_OF[name]
+    if name in COLUMN_ROLES:
+        return COLUMN_ROLES[name]
     return next((role for prefix, role in PREFIX_ROLES.items() if name.startswith(prefix)), "atributo")
 
 
@@ -49,7 +64,7 @@ def profile_table(df: DataFrame) -> DataFrame:
     rows = [
         F.struct(
             F.lit(name).alias("nome"),
-            F.lit(_TYPE_NAME_OF.get(kind, "STRING")).alias("tipo"),
+            F.lit(TYPE_NAMES.get(kind, "STRING")).alias("tipo"),
             F.lit(column_role(name)).alias("papel"),
             F.col(f"n{i}").alias("nulos"),
             F.col("total_linhas"),

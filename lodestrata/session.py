@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -24,9 +25,8 @@ RUNTIME_SETTINGS = {
 }
 
 SHUFFLE_BYTES = 256 << 20
-MOST_SHUFFLE_PARTITIONS = 50_000
-
-_local_roots: dict[str, str] = {}
+UNKNOWN_SIZE = 1 << 60
+INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 
 
 def build_session(app_name: str = "lodestrata", master: str | None = None, **settings: str) -> SparkSession:
@@ -46,31 +46,74 @@ def apply_settings(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def fit_shuffle(spark: SparkSession, input_bytes: int) -> SparkSession:
-    """Lets shuffles over an input of this many (compressed) bytes start with partitions small enough to sort.
+def input_bytes(*tables: DataFrame) -> int:
+    """Size of the files that some plans read, as the optimizer knows it from their leaves; nothing is read.
 
-    Only ever raises the number; adaptive execution joins what turns out too small.
+    Sources that state no size count nothing.
     """
-    wanted = min(input_bytes // SHUFFLE_BYTES, MOST_SHUFFLE_PARTITIONS)
-    initial = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
-    present = int(spark.conf.get(initial, None) or spark.conf.get("spark.sql.shuffle.partitions"))
-    if wanted > present:
-        spark.conf.set(initial, str(wanted))
-    return spark
+    total = 0
+    for df in tables:
+        leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+        sizes = [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]
+        total += sum(size for size in sizes if size < UNKNOWN_SIZE)
+    return total
 
 
-def work_folder(spark: SparkSession, label: str) -> str:
-    """A fresh folder below the shared one the cluster names in ``spark.checkpoint.dir``.
+@contextmanager
+def sized_shuffles(spark: SparkSession, size: int) -> Iterator[None]:
+    """Inside, shuffles start with partitions small enough to sort for an input of this many (compressed) bytes.
 
-    Executors of every machine must see it, so a machine-local folder is only used in local mode.
+    Only ever raises the number, without a limit; adaptive execution joins what turns out too small. The setting is put back at the end.
     """
+    before = spark.conf.get(INITIAL_PARTITIONS, None)
+    present = int(before or spark.conf.get("spark.sql.shuffle.partitions"))
+    spark.conf.set(INITIAL_PARTITIONS, str(max(present, -(-size // SHUFFLE_BYTES))))
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(INITIAL_PARTITIONS)
+        else:
+            spark.conf.set(INITIAL_PARTITIONS, before)
+
+
+def work_root(spark: SparkSession) -> str:
+    """The folder all executors share, which the cluster names in ``spark.checkpoint.dir``. It must be set."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        app = spark.sparkContext.applicationId
-        root = _local_roots.setdefault(app, tempfile.mkdtemp(prefix="lodestrata-"))
-    return f"{root.rstrip('/')}/lodestrata/{label}-{uuid.uuid4().hex}"
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+    return root.rstrip("/")
+
+
+def work_folder(spark: SparkSession, label: str) -> str:
+    """A fresh folder below the shared one."""
+    return f"{work_root(spark)}/lodestrata/{label}-{uuid.uuid4().hex}"
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def subfolders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders directly below ``path``, sorted; none where it does not exist."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not files.exists(target):
+        return []
+    return sorted(f.getPath().getName() for f in files.listStatus(target) if f.isDirectory())
+
+
+@contextmanager
+def work_table(df: DataFrame, label: str) -> Iterator[DataFrame]:
+    """``df`` written to the shared folder and read back for the length of a block; the folder is deleted after it."""
+    spark = df.sparkSession
+    path = work_folder(spark, label)
+    try:
+        df.write.mode("errorifexists").parquet(path)
+        yield spark.read.schema(df.schema).parquet(path)
+    finally:
+        delete_folder(spark, path)
 
 
 def materialise(df: DataFrame, label: str) -> DataFrame:

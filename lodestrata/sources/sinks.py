@@ -1,4 +1,4 @@
-"""Writing layers: Parquet, partitioned by load date, replacing only the partitions that are written."""
+"""Writing layers: Parquet, one folder per load, replaced whole."""
 
 from __future__ import annotations
 
@@ -7,8 +7,8 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame
 
-from lodestrata.contracts import partition_columns
-from lodestrata.functions.lineage import load_parts
+from lodestrata.contracts import LOAD, partition_columns
+from lodestrata.functions.lineage import load_name, load_parts
 
 
 def write_partitions(
@@ -31,9 +31,14 @@ def write_partitions(
     return path
 
 
-def write_layer(df: DataFrame, path: str, entity: str, layer: str, run_ts: datetime, **options) -> str:
-    """Adds the load-date partitions a layer needs and writes the table."""
-    layout = partition_columns(entity, layer)
+def write_layer(df: DataFrame, path: str, entity: str, layer: str, run_ts: datetime, rebalance: bool = True) -> str:
+    """Stores one load of a table in the folder of its full date, with the partitions the layer needs.
+
+    Whatever the folder held goes, also where the new rows lack its partitions, or where there are no new rows.
+    """
+    layout = [name for name in partition_columns(entity, layer) if name != LOAD]
     parts = load_parts(run_ts, with_year="ano" in layout)
     added = {name: value for name, value in parts.items() if name in layout and name not in df.columns}
-    return write_partitions(df.withColumns(added), path, layout, **options)
+    rows = df.drop(LOAD).withColumns(added)
+    write_partitions(rows, f"{path}/{LOAD}={load_name(run_ts)}", layout, rebalance, replace_all=True)
+    return path

@@ -10,6 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from lodestrata.contracts import LOAD
+from lodestrata.session import subfolders
+
 
 def scan(spark: SparkSession, path: str | Sequence[str], schema: StructType) -> DataFrame:
     """A partitioned Parquet tree, or several as one table.
@@ -20,23 +23,16 @@ def scan(spark: SparkSession, path: str | Sequence[str], schema: StructType) ->
     return reduce(DataFrame.unionByName, (spark.read.schema(schema).parquet(p) for p in paths))
 
 
-SMALL_BYTES = 1 << 30
-
-
-def size_in_bytes(df: DataFrame) -> int:
-    """Size of the files behind ``df`` as the optimizer estimates it; nothing is read."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+def loads(spark: SparkSession, path: str) -> list[str]:
+    """Dates of the loads stored below ``path``, oldest first, from the names of their folders alone."""
+    return [name.removeprefix(f"{LOAD}=") for name in subfolders(spark, path) if name.startswith(f"{LOAD}=")]
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Deals the rows of a small source in few splits out to all cores.
-
-    A source over 1 GiB stays as it is: there the exchange would cost more than idle cores.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if size_in_bytes(df) >= SMALL_BYTES or df.rdd.getNumPartitions() >= cores:
-        return df
-    return df.repartition(cores)
+def scan_load(spark: SparkSession, path: str, schema: StructType, load: str | None = None) -> DataFrame:
+    """One load of a table, the newest by default. The others are pruned as partitions; an empty load gives no rows."""
+    stored = loads(spark, path)
+    chosen = load or (stored[-1] if stored else "")
+    return scan(spark, path, schema).where(F.col(LOAD) == chosen)
 
 
 def path_missing(error: AnalysisException) -> bool:

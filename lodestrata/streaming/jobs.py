@@ -10,7 +10,6 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from datetime import datetime
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -22,10 +21,12 @@ from lodestrata.operators.dedup import first_per_key
 from lodestrata.operators.entities import event_time
 from lodestrata.operators.integrate import EVENT_NETWORK, enrich_events
 from lodestrata.operators.quality import REASON, Rule, quality_gate, with_row_reasons
-from lodestrata.sources.tables import path_missing
+from lodestrata.session import delete_folder, subfolders
+from lodestrata.sources.tables import optional_scan, scan
 
 ROUTE = "destino"
 VALID, SET_ASIDE = "validos", "quarentena"
+SLOT = "faixa"
 
 
 def _append_files(df: DataFrame, path: str, checkpoint: str, partitions: Sequence[str] = ()) -> StreamingQuery:
@@ -55,24 +56,23 @@ def store_parsed(events: DataFrame, path: str, checkpoint: str) -> StreamingQuer
     return _append_files(events, path, checkpoint)
 
 
-def suppress_duplicates(events: DataFrame, within: str, salts: int = 32) -> DataFrame:
-    """The first arrival of each event id. State for an id is kept ``within`` event time past it.
+def store_unique(events: DataFrame, path: str, checkpoint: str, slots: int = 32) -> StreamingQuery:
+    """Stores each event id once, at its first arrival. Late events and events without a time are kept like any other.
 
-    Choose ``within`` longer than the longest delay of the source: rows later than that are dropped.
-    An id that arrives in very many copies is thinned out in ``salts`` groups first, so that its rows do
-    not all meet in one task; how rows fall into the groups does not change the result.
+    A micro-batch is thinned to one row per id first (in each task before the exchange, so a hot id costs a row per task), then met with
+    the ids stored by earlier batches. These lie in ``slots`` folders by a hash of the id, so only the slots that a batch touches are read,
+    and a batch that is repeated compares itself with the earlier ones only.
     """
-    timed = events.withColumn("_event_time", event_time()).withWatermark("_event_time", within)
-    if salts > 1:
-        timed = timed.withColumn("_salt", F.spark_partition_id() % salts)
-        timed = timed.dropDuplicatesWithinWatermark(["event_id", "_salt"]).drop("_salt")
-    return timed.dropDuplicatesWithinWatermark(["event_id"]).drop("_event_time")
 
+    def write(batch: DataFrame, batch_id: int) -> None:
+        first = first_per_key(batch, ["event_id"], [event_time().asc_nulls_last()])
+        fresh = first.withColumn(SLOT, F.pmod(F.xxhash64("event_id"), F.lit(slots)).cast("int"))
+        stored = optional_scan(batch.sparkSession, path, StructType().add("event_id", "string").add(SLOT, "integer").add("batch_id", "long"))
+        seen = stored.where(F.col("batch_id") < batch_id).select(F.col("event_id").alias("_seen"), F.col(SLOT).alias("_slot"))
+        fresh = fresh.join(seen, (F.col(SLOT) == F.col("_slot")) & F.col("event_id").eqNullSafe(F.col("_seen")), "left_anti")
+        fresh.write.mode("overwrite").partitionBy(SLOT).parquet(f"{path}/batch_id={batch_id}")
 
-def store_unique(
-    events: DataFrame, path: str, checkpoint: str, within: str, salts: int = 32
-) -> StreamingQuery:
-    return _append_files(suppress_duplicates(events, within, salts), path, checkpoint)
+    return _per_batch(events, checkpoint, write)
 
 
 def store_enriched(
@@ -110,8 +110,8 @@ def store_checked(
 def store_latest(events: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     """Stores the latest state of each event id per micro-batch, as a log of changes.
 
-    A micro-batch costs what it holds, not what the table holds; ``latest_events`` settles the
-    batches against each other, and the integration job folds them into the clean layer.
+    A micro-batch costs what it holds, not what the table holds; ``settle_events`` settles the
+    batches against each other, once each, when the integration job folds them into the clean layer.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -124,10 +124,24 @@ def store_latest(events: DataFrame, path: str, checkpoint: str) -> StreamingQuer
 
 def latest_events(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """The latest state of each event id over all batches stored so far."""
-    try:
-        log = spark.read.schema(schema).parquet(path)
-    except AnalysisException as error:
-        if not path_missing(error):
-            raise
-        log = spark.createDataFrame([], schema)
+    log = optional_scan(spark, path, schema)
     return first_per_key(log.select(*schema.fieldNames()), ["event_id"], [event_time().desc_nulls_last()])
+
+
+def settle_events(spark: SparkSession, log: str, settled: str, schema: StructType) -> DataFrame:
+    """The latest state of each event id: the last settled table and the batches since, written as the next one.
+
+    A batch is thus read once. Tables are versions named by their last batch; the one before stays for readers that still use it.
+    """
+    batches = sorted(int(name.removeprefix("batch_id=")) for name in subfolders(spark, log) if name.startswith("batch_id="))
+    versions = sorted(int(name.removeprefix("upto=")) for name in subfolders(spark, settled) if name.startswith("upto="))
+    upto = versions[-1] if versions else -1
+    new = [b for b in batches if b > upto]
+    if new:
+        paths = [f"{settled}/upto={upto}"] * bool(versions) + [f"{log}/batch_id={b}" for b in new]
+        latest = first_per_key(scan(spark, paths, schema), ["event_id"], [event_time().desc_nulls_last()])
+        upto = new[-1]
+        latest.write.mode("overwrite").parquet(f"{settled}/upto={upto}")
+        for old in versions[:-1]:
+            delete_folder(spark, f"{settled}/upto={old}")
+    return scan(spark, f"{settled}/upto={upto}", schema)

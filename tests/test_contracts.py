@@ -3,13 +3,14 @@ from conftest import rows
 
 from lodestrata.contracts import (
     BATCH_ENTITIES,
-    CONTRACTS,
     ContractError,
     conform,
     conform_present,
     partition_columns,
     schema_for,
     stored_schema,
+    struct_of,
+    unparsable,
 )
 
 
@@ -31,7 +32,20 @@ def test_types_and_nullability():
 
 
 def test_gold_contract_sizes():
-    assert [len(CONTRACTS[v, "gold"].split()) for v in ("indicador_municipio", "meta_vs_resultado", "evolucao_temporal")] == [14, 13, 13]
+    views = ("indicador_municipio", "meta_vs_resultado", "evolucao_temporal")
+    assert [len(schema_for(v, "gold", lineage=False)) for v in views] == [14, 13, 13]
+
+
+def test_a_misspelt_type_is_an_error():
+    with pytest.raises(ContractError):
+        struct_of("ano INTT")
+
+
+def test_unreadable_text_becomes_null_and_is_told(spark):
+    schema = struct_of("ano INT, taxa DOUBLE")
+    df = spark.createDataFrame([("2024", "n/d"), ("x", None), ("2023", "1.5")], "ano string, taxa string")
+    assert rows(conform(df, schema)) == [(2023, 1.5), (2024, None), (None, None)]
+    assert rows(df.select(unparsable(df, schema))) == [("unparsable: ano",), ("unparsable: taxa",), (None,)]
 
 
 @pytest.mark.parametrize("entity,layer", [("nothing", "silver"), ("uf", "platinum"), ("evolucao_temporal", "bronze")])
@@ -41,9 +55,9 @@ def test_unknown_contract(entity, layer):
 
 
 def test_partition_layouts():
-    assert partition_columns("alunos", "bronze") == ("ano", "mes", "dia")
-    assert partition_columns("municipio", "silver") == ("ano", "mes", "dia")
-    assert partition_columns("alunos", "silver") == ("mes", "dia")
+    assert partition_columns("alunos", "bronze") == ("carga", "ano", "mes", "dia")
+    assert partition_columns("municipio", "silver") == ("carga", "ano", "mes", "dia")
+    assert partition_columns("alunos", "silver") == ("carga", "mes", "dia")
     assert stored_schema("uf", "silver")["ano"].dataType.simpleString() == "string"
     assert stored_schema("alunos", "bronze")["ano"].dataType.simpleString() == "int"
 

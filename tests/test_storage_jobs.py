@@ -11,11 +11,11 @@ from lodestrata.functions.lineage import bronze_rows
 from lodestrata.operators.quality import QualityError, rule_book
 from lodestrata.plans.jobs import Run, bronze_job, gold_job, gold_jobs, integration_job, silver_job, silver_jobs
 from lodestrata.plans.validation import validate_lake
-from lodestrata.session import fit_shuffle, materialise, work_folder
+from lodestrata.session import INITIAL_PARTITIONS, SHUFFLE_BYTES, input_bytes, materialise, sized_shuffles, subfolders, work_folder, work_table
 from lodestrata.sources.catalog import register_lake, register_table
 from lodestrata.sources.layout import Lake
 from lodestrata.sources.sinks import write_layer, write_partitions
-from lodestrata.sources.tables import extract, optional_scan, scan, size_in_bytes, spread, stored_or
+from lodestrata.sources.tables import extract, optional_scan, loads, scan, scan_load, stored_or
 from lodestrata.streaming import jobs
 from lodestrata.streaming.source import NoEventsError, drain, file_wire
 
@@ -39,23 +39,27 @@ def test_materialise_keeps_rows_and_cuts_the_plan(spark):
     assert rows(stored) == rows(df) and "Aggregate" not in plan(stored)
 
 
-def test_shuffles_grow_with_the_input(spark):
-    initial = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
-    fit_shuffle(spark, 1 << 20)
-    assert spark.conf.get(initial, None) is None
-    fit_shuffle(spark, 100 << 40)
-    assert spark.conf.get(initial) == "50000"
-    spark.conf.unset(initial)
+def test_shuffles_grow_with_the_input_and_only_for_a_block(spark):
+    with sized_shuffles(spark, 1 << 20):
+        assert spark.conf.get(INITIAL_PARTITIONS) == spark.conf.get("spark.sql.shuffle.partitions")
+    with sized_shuffles(spark, 100 << 40):
+        assert spark.conf.get(INITIAL_PARTITIONS) == str((100 << 40) // SHUFFLE_BYTES)
+    assert spark.conf.get(INITIAL_PARTITIONS, None) is None
 
 
-def test_only_small_sources_are_spread(spark, folder, monkeypatch):
+def test_work_table_is_deleted_after_its_block(spark):
+    df = spark.range(10)
+    with work_table(df, "t") as stored:
+        path = stored.inputFiles()[0].rsplit("/", 1)[0]
+        assert rows(stored) == rows(df)
+    with pytest.raises(AnalysisException):
+        spark.read.parquet(path)
+
+
+def test_size_of_an_input_is_that_of_its_files(spark, folder):
     path = folder("small")
     spark.range(10).coalesce(1).write.parquet(path)
-    df = spark.read.parquet(path)
-    assert 0 < size_in_bytes(df) < 10_000
-    assert spread(df).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    monkeypatch.setattr("lodestrata.sources.tables.SMALL_BYTES", 1)
-    assert spread(df) is df
+    assert 0 < input_bytes(spark.read.parquet(path)) < 10_000
 
 
 def test_a_load_replaces_its_own_day_only(spark, folder):
@@ -65,8 +69,20 @@ def test_a_load_replaces_its_own_day_only(spark, folder):
         write_layer(bronze_rows(df, "uf", day), path, "uf", "bronze", day)
     stored = scan(spark, path, schema)
     assert rows(stored, "sigla", "ano", "mes", "dia") == [("SP", "2026", "07", "11"), ("SP", "2026", "07", "12")]
-    write_layer(bronze_rows(df, "uf", DAY1), path, "uf", "bronze", DAY1, replace_all=True)
-    assert scan(spark, path, schema).count() == 1
+    write_layer(bronze_rows(df.where("false"), "uf", DAY1), path, "uf", "bronze", DAY1)
+    assert rows(scan(spark, path, schema), "carga") == [("2026-07-12",)]
+    write_layer(bronze_rows(df.where("false"), "uf", DAY2), path, "uf", "bronze", DAY2)
+    assert scan_load(spark, path, schema).isEmpty() and loads(spark, path) == ["2026-07-11", "2026-07-12"]
+
+
+def test_the_newest_load_is_read_by_its_partition(spark, folder):
+    path, schema = folder("bronze"), stored_schema("uf", "bronze")
+    df = spark.createDataFrame([("1", "SP", "n", "r")], schema_for("uf", "bronze", lineage=False))
+    for day in (DAY1, DAY2):
+        write_layer(bronze_rows(df, "uf", day), path, "uf", "bronze", day)
+    newest = scan_load(spark, path, schema)
+    assert rows(newest, "carga") == [("2026-07-12",)]
+    assert "PartitionFilters: [isnotnull(carga" in plan(newest) and "(carga#" in plan(newest)
 
 
 def test_rebalanced_write(spark, folder):
@@ -112,9 +128,9 @@ def test_partitions_prune_the_scan(spark, folder):
 def test_catalog_table_sees_partitions(spark, folder):
     path = folder("catalog")
     write_layer(spark.createDataFrame([(2024, "a")], "ano int, rede string"), path, "meta_brasil", "silver", DAY1)
-    schema = spark.createDataFrame([], "ano int, rede string, mes string, dia string").schema
-    table = register_table(spark, "t_catalog", path, schema, ("mes", "dia"))
-    assert rows(table) == [(2024, "a", "07", "11")]
+    schema = spark.createDataFrame([], "ano int, rede string, carga string, mes string, dia string").schema
+    table = register_table(spark, "t_catalog", path, schema, ("carga", "mes", "dia"))
+    assert rows(table) == [(2024, "a", "2026-07-11", "07", "11")]
     spark.sql("DROP TABLE t_catalog")
 
 
@@ -155,16 +171,18 @@ def test_a_repeated_run_adds_nothing(spark, folder):
     ]
 
 
-@pytest.mark.parametrize("salts", [1, 4])
-def test_duplicates_and_late_rows(spark, folder, salts):
+@pytest.mark.parametrize("slots", [1, 4])
+def test_duplicates_and_late_rows(spark, folder, slots):
     bus, out, checkpoint = folder("bus"), folder("out"), folder("cp")
     put(spark, bus, event("a", at(10)), event("a", at(11)))
-    drain(jobs.store_unique(arriving(spark, bus), out, checkpoint, "2 hours", salts))
-    put(spark, bus, event("a", at(11)), event("b", at(20)))  # a again, within reach
-    drain(jobs.store_unique(arriving(spark, bus), out, checkpoint, "2 hours", salts))
-    put(spark, bus, event("c", at(1)), event("d", at(19)))  # c is later than two hours allow
-    drain(jobs.store_unique(arriving(spark, bus), out, checkpoint, "2 hours", salts))
-    assert rows(scan(spark, out, FLAT), "event_id") == [("a",), ("b",), ("d",)]
+    drain(jobs.store_unique(arriving(spark, bus), out, checkpoint, slots))
+    put(spark, bus, event("a", at(11)), event("b", at(20)))  # a again
+    drain(jobs.store_unique(arriving(spark, bus), out, checkpoint, slots))
+    put(spark, bus, event("c", at(1)), event("d", "no time"), event("d", "no time"))  # c is hours late
+    drain(jobs.store_unique(arriving(spark, bus), out, checkpoint, slots))
+    put(spark, bus, event("d", "no time"), event("c", at(1)))
+    drain(jobs.store_unique(arriving(spark, bus), out, checkpoint, slots))
+    assert rows(scan(spark, out, FLAT), "event_id") == [("a",), ("b",), ("c",), ("d",)]
 
 
 def test_latest_state_over_batches(spark, folder):
@@ -177,6 +195,17 @@ def test_latest_state_over_batches(spark, folder):
     assert rows(jobs.latest_events(spark, out, FLAT), "event_id", "taxa_alfabetizacao") == [("a", 2.0), ("b", 1.0)]
 
 
+def test_settled_events_read_each_batch_once(spark, folder):
+    bus, out, settled, checkpoint = folder("bus"), folder("out"), folder("settled"), folder("cp")
+    for wave in ([event("a", at(10), 1.0), event("b", at(10), 1.0)], [event("a", at(12), 2.0)], [event("b", at(9), 2.0)]):
+        put(spark, bus, *wave)
+        drain(jobs.store_latest(arriving(spark, bus), out, checkpoint))
+        current = jobs.settle_events(spark, out, settled, FLAT)
+    assert rows(current, "event_id", "taxa_alfabetizacao") == [("a", 2.0), ("b", 1.0)]
+    assert subfolders(spark, settled) == ["upto=1", "upto=2"]
+    assert jobs.settle_events(spark, out, settled, FLAT).inputFiles() == current.inputFiles()
+
+
 def test_a_batch_written_twice_is_stored_once(spark, folder):
     """What a restart after a failure does: the same batch id again."""
     out, written = folder("out"), []
@@ -303,7 +332,7 @@ def test_a_second_day_replaces_what_readers_see(run, spark):
     silver_jobs(run)
     later = Run(spark, run.lake, DAY2, rules=run.rules)
     load(later, spark)
-    assert later.bronze("alunos").count() == 6  # two snapshots
+    assert later.bronze("alunos").count() == 3  # the newest snapshot alone
     silver_jobs(later)
     assert later.silver("alunos").count() == 2
     stored = scan(spark, run.lake.silver("alunos"), stored_schema("alunos", "silver"))

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import re
+import tempfile
 from datetime import datetime, timezone
 from functools import cached_property
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,21 +16,25 @@ from lodestrata.functions.numbers import lenient_double
 from lodestrata.functions.text import text_key, pad_key
 from lodestrata.functions.targets import derived_flag
 from lodestrata.operators import entities, integrate
-from lodestrata.session import apply_settings, fit_shuffle, materialise, work_folder
-from lodestrata.sources.tables import size_in_bytes
-from workload.fixtures import FACT_TABLES, YEARS, given, source
+from lodestrata.session import apply_settings, materialise, work_folder
+from workload.fixtures import YEARS, source
 
 RUN_TS = datetime(2026, 7, 12, 10, 30, tzinfo=timezone.utc)
 EARLIER_TS = datetime(2026, 7, 11, 10, 30, tzinfo=timezone.utc)
 
 
+def own_shared_folder(spark: SparkSession) -> None:
+    """For a try-out in one process whose session names no shared folder: a folder of this application's own."""
+    if spark.conf.get("spark.checkpoint.dir", None) is None and re.fullmatch(r"local(\[[^-]*\])?", spark.sparkContext.master):
+        spark.conf.set("spark.checkpoint.dir", Path(tempfile.mkdtemp(prefix="lodestrata-")).as_uri())
+
+
 class Data:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = apply_settings(spark)
         self.sf_dir = sf_dir
         self._known: dict[str, DataFrame] = {}
-        largest = max(size_in_bytes(given(spark, sf_dir, table)) for table in FACT_TABLES)
-        fit_shuffle(self.spark, largest)
+        own_shared_folder(spark)
 
     def raw(self, name: str) -> DataFrame:
         return source(self.spark, self.sf_dir, name, self._known)

@@ -11,7 +11,6 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 
 from lodestrata.contracts import TARGET_PREFIX
-from lodestrata.sources.tables import spread
 
 YEARS = tuple(range(1996, 2002))
 STATE_CODE = r"^NATION_(\d+|X)$"
@@ -36,7 +35,6 @@ BASE_TABLES = {
     ),
     "events": "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING",
 }
-FACT_TABLES = ("orders", "lineitem", "events")
 
 
 def _targets(key: str) -> str:
@@ -164,17 +162,12 @@ def given(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.schema(BASE_TABLES[table]).parquet(f"{sf_dir}/{table}.parquet")
 
 
-def base(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    df = given(spark, sf_dir, table)
-    return spread(df) if table in FACT_TABLES else df
-
-
 def source(spark: SparkSession, sf_dir: str, name: str, known: dict[str, DataFrame] | None = None) -> DataFrame:
     """A given table or a raw entity as a DataFrame; ``known`` keeps those already built."""
     known = {} if known is None else known
     if name not in known:
         if name in BASE_TABLES:
-            known[name] = base(spark, sf_dir, name)
+            known[name] = given(spark, sf_dir, name)
         else:
             text = _dialect(SOURCES[name], "spark")
             known[name] = spark.sql(text, **{dep: source(spark, sf_dir, dep, known) for dep in needs(text)})

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from lodestrata.operators import analysis, gold
 from lodestrata.operators.integrate import state_indicator
-from lodestrata.session import materialise
 from workload.data import Data
 from workload.oracle import IN_FORCE, hit, mean2, r2
 from workload.registry import query
@@ -52,14 +51,13 @@ def gold_meta_brasil(d: Data):
     return gold.gold_meta_brasil(d.meta_brasil)
 
 
-@query(f"""SELECT ano, sigla_uf, {TARGET_VIEW} FROM {{meta_uf}}
-QUALIFY row_number() OVER (PARTITION BY sigla_uf, ano ORDER BY rede) = 1""")
+@query(f"SELECT ano, sigla_uf, rede, {TARGET_VIEW} FROM {{meta_uf}}")
 def gold_meta_uf(d: Data):
     return gold.gold_meta_uf(d.meta_uf)
 
 
 @query(f"""SELECT *, {r2('taxa_alfabetizacao - antes')} AS delta_anual FROM (
-  SELECT ano, id_municipio, sigla_uf, nome_municipio, taxa_alfabetizacao, meta_vigente, gap2 AS gap_meta,
+  SELECT ano, id_municipio, sigla_uf, rede, nome_municipio, taxa_alfabetizacao, meta_vigente, gap2 AS gap_meta,
     hit AS atingiu_meta, lag(taxa_alfabetizacao) OVER (PARTITION BY id_municipio, rede ORDER BY ano) AS antes
   FROM {{base_gap}})""".replace("SELECT *,", "SELECT * EXCLUDE (antes),", 1))
 def gold_meta_municipio(d: Data):
@@ -89,13 +87,13 @@ def national_evolution(d: Data):
 @query("""SELECT sigla_uf, regiao, taxa_media, meta_media, gap_medio, ranking_taxa FROM {v2}
 WHERE ano = (SELECT max(ano) FROM {v2})""")
 def ranking_latest_year(d: Data):
-    return analysis.ranking_latest_year(materialise(gold.meta_vs_resultado(d.integrated, d.uf), "gold"))
+    return analysis.ranking_latest_year(gold.meta_vs_resultado(d.integrated, d.uf))
 
 
 @query("""SELECT CAST(sum(municipios_acima_meta) AS BIGINT) AS total_acima_meta,
   CAST(sum(municipios_abaixo_meta) AS BIGINT) AS total_abaixo_meta FROM {v2} WHERE ano = (SELECT max(ano) FROM {v2})""")
 def national_hit_totals(d: Data):
-    return analysis.national_hit_totals(materialise(gold.meta_vs_resultado(d.integrated), "gold"))
+    return analysis.national_hit_totals(gold.meta_vs_resultado(d.integrated))
 
 
 @query("""SELECT 'indicador_municipio' AS visao, true AS colunas_presentes, count(*) > 0 AS tem_linhas FROM {v1}
