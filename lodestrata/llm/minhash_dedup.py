@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from lodestrata.llm.components import components
 from lodestrata.llm.filters import maybe_in
-from lodestrata.llm.shared import ship, stored
+from lodestrata.llm.shared import id_parts, ship, stored
 from lodestrata.llm.words import WordHashes, chained, shingles
 
 BANDS, ROWS = 32, 6
@@ -125,9 +125,10 @@ def near_groups(docs: DataFrame, size: int = 5, percent: int = 80, bands: int =
     def signed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             out = []
-            for ident, body in zip(batch["id"], batch["text"], strict=True):
+            ids = batch["id"].astype("Int64").where(batch["there"])
+            for ident, there, body in zip(ids, batch["there"], batch["text"], strict=True):
                 own = shingles(body, size, _KEPT)
-                if not len(own) or ident is None or ident != ident:
+                if not len(own) or not there:
                     out.append((ident, len(own), None, None, None))
                     continue
                 sig = signature(own, factors, offsets)
@@ -136,8 +137,7 @@ def near_groups(docs: DataFrame, size: int = 5, percent: int = 80, bands: int =
                 out.append((ident, len(own), key, sig.astype(np.uint16).tobytes(), buckets.tolist()))
             yield pd.DataFrame(out, columns=["id", "n", "key", "sig", "buckets"]).astype({"id": "Int64"})
 
-    plain = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text).alias("text"))
-    sets = stored(plain.mapInPandas(signed, "id long, n long, key binary, sig binary, buckets array<long>"), "near-sets")
+    sets = stored(docs.select(*id_parts(id_col), F.col(text).alias("text")).mapInPandas(signed, "id long, n long, key binary, sig binary, buckets array<long>"), "near-sets")
     # Only keys that occur twice are grouped with their signatures; the filter tells the others without a shuffle.
     keyed = sets.where("key IS NOT NULL").withColumn("short", F.conv(F.hex(F.substring("key", 1, 7)), 16, 10).cast("long"))
     twice = stored(keyed.groupBy("key").agg(F.min("short").alias("short"), F.count(F.lit(1)).alias("n")).where("n > 1"), "near-equal")
@@ -146,7 +146,7 @@ def near_groups(docs: DataFrame, size: int = 5, percent: int = 80, bands: int =
     grouped = flagged.where("copied").groupBy("key").agg(F.min("id").alias("node"), F.any_value("sig").alias("sig"), F.any_value("buckets").alias("buckets"))
     lone = flagged.where("NOT copied").select("key", F.col("id").alias("node"), "sig", "buckets")
     classes = stored(lone.unionByName(grouped), "near-classes")
-    texts = plain.withColumnRenamed("id", "node")
+    texts = docs.select(F.col(id_col).cast("long").alias("node"), F.col(text).alias("text"))
     bounds = least_matches(percent / 100, miss, BATCH, bands * rows)
 
     @F.pandas_udf("boolean")

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest
 
-from lodestrata.llm.shared import ship
+from lodestrata.llm.shared import id_parts, ship
 from lodestrata.llm.token_counts import BYTE, NORMAL, SPACE, pre_tokens
 from lodestrata.llm.words import mixed
 
@@ -298,13 +298,14 @@ def encode_samples(docs: DataFrame, model_path: str, k: int = 2, theta: float =
             texts = batch["text"].tolist()
             found = sampled(texts, batch["key"].tolist(), pieces, k, theta, seed)
             rows = []
-            for ident, body, best in zip(batch["id"], texts, found, strict=True):
+            owners = batch["id"].astype("Int64").where(batch["there"])
+            for ident, body, best in zip(owners, texts, found, strict=True):
                 plain = (body or "").replace(SPACE, " ")
                 for j, (ids, log, value, inside) in enumerate(best, 1):
                     rows.append((ident, j, len(ids), log, value, inside, ids, zlib.crc32(ids.tobytes()), decoded(ids.tolist(), pieces) == plain))
             yield pd.DataFrame(rows, columns=columns).astype({"id": "Int64"})
 
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(id_col).cast("string"), F.lit("")).alias("key"), F.col(text).alias("text"))
+    rows = docs.select(*id_parts(id_col), F.coalesce(F.col(id_col).cast("string"), F.lit("")).alias("key"), F.col(text).alias("text"))
     out = rows.mapInPandas(drawn, "id long, sample int, n_tokens long, log_prob double, gumbel double, log_inclusion double, ids array<int>, ids_crc32 long, same_text boolean")
     return out.withColumnRenamed("id", id_col)
 

@@ -53,6 +53,12 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def id_parts(id_col: str) -> tuple[Column, Column]:
+    """An id for Python without nulls, which pandas would turn into floats, and whether there is one: columns id and there."""
+    ident = F.col(id_col).cast("long")
+    return F.coalesce(ident, F.lit(0)).alias("id"), ident.isNotNull().alias("there")
+
+
 def whole(text: str | Column) -> Column:
     """The text, an empty one for null."""
     return F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit(""))
