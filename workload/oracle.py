@@ -144,9 +144,9 @@ TABLES |= {
         FROM {{fx_meta_municipio}} r LEFT JOIN {{job_municipio}} m ON m.id_municipio = {pad('r.id_municipio')}) f""",
     "job_meta": "SELECT * FROM {job_meta_all} WHERE NOT coalesce(taxa_alfabetizacao > 100, false)",
 }
-for _name in ("batch", "judged", "valid", "events_rich", "merged", "integrated", "base", "base_gap", "v1"):
+for _name in ("batch", "judged", "valid", "events_rich", "merged", "integrated", "base", "base_gap", "v1", "rollup", "v2", "v3"):
     _text = TABLES[_name].replace("{meta_municipio}", "{job_meta}").replace("{municipio}", "{job_municipio}")
-    for _dep in ("batch", "judged", "valid", "events_rich", "merged", "integrated", "base", "base_gap"):
+    for _dep in ("batch", "judged", "valid", "events_rich", "merged", "integrated", "base", "base_gap", "rollup"):
         _text = _text.replace("{" + _dep + "}", "{job_" + _dep + "}")
     TABLES["job_" + _name] = _text
 

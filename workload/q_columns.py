@@ -139,7 +139,9 @@ def bronze_events(d: Data):
     return lineage.bronze_events(d.raw("fx_eventos").select(*columns), RUN_TS).drop("_ingestion_timestamp")
 
 
-@query("""SELECT id_municipio AS key, event_id, event_type, "timestamp", id_municipio, ano FROM {fx_eventos}""")
+@query("""SELECT id_municipio AS key, event_id, event_type, "timestamp", id_municipio, sigla_uf, ano,
+  CAST(round(CAST(taxa_alfabetizacao AS DECIMAL(18,6)), 4) AS DOUBLE) AS taxa_alfabetizacao,
+  CAST(round(CAST(meta AS DECIMAL(18,6)), 4) AS DOUBLE) AS meta FROM {fx_eventos}""")
 def encode_events_json(d: Data):
     wire = events.encode_events(d.raw("fx_eventos"))
     path = {
@@ -147,10 +149,15 @@ def encode_events_json(d: Data):
         "event_type": "$.event_type",
         "timestamp": "$.timestamp",
         "id_municipio": "$.payload.id_municipio",
+        "sigla_uf": "$.payload.sigla_uf",
         "ano": "$.payload.ano",
+        "taxa_alfabetizacao": "$.payload.taxa_alfabetizacao",
+        "meta": "$.payload.meta",
     }
     fields = {name: F.get_json_object("value", at) for name, at in path.items()}
-    return wire.withColumns({**fields, "ano": fields["ano"].cast("int")}).drop("value")
+    # Numbers are compared as decimals: engines write a double's digits in different ways.
+    numbers = {n: F.round(fields[n].cast("double").cast("decimal(18,6)"), 4).cast("double") for n in ("taxa_alfabetizacao", "meta")}
+    return wire.withColumns({**fields, **numbers, "ano": fields["ano"].cast("int")}).drop("value")
 
 
 @query("""SELECT event_id, event_type, "timestamp", id_municipio, sigla_uf, ano, taxa_alfabetizacao, meta

@@ -113,10 +113,17 @@ def dq_min_count(d: Data):
 BOOK = {
     ("uf", "bronze"): "fx_uf",
     ("uf", "silver"): "uf",
+    ("uf", "gold"): "uf",
+    ("municipio", "bronze"): "fx_municipio",
     ("municipio", "silver"): "municipio",
+    ("municipio", "gold"): "municipio",
+    ("meta_brasil", "bronze"): "fx_meta_brasil",
     ("meta_brasil", "silver"): "meta_brasil",
     ("meta_uf", "bronze"): "fx_meta_uf",
+    ("meta_uf", "silver"): "meta_uf",
+    ("meta_municipio", "bronze"): "fx_meta_municipio",
     ("meta_municipio", "silver"): "meta_municipio",
+    ("alunos", "bronze"): "fx_alunos",
     ("alunos", "silver"): "alunos",
     (EVENT_ENTITY, "bronze"): "fx_eventos",
     (EVENT_ENTITY, "silver"): "events_clean",
@@ -136,7 +143,12 @@ def dq_report(d: Data):
         "uf": d.uf,
         "municipio": d.municipio,
         "meta_brasil": d.meta_brasil,
+        "fx_municipio": d.raw("fx_municipio"),
+        "fx_meta_brasil": d.raw("fx_meta_brasil"),
         "fx_meta_uf": d.raw("fx_meta_uf"),
+        "meta_uf": d.meta_uf,
+        "fx_meta_municipio": d.raw("fx_meta_municipio"),
+        "fx_alunos": d.raw("fx_alunos"),
         "meta_municipio": d.meta_municipio,
         "alunos": d.alunos,
         "fx_eventos": d.raw("fx_eventos"),
