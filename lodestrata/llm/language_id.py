@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lodestrata.llm.shared import ship
+from lodestrata.llm.words import portions
 
 NOT_LETTERS = re.compile(r"[\W\d_]+")
 #: n-grams in a profile, and in what a document is compared by.
@@ -83,9 +84,11 @@ def profiles(docs: DataFrame, lang: str = "lang", text: str = "text", top: int =
 
         for batch in batches:
             for name, rows in batch.groupby("lang")["text"]:
-                part = grams(" ".join(rows))
-                held.setdefault(name, []).append(part)
-                size += len(part[0])
+                texts = rows.tolist()
+                for part in portions(texts):
+                    found = grams(" ".join(texts[part]))
+                    held.setdefault(name, []).append(found)
+                    size += len(found[0])
             if size > HELD:
                 yield from flush()
                 held, size = {}, 0

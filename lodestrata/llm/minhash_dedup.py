@@ -136,6 +136,7 @@ def near_groups(docs: DataFrame, size: int = 5, percent: int = 80, bands: int =
                 key = hashlib.blake2b(own.tobytes(), digest_size=16).digest()
                 out.append((ident, len(own), key, sig.astype(np.uint16).tobytes(), buckets.tolist()))
             yield pd.DataFrame(out, columns=["id", "n", "key", "sig", "buckets"]).astype({"id": "Int64"})
+        _KEPT.clear()
 
     sets = stored(docs.select(*id_parts(id_col), F.col(text).alias("text")).mapInPandas(signed, "id long, n long, key binary, sig binary, buckets array<long>"), "near-sets")
     # Only keys that occur twice are grouped with their signatures; the filter tells the others without a shuffle.

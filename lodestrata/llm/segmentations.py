@@ -15,7 +15,7 @@ from xxhash import xxh3_64_intdigest
 
 from lodestrata.llm.shared import id_parts, ship
 from lodestrata.llm.token_counts import BYTE, NORMAL, SPACE, pre_tokens
-from lodestrata.llm.words import mixed
+from lodestrata.llm.words import mixed, portions
 
 #: Exponent on the weights: below 1 the segmentations are more even.
 THETA = 0.5
@@ -57,12 +57,29 @@ class Pieces:
             for j, c in enumerate(piece):
                 h = mixed(h * _BASE + _U(ord(c)) + _U(1))
                 begins[int(h[0])] = i if j == len(piece) - 1 else begins.get(int(h[0]), -1)
-        self.hashes = np.array(sorted(begins), dtype=_U)
-        self.piece = np.array([begins[int(h)] for h in self.hashes], dtype=np.int32)
-        self.weight = np.array([weight.get(int(p), -np.inf) for p in self.piece])
+        # An open table: a beginning lies at the place its hash names, or at the next free one.
+        size = 1 << (4 * len(begins)).bit_length()
+        self.hashes, self.taken = np.zeros(size, dtype=_U), np.zeros(size, dtype=bool)
+        self.piece, self.weight = np.full(size, -1, dtype=np.int32), np.full(size, -np.inf)
+        for h, p in begins.items():
+            at = h & (size - 1)
+            while self.taken[at]:
+                at = (at + 1) & (size - 1)
+            self.hashes[at], self.taken[at], self.piece[at], self.weight[at] = h, True, p, weight.get(p, -np.inf)
         self.longest = max(len(p) for _, p, _ in pieces)
 
 
+    def places(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places of these beginnings in the table, and which are there."""
+        mask = len(self.hashes) - 1
+        at = (hashes & _U(mask)).astype(np.int64)
+        look = np.flatnonzero(self.taken[at] & (self.hashes[at] != hashes))
+        while len(look):
+            at[look] = (at[look] + 1) & mask
+            look = look[self.taken[at[look]] & (self.hashes[at[look]] != hashes[look])]
+        return at, self.taken[at]
+
+
 class Lattices:
     """Lattices of many pre-tokens side by side. A node is a character; edges are sorted by node, with their chance there.
 
@@ -79,8 +96,7 @@ class Lattices:
         lone = np.ones(n, dtype=bool)
         for size in range(1, pieces.longest + 1):
             hashed = mixed(hashed * _BASE + points[begin + size - 1] + _U(1))
-            place = np.minimum(np.searchsorted(pieces.hashes, hashed), len(pieces.hashes) - 1)
-            alive = pieces.hashes[place] == hashed
+            place, alive = pieces.places(hashed)
             begin, hashed, place = begin[alive], hashed[alive], place[alive]
             whole = pieces.piece[place] >= 0
             found.append((begin[whole], np.full(whole.sum(), size), pieces.piece[place[whole]], theta * pieces.weight[place[whole]]))
@@ -94,7 +110,7 @@ class Lattices:
         width = 1 + (p > 0x7F) + (p > 0x7FF) + (p > 0xFFFF)
         found.append((bare, np.ones(len(bare), dtype=np.int64), -1 - p.astype(np.int64), theta * width * pieces.byte_weight))
         node, size, piece, weight = (np.concatenate(x) for x in zip(*found, strict=True))
-        order = np.lexsort((size, node))
+        order = np.lexsort((-size, node))  # long pieces, mostly the likely ones, first
         node, size, self.piece, weight = node[order], size[order], piece[order], weight[order]
         self.node, self.to = node, node + size
         first = np.searchsorted(node, at)
@@ -125,8 +141,13 @@ class Lattices:
         self.ladder = node + np.minimum(share, 1.0)
 
     def pick(self, node: np.ndarray, u: np.ndarray) -> np.ndarray:
-        edge = np.searchsorted(self.ladder, node + u, side="right")
-        return np.clip(edge, self.first[node], self.first[node + 1] - 1)
+        """The edge of each node whose stretch of chance holds the number u; few are passed over, as the likely ones come first."""
+        wanted, edge = node + u, self.first[node]
+        more = np.flatnonzero((self.ladder[edge] <= wanted) & (edge < self.first[node + 1] - 1))
+        while len(more):
+            edge[more] += 1
+            more = more[(self.ladder[edge[more]] <= wanted[more]) & (edge[more] < self.first[node[more] + 1] - 1)]
+        return edge
 
 
 def uniform(seed: np.ndarray | np.uint64, *counters) -> np.ndarray:
@@ -296,7 +317,8 @@ def encode_samples(docs: DataFrame, model_path: str, k: int = 2, theta: float =
         pieces = _pieces(model.value)
         for batch in batches:
             texts = batch["text"].tolist()
-            found = sampled(texts, batch["key"].tolist(), pieces, k, theta, seed)
+            keys = batch["key"].tolist()
+            found = [best for part in portions(texts) for best in sampled(texts[part], keys[part], pieces, k, theta, seed)]
             rows = []
             owners = batch["id"].astype("Int64").where(batch["there"])
             for ident, body, best in zip(owners, texts, found, strict=True):

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 from xxhash import xxh3_64_intdigest
 
-MOST_KEPT = 400_000
+MOST_KEPT = 150_000
+#: Characters whose arrays a task holds at a time, unless one text is longer.
+AT_ONCE = 600_000
 END = 0x9E3779B97F4A7C15
 
 
@@ -19,6 +23,19 @@ class WordHashes(dict):
         return value
 
 
+def portions(texts: list[str | None], most: int = AT_ONCE) -> Iterator[slice]:
+    """Runs of texts with at most ``most`` characters together; a longer text is a run of its own."""
+    start, size = 0, 0
+    for i, text in enumerate(texts):
+        own = len(text) if text else 0
+        if i > start and size + own > most:
+            yield slice(start, i)
+            start, size = i, 0
+        size += own
+    if len(texts) > start:
+        yield slice(start, len(texts))
+
+
 def words_of(text: str | None) -> list[bytes]:
     """Words between ASCII white space, A-Z in lower case. bytes.split() knows exactly the six characters of the contracts."""
     return text.encode("utf-8", "surrogatepass").lower().split() if text else []
