@@ -57,11 +57,11 @@ def clean_municipio(df: DataFrame) -> DataFrame:
 
 
 def clean_meta_brasil(df: DataFrame) -> DataFrame:
-    return _one_per_key(df.withColumn("ano", F.col("ano").cast("int")), "meta_brasil")
+    return _one_per_key(df.withColumn("ano", F.col("ano").try_cast("int")), "meta_brasil")
 
 
 def clean_meta_uf(df: DataFrame) -> DataFrame:
-    typed = df.withColumns({"sigla_uf": normalise_code(F.col("sigla_uf")), "ano": F.col("ano").cast("int")})
+    typed = df.withColumns({"sigla_uf": normalise_code(F.col("sigla_uf")), "ano": F.col("ano").try_cast("int")})
     return _one_per_key(typed, "meta_uf")
 
 
@@ -76,7 +76,7 @@ def enrich_from_lookup(df: DataFrame, lookup: DataFrame, key: str, column: str)
 
 def clean_meta_municipio(df: DataFrame, municipios: DataFrame | None = None) -> DataFrame:
     """``municipios`` is the clean directory that supplies missing state codes."""
-    typed = df.withColumns({"id_municipio": pad_key(F.col("id_municipio")), "ano": F.col("ano").cast("int")})
+    typed = df.withColumns({"id_municipio": pad_key(F.col("id_municipio")), "ano": F.col("ano").try_cast("int")})
     if "sigla_uf" in df.columns:
         typed = typed.withColumn("sigla_uf", normalise_code(F.col("sigla_uf")))
     if "nivel_alfabetizacao" in df.columns:
@@ -109,7 +109,7 @@ def clean_alunos(df: DataFrame) -> DataFrame:
 
 def clean_events(df: DataFrame) -> DataFrame:
     """The newest state of each event, by event time."""
-    typed = df.withColumns({"id_municipio": pad_key(F.col("id_municipio")), "ano": F.col("ano").cast("int")})
+    typed = df.withColumns({"id_municipio": pad_key(F.col("id_municipio")), "ano": F.col("ano").try_cast("int")})
     return drop_technical(first_per_key(typed, ["event_id"], [event_time().desc_nulls_last()]))
 
 

@@ -9,13 +9,13 @@ from lodestrata.contracts import BUSINESS_KEYS, INTEGRATED_ENTITY
 from lodestrata.functions.lineage import BATCH_SOURCE, STREAM_SOURCE, drop_technical
 from lodestrata.operators.dedup import first_per_key
 from lodestrata.operators.entities import clean_events, event_time
+from lodestrata.operators.quality import REASON
 
 GRAIN = BUSINESS_KEYS[INTEGRATED_ENTITY]
 
 # Reasons, and the network name events carry
 NO_MUNICIPALITY = "municipio_inexistente"
 OTHER_STATE = "uf_inconsistente"
-REASON = "_motivo_quarentena"
 EVENT_NETWORK = "total"
 
 
@@ -25,24 +25,32 @@ def municipality_lookup(municipio: DataFrame) -> DataFrame:
     return first_per_key(municipio.select(*columns), ["id_municipio"])
 
 
-def state_indicator(meta_uf: DataFrame) -> DataFrame:
-    """One rate per state and year (the first network by name), so that the join cannot multiply rows."""
-    rates = meta_uf.select("sigla_uf", "ano", "rede", F.col("taxa_alfabetizacao").alias("indicador_uf"))
+def state_indicator(meta_uf: DataFrame, state_network: str | None = None) -> DataFrame:
+    """One rate per state and year, so that the join cannot multiply rows: that of a network, or of the first by name."""
+    chosen = meta_uf if state_network is None else meta_uf.where(F.col("rede") == state_network)
+    rates = chosen.select("sigla_uf", "ano", "rede", F.col("taxa_alfabetizacao").alias("indicador_uf"))
     return first_per_key(rates, ["sigla_uf", "ano"]).drop("rede")
 
 
-def _join_directories(df: DataFrame, municipio: DataFrame, meta_uf: DataFrame, fill_code: bool) -> DataFrame:
+def _join_directories(
+    df: DataFrame, municipio: DataFrame, meta_uf: DataFrame, fill_code: bool, state_network: str | None = None
+) -> DataFrame:
     joined = df.join(municipality_lookup(municipio), "id_municipio", "left")
     own = "sigla_uf" in df.columns
     if not own or fill_code:
         code = F.col("sigla_uf_municipio")
         joined = joined.withColumn("sigla_uf", F.coalesce(F.col("sigla_uf"), code) if own else code)
-    return joined.join(state_indicator(meta_uf), ["sigla_uf", "ano"], "left")
+    return joined.join(state_indicator(meta_uf, state_network), ["sigla_uf", "ano"], "left")
+
 
+def integrate_batch(
+    meta_municipio: DataFrame, municipio: DataFrame, meta_uf: DataFrame, state_network: str | None = None
+) -> DataFrame:
+    """Municipal targets with municipality names and the state's rate of the year.
 
-def integrate_batch(meta_municipio: DataFrame, municipio: DataFrame, meta_uf: DataFrame) -> DataFrame:
-    """Municipal targets with municipality names and the state's rate of the year."""
-    joined = _join_directories(meta_municipio, municipio, meta_uf, fill_code=False)
+    Give stored directories: their true size then decides how they are joined, before the facts are shuffled.
+    """
+    joined = _join_directories(meta_municipio, municipio, meta_uf, fill_code=False, state_network=state_network)
     return joined.withColumn("_source_type", F.lit(BATCH_SOURCE))
 
 

@@ -48,7 +48,8 @@ class Data:
 
     @cached_property
     def municipio(self) -> DataFrame:
-        return entities.clean_municipio(self.raw("fx_municipio"))
+        """Stored, as the jobs find it: it is looked up several times, and its size is then known."""
+        return materialise(entities.clean_municipio(self.raw("fx_municipio")), "municipio")
 
     @cached_property
     def meta_brasil(self) -> DataFrame:
@@ -56,7 +57,7 @@ class Data:
 
     @cached_property
     def meta_uf(self) -> DataFrame:
-        return entities.clean_meta_uf(self.raw("fx_meta_uf"))
+        return materialise(entities.clean_meta_uf(self.raw("fx_meta_uf")), "meta_uf")
 
     @cached_property
     def meta_municipio(self) -> DataFrame:
