@@ -6,6 +6,7 @@ import heapq
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -109,8 +110,9 @@ class Lattices:
         p = points[bare]
         width = 1 + (p > 0x7F) + (p > 0x7FF) + (p > 0xFFFF)
         found.append((bare, np.ones(len(bare), dtype=np.int64), -1 - p.astype(np.int64), theta * width * pieces.byte_weight))
-        node, size, piece, weight = (np.concatenate(x) for x in zip(*found, strict=True))
-        order = np.lexsort((-size, node))  # long pieces, mostly the likely ones, first
+        # Long pieces, mostly the likely ones, first: they come last above, and the sort by node keeps their order.
+        node, size, piece, weight = (np.concatenate(x) for x in zip(*reversed(found), strict=True))
+        order = np.argsort(node, kind="stable")
         node, size, self.piece, weight = node[order], size[order], piece[order], weight[order]
         self.node, self.to = node, node + size
         first = np.searchsorted(node, at)
@@ -155,7 +157,7 @@ def uniform(seed: np.ndarray | np.uint64, *counters) -> np.ndarray:
     h = np.atleast_1d(np.asarray(seed, dtype=_U))
     for c in counters:
         h = h * _BASE + np.asarray(c).astype(_U) + _U(1)
-    return ((mixed(mixed(h)) >> _U(11)).astype(np.float64) + 0.5) / (1 << 53)
+    return ((mixed(h) >> _U(11)).astype(np.float64) + 0.5) / (1 << 53)
 
 
 def _walk(lattices: Lattices, token: np.ndarray, seed: np.ndarray, place: np.ndarray, sample: int) -> tuple[np.ndarray, np.ndarray]:
@@ -262,21 +264,25 @@ def ids_of(path: np.ndarray, lattices: Lattices, pieces: Pieces) -> np.ndarray:
     return out
 
 
+def spelled(ids, pieces: Pieces) -> bytes:
+    """The UTF-8 text of token ids: bytes joined, spaces as such, and without the space in front."""
+    return b"".join(map(pieces.spelled.__getitem__, ids)).removeprefix(b" ")
+
+
 def decoded(ids, pieces: Pieces) -> str:
-    """The text of token ids: bytes joined, spaces as such, and without the space in front."""
-    return b"".join(map(pieces.spelled.__getitem__, ids)).decode("utf-8", "replace").removeprefix(" ")
+    return spelled(ids, pieces).decode("utf-8", "replace")
 
 
 def sampled(texts: list[str | None], keys: list[str], pieces: Pieces, k: int, theta: float, seed: int) -> list[list[tuple]]:
     """For each text its k sampled segmentations: (ids, log probability, perturbed value, log of the chance of inclusion)."""
-    cut = [[w if w[0] == SPACE else SPACE + w for w in (w or SPACE for w in pre_tokens(t or ""))] for t in texts]
-    distinct = {w: i for i, w in enumerate(dict.fromkeys(w for words in cut for w in words))}
+    cut = [pre_tokens(t or "") for t in texts]
+    distinct = {w: i for i, w in enumerate(dict.fromkeys(chain.from_iterable(cut)))}
     seeds = np.array([xxh3_64_intdigest(f"{seed}:{key}".encode()) for key in keys], dtype=_U)
     bounds = np.r_[0, np.cumsum([len(words) for words in cut])].astype(np.int64)
     if not distinct:
         return [[(np.zeros(0, np.int32), 0.0, 0.0, 0.0)] for _ in texts]
-    lattices = Lattices(list(distinct), pieces, theta)
-    token = np.fromiter((distinct[w] for words in cut for w in words), dtype=np.int64, count=bounds[-1])
+    lattices = Lattices([w if w[0] == SPACE else SPACE + w for w in distinct], pieces, theta)
+    token = np.fromiter(map(distinct.__getitem__, chain.from_iterable(cut)), dtype=np.int64, count=bounds[-1])
     row = np.repeat(np.arange(len(texts)), np.diff(bounds))
     place = np.arange(len(token)) - bounds[row]
     walks = [_walk(lattices, token, seeds[row], place, j) for j in range(k)]
@@ -322,9 +328,9 @@ def encode_samples(docs: DataFrame, model_path: str, k: int = 2, theta: float =
             rows = []
             owners = batch["id"].astype("Int64").where(batch["there"])
             for ident, body, best in zip(owners, texts, found, strict=True):
-                plain = (body or "").replace(SPACE, " ")
+                plain = (body or "").replace(SPACE, " ").encode("utf-8", "surrogatepass")
                 for j, (ids, log, value, inside) in enumerate(best, 1):
-                    rows.append((ident, j, len(ids), log, value, inside, ids, zlib.crc32(ids.tobytes()), decoded(ids.tolist(), pieces) == plain))
+                    rows.append((ident, j, len(ids), log, value, inside, ids, zlib.crc32(ids.tobytes()), spelled(ids.tolist(), pieces) == plain))
             yield pd.DataFrame(rows, columns=columns).astype({"id": "Int64"})
 
     rows = docs.select(*id_parts(id_col), F.coalesce(F.col(id_col).cast("string"), F.lit("")).alias("key"), F.col(text).alias("text"))

@@ -9,7 +9,7 @@ from xxhash import xxh3_64_intdigest
 
 MOST_KEPT = 150_000
 #: Characters whose arrays a task holds at a time, unless one text is longer.
-AT_ONCE = 600_000
+AT_ONCE = 1_000_000
 END = 0x9E3779B97F4A7C15
 
 
