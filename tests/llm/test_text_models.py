@@ -167,6 +167,18 @@ def test_suffix_tree_equals_dicts(table, hard, monkeypatch, head, top):
     assert sum(s for _, s in want[:4]) > sum(b for b, _ in want[:4])
 
 
+def test_suffix_tree_retains_contexts_seen_few_times(table):
+    """Two words seen three times, always before the same word, against two words never seen together."""
+    rnd = random.Random(7)
+    train = [" ".join(rnd.choice("abcdefghijklmnopqrst") for _ in range(30)) + " river" + f" {w}" for w in "abcdefghijklmnopqrst"]
+    train += [" ".join(rnd.choice("abcdefghijklmnopqrst") for _ in range(30)) + " old river zinc" for _ in range(3)]
+    tree = suffix_tree.fit(table([(i, t, None, None) for i, t in enumerate(train)]))
+    held = ["old river zinc", "old river", "never river zinc", "never river"]
+    got = {r.doc_id: r.score for r in suffix_tree.score(table([(i, t, None, None) for i, t in enumerate(held)]), tree).collect()}
+    # The context predicts the word with (3 - DISCOUNT) / 3 at least; the end after it costs the same on both sides.
+    assert (got[0] - got[1]) - (got[2] - got[3]) > 0.5
+
+
 def test_suffix_tree_without_rows(hard, empty):
     tree = suffix_tree.fit(empty)
     got = suffix_tree.score(hard, tree)
