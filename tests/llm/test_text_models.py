@@ -179,6 +179,51 @@ def test_suffix_tree_retains_contexts_seen_few_times(table):
     assert (got[0] - got[1]) - (got[2] - got[3]) > 0.5
 
 
+def deep_tree_score(train, texts, deepest):
+    """The same suffix tree with dicts and contexts of up to ``deepest`` words, every one of them tested."""
+    split = lambda t: ["<s>", *t.split(), "</s>"]
+    uni = Counter(w for t in train for w in split(t)[1:])
+    scale, d = sum(uni.values()) + 0.5 * (len(uni) + 1), suffix_tree.DISCOUNT
+    kept = {}
+
+    def p(ctx, w):
+        while ctx and ctx not in kept:
+            ctx = ctx[1:]
+        return kept[ctx][0].get(w, 0) + kept[ctx][1] * p(ctx[1:], w) if ctx else (uni[w] + 0.5) / scale
+
+    for size in range(1, deepest + 1):
+        seen = defaultdict(Counter)
+        for tok in map(split, train):
+            for i in range(size, len(tok)):
+                seen[tuple(tok[i - size : i])][tok[i]] += 1
+        fresh = {}
+        for ctx, after in seen.items():
+            total, often = sum(after.values()), {w: n for w, n in after.items() if n >= suffix_tree.PAIR_SEEN}
+            left = 1 - sum(n - d for n in often.values()) / total
+            low = {w: p(ctx[1:], w) for w in often}
+            gain = sum(n * math.log((n - d) / total / low[w] + left) for w, n in often.items())
+            if often and gain + (total - sum(often.values())) * math.log(left) >= suffix_tree.GAIN:
+                fresh[ctx] = {w: (n - d) / total for w, n in often.items()}, left
+        kept.update(fresh)
+    scores = [sum(math.log10(p(tuple(tok[max(0, i - deepest) : i]), tok[i])) for i in range(1, len(tok))) for tok in map(split, texts)]
+    return scores, max(map(len, kept))
+
+
+def test_suffix_tree_grows_while_contexts_gain(table):
+    """The word after four words tells the first of them, and texts of one word repeated differ in length."""
+    rnd = random.Random(3)
+    train = [" ".join(f"{x} m n o {x}{x}" if rnd.random() < 0.9 else rnd.choice("pq") for x in rnd.choices("abcdef", k=12)) for _ in range(40)]
+    train += [" ".join(["r"] * rnd.choice([3, 6]) + [rnd.choice("st")]) for _ in range(30)]
+    held = ["a m n o aa", "z m n o aa", "m n o bb", "r r r r r r s", "r r r t p q", ""]
+    held_table, train_table = (table([(i, t, None, None) for i, t in enumerate(x)]) for x in (held, train))
+    for depth in (None, 3):
+        tree = suffix_tree.fit(train_table, depth=depth)
+        want, longest = deep_tree_score(train, held, depth or 12)
+        assert tree.depth >= longest >= 3 and (depth or longest > 3)
+        got = {r.doc_id: r.score for r in suffix_tree.score(held_table, tree).collect()}
+        assert all(abs(got[i] - s) < 1e-6 for i, s in enumerate(want)), depth
+
+
 def test_suffix_tree_without_rows(hard, empty):
     tree = suffix_tree.fit(empty)
     got = suffix_tree.score(hard, tree)
