@@ -162,7 +162,8 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "v
 
     A bounded sample (``sample`` distinct vectors at most, by a hash of their id) is cut into parts of even size along its
     neighbour graph, and a small network learns which part a vector belongs to. It then places every row, and sends each query to its most probable parts, where
-    distances to all rows are exact: as many parts as give ``recall`` on held-out rows of the sample. There is a part for each ``ROWS_PER_PART`` rows, ``MOST_PARTS`` at most, so small tables are
+    distances to all rows are exact: as many parts as give ``recall`` on held-out rows of the sample, and on to the next
+    until they hold k candidates, so a query gets fewer than k rows only if there are fewer. There is a part for each ``ROWS_PER_PART`` rows, ``MOST_PARTS`` at most, so small tables are
     searched whole. Rows of a part are dealt into blocks by a hash of their id, so one common vector doesn't fill a task.
 
     Vectors that are null, zero, or hold null or non-finite components take no part, nor do those of another length than most. Ties go
@@ -201,12 +202,31 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "v
     def part_of(v: pd.Series) -> pd.Series:
         return pd.Series(probabilities(v).argmax(axis=1) if len(v) else [], dtype="int32")
 
-    @F.pandas_udf("array<int>")
-    def parts_of(v: pd.Series) -> pd.Series:
-        return pd.Series(list(np.argsort(-probabilities(v), axis=1, kind="stable")[:, :probes].astype("int32")) if len(v) else [], dtype=object)
-
     placed = stored(rows.withColumn("part", part_of("v")), "nn-rows")
-    looked = stored(asked.withColumn("part", F.explode(parts_of("v"))), "nn-queries")
+    different = placed.select("part", "id").distinct()
+    # A number per part: at most MOST_PARTS.
+    offered = np.zeros(parts, dtype=np.int64)
+    for part, n in different.groupBy("part").count().collect():
+        offered[part] = n
+
+    @F.pandas_udf("array<int>")
+    def parts_of(v: pd.Series, own: pd.Series) -> pd.Series:
+        if not len(v):
+            return pd.Series([], dtype=object)
+        order = np.argsort(-probabilities(v), axis=1, kind="stable")
+        others = np.tile(offered, (len(v), 1))
+        for i, there in enumerate(own):
+            if there is not None:
+                np.subtract.at(others[i], np.asarray(there, dtype=np.int64), 1)
+        # All parts before k candidates are reached, and the one that reaches them.
+        short = (np.cumsum(np.take_along_axis(others, order, axis=1), axis=1) < k).sum(axis=1) + 1
+        return pd.Series([row[: max(probes, n)] for row, n in zip(order.astype("int32"), short, strict=True)], dtype=object)
+
+    # A row is no candidate for a query of its own id.
+    ids = asked.select("id").distinct()
+    own = different.join(ids, "id", "left_semi").groupBy("id").agg(F.collect_list("part").alias("own"))
+    looked = asked.join(own, "id", "left").withColumn("part", F.explode(parts_of("v", "own"))).drop("own")
+    looked = stored(looked, "nn-queries")
     sizes = placed.groupBy("part").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
     asks = looked.groupBy("part").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("askers"))
     # A row per part: at most MOST_PARTS.

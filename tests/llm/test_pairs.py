@@ -128,6 +128,15 @@ def test_neighbours_reach_the_recall_and_scores_are_exact(spark):
     assert "CartesianProduct" not in plan(found) and "NestedLoop" not in plan(found)
 
 
+def test_neighbours_go_on_to_parts_that_complete_a_query(spark):
+    """1,100 rows, nearly all copies of one vector: two parts of seven or eight different vectors, one of them searched."""
+    rng = np.random.default_rng(1)
+    x = np.concatenate([rng.normal(size=(15, 8)), np.tile(rng.normal(size=8), (1085, 1))])
+    df = vectors(spark, x)
+    found = neighbours.search(df, df.where("vec_id < 15"), recall=0.0).groupBy("query_id").count().collect()
+    assert len(found) == 15 and all(r["count"] == 10 for r in found)
+
+
 def test_neighbours_of_hard_rows(spark):
     x = [[1, 0], [0, 1], [1, 0], None, [0, 0], [float("nan"), 1], [float("inf"), 1], [2, 2], [1, 2, 3]]
     df = vectors(spark, x).unionByName(vectors(spark, [x[0]], [0])).unionByName(spark.sql("SELECT 20L AS vec_id, array(1F, NULL) AS embedding, 1 AS rank"))
