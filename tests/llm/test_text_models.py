@@ -14,6 +14,7 @@ from llm_tables import empty, hard, table  # noqa: F401 - fixtures
 from pyspark.sql import functions as F
 
 from lodestrata.llm import language_id, quality, segmentations, suffix_tree, token_counts
+from lodestrata.llm.queries import QUERIES
 
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
 ODD = ["", " ", "  ", "a  b", "   a   b  ", "a\n\n\tb", "▁a▁ ▁", "日本語の 文章", "x" * 2000, " " * 100 + "a", " " * 700 + "b", "<s>hi</s> <0x0A>", "é" * 600, "\x00🎉 𝒳", "ab" * 400]
@@ -275,3 +276,11 @@ def test_segmentations_of_hard_rows(spark, hard, empty):
     back = drawn.select("doc_id", "sample", segmentations.decode(spark, MODEL).alias("back")).join(hard.dropDuplicates(["doc_id"]), "doc_id")
     assert back.where(F.col("back") != F.coalesce("text", F.lit(""))).count() == 0
     assert segmentations.encode_samples(empty, MODEL).count() == 0
+
+
+def test_op8_returns_ids_and_what_decoding_them_gives(spark, hard, tmp_path):
+    hard.write.parquet(f"{tmp_path}/documents.parquet")
+    got = QUERIES["op8_segmentations"](spark, str(tmp_path)).dropDuplicates(["doc_id", "sample"])
+    want = hard.dropDuplicates(["doc_id"]).select(F.col("doc_id").alias("d"), F.crc32(F.coalesce("text", F.lit(""))).alias("crc"))
+    met = got.join(want, F.col("doc_id").eqNullSafe(F.col("d")))
+    assert met.where("size(ids) <> n_tokens OR decoded_crc32 <> crc").count() == 0 and met.count() == got.count() > 100
