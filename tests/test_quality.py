@@ -178,3 +178,9 @@ def test_stored_gap_tolerance(spark):
         "pct_alfabetizados double, meta_pct double, gap_meta double",
     )
     assert rows(profile.gap_is_consistent(df)) == [(1, 0)]
+
+
+def test_dq_report_judges_every_rule_set():
+    from workload.q_quality import BOOK
+
+    assert set(BOOK) == set(rule_book())

@@ -27,7 +27,8 @@ from lodestrata.operators.quality import (
 from workload.data import EARLIER_TS, RUN_TS, Data
 from workload.fixtures import FIT
 from workload.oracle import STUDENT, STUDENTS_TYPED
-from workload.registry import query
+from workload.registry import SELECTS, query
+from workload import q_gold  # noqa: F401 - its SELECTs are judged by dq_report
 from workload.q_storage import store_twice
 
 REPORT = ["check", "tipo", "critico", "aprovado", "medida"]
@@ -55,13 +56,18 @@ def _outside(rule: Rule) -> str:
     return "(" + " OR ".join(f"{rule.column} {sign} {bound}" for bound, sign in bounds if bound is not None) + ")"
 
 
+def _from(table: str) -> str:
+    """A table of the SQL by name, or the result of a query."""
+    return f"({SELECTS[table]})" if table in SELECTS else f"{{{table}}}"
+
+
 def _report_sql(table: str, rules: list[Rule], first: str = "") -> str:
     parts = []
     for rule in rules:
         passed = f"m >= {rule.minimum}" if rule.kind == "min_count" else "m = 0"
         parts.append(
             f"""SELECT {first} '{rule.label}' AS "check", '{rule.kind}' AS tipo, {str(rule.critical).lower()} AS critico,
-  {passed} AS aprovado, m AS medida FROM (SELECT CAST({_measure_sql(rule)} AS BIGINT) AS m FROM {{{table}}})"""
+  {passed} AS aprovado, m AS medida FROM (SELECT CAST({_measure_sql(rule)} AS BIGINT) AS m FROM {_from(table)})"""
         )
     return " UNION ALL ".join(parts)
 
@@ -119,14 +125,19 @@ BOOK = {
     ("municipio", "gold"): "municipio",
     ("meta_brasil", "bronze"): "fx_meta_brasil",
     ("meta_brasil", "silver"): "meta_brasil",
+    ("meta_brasil", "gold"): "gold_meta_brasil",
     ("meta_uf", "bronze"): "fx_meta_uf",
     ("meta_uf", "silver"): "meta_uf",
+    ("meta_uf", "gold"): "gold_meta_uf",
     ("meta_municipio", "bronze"): "fx_meta_municipio",
     ("meta_municipio", "silver"): "meta_municipio",
+    ("meta_municipio", "gold"): "gold_meta_municipio",
     ("alunos", "bronze"): "fx_alunos",
     ("alunos", "silver"): "alunos",
+    ("alunos", "gold"): "gold_alunos",
     (EVENT_ENTITY, "bronze"): "fx_eventos",
     (EVENT_ENTITY, "silver"): "events_clean",
+    (EVENT_ENTITY, "gold"): "events_clean",
 }
 
 
@@ -153,6 +164,10 @@ def dq_report(d: Data):
         "alunos": d.alunos,
         "fx_eventos": d.raw("fx_eventos"),
         "events_clean": d.events_clean,
+        "gold_meta_brasil": gold.gold_meta_brasil(d.meta_brasil),
+        "gold_meta_uf": gold.gold_meta_uf(d.meta_uf),
+        "gold_meta_municipio": gold.gold_meta_municipio(d.integrated),
+        "gold_alunos": gold.gold_alunos(d.alunos),
     }
     reports = [
         quality_report(tables[table], rules_for(*at, **FIT)).select(

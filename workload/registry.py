@@ -11,6 +11,8 @@ from workload.oracle import oracle
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
+#: The checking SELECTs as written, for queries over the results of others.
+SELECTS: dict[str, str] = {}
 
 
 def query(sql: str):
@@ -19,6 +21,7 @@ def query(sql: str):
     def register(build: Callable[[Data], DataFrame]) -> Callable[[Data], DataFrame]:
         QUERIES[build.__name__] = lambda spark, sf_dir: build(Data(spark, sf_dir))
         ORACLES[build.__name__] = oracle(sql)
+        SELECTS[build.__name__] = sql
         return build
 
     return register
