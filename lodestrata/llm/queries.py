@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestrata.llm import exact_dedup, kd_shards, language_id, minhash_dedup, mixing, neighbours, quality, segmentations, suffix_tree, token_counts
+from lodestrata.llm import exact_dedup, fill_middle, kd_shards, language_id, minhash_dedup, mixing, neighbours, periodic, quality, secrets, segmentations, suffix_tree, token_counts
 from lodestrata.llm.shared import documents, remainder, stored, whole
 
 SHARDS = 40
@@ -76,6 +76,29 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", (remainder("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score")
 
 
+def op11_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = fill_middle.fill_in_middle(documents(spark, sf_dir))
+    hashes = [F.sha2(F.col("output"), 256).alias("output_sha256"), F.sha2(fill_middle.restored(), 256).alias("restored_sha256")]
+    return made.select("doc_id", "n", "form", "prefix_chars", "middle_chars", *hashes)
+
+
+def op12_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.scan_secrets(documents(spark, sf_dir))
+    base = F.col("base")
+    counts = [secrets.number_of(base, kind).alias(f"n_{kind}") for kind in secrets.LEAST]
+    spans = secrets.listed(F.array_sort(F.concat(base, F.col("added"))))
+    return found.select("doc_id", *counts, F.sha2(secrets.listed(base), 256).alias("base_sha256"), spans.alias("spans"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", periodic.repeated_tail().alias("text"))
+    found = periodic.periodic_runs(docs).withColumn("best", periodic.strongest())
+    lines = F.array_join(F.transform("runs", lambda r: F.concat_ws(",", *(r[c].cast("string") for c in ("start", "length", "period")))), "\n")
+    lines = F.when(F.size("runs") > 0, F.concat(lines, F.lit("\n"))).otherwise("")
+    best = [F.col("best.start"), F.col("best.length"), F.col("best.period"), F.expr("1000 * best.length DIV best.period").alias("exponent_milli")]
+    return found.select("doc_id", F.size("runs").cast("long").alias("n_runs"), *best, F.sha2(lines, 256).alias("runs_sha256"), F.sha2(F.col("collapsed"), 256).alias("collapsed_sha256"))
+
+
 OP9_SQL = r"""
 WITH d AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS norm FROM documents)
 SELECT doc_id, min(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size, doc_id = min(doc_id) OVER g AS kept, sha256(norm) AS text_sha256
@@ -93,5 +116,8 @@ QUERIES = {
     "op8_segmentations": op8_segmentations,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_language_id": op10_language_id,
+    "op11_fill_middle": op11_fill_middle,
+    "op12_secrets": op12_secrets,
+    "op13_periodic_runs": op13_periodic_runs,
 }
-ORACLES = {"op2_mixing": mixing.ORACLE_SQL, "op9_exact_dedup": OP9_SQL}
+ORACLES = {"op2_mixing": mixing.ORACLE_SQL, "op9_exact_dedup": OP9_SQL, "op11_fill_middle": fill_middle.ORACLE_SQL, "op12_secrets": secrets.oracle_sql()}
