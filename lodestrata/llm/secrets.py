@@ -181,13 +181,13 @@ def oracle_sql() -> str:
     base = [("assign", ASSIGN, f"length(regexp_extract(found, {quoted(ASSIGN)}, 2)) >= {LEAST['assign']}"), ("access", ACCESS, f"length(found) >= {LEAST['access']}"), ("hex", HEX, f"length(found) >= {LEAST['hex']}")]
     allowed = " OR ".join(f"regexp_matches(found, {quoted(a)})" for a in ALLOWED)
     entropy = [(c.kind, f"[{c.characters}]{{{c.window},}}", f"NOT ({allowed})") for c in CLASSES]
-    placed = """SELECT doc_id, i, hits[i] AS found, list_sum(list_transform(gaps[1:i], x -> length(x))) + coalesce(list_sum(list_transform(hits[1:i - 1], x -> length(x))), 0) AS start
+    placed = """SELECT doc_id, i, hits[i] AS found, list_sum([length(x) for x in gaps[1:i]]) + coalesce(list_sum([length(x) for x in hits[1:i - 1]]), 0) AS start
       FROM (SELECT *, unnest(range(1, len(hits) + 1)) AS i FROM (SELECT doc_id, regexp_extract_all(body, {p}) AS hits, string_split_regex(body, {p}) AS gaps FROM d))"""
     spans = [f"SELECT doc_id, '{kind}' AS kind, {rank} AS rank, start, start + length(found) AS stop FROM ({placed.format(p=quoted(pattern))}) WHERE {keep}" for rank, (kind, pattern, keep) in enumerate(base)]
     high = []
     for rank, ((kind, pattern, keep), c) in enumerate(zip(entropy, CLASSES, strict=True), len(base)):
-        windows = f"""SELECT doc_id, i, start + at AS start FROM (SELECT *, string_split(found, '') AS chars, unnest(range(0, length(found) - {c.window - 1})) AS at FROM ({placed.format(p=quoted(pattern))}) WHERE {keep})
-          WHERE list_entropy(chars[at + 1:at + {c.window}]) >= {c.bits}"""
+        windows = f"""SELECT doc_id, i, start + moved AS start FROM (SELECT *, string_split(found, '') AS chars, unnest(range(0, length(found) - {c.window - 1})) AS moved FROM ({placed.format(p=quoted(pattern))}) WHERE {keep})
+          WHERE list_entropy(chars[moved + 1:moved + {c.window}]) >= {c.bits}"""
         islands = f"SELECT *, count(*) FILTER (WHERE step) OVER (PARTITION BY doc_id, i ORDER BY start) AS island FROM (SELECT *, start - lag(start) OVER (PARTITION BY doc_id, i ORDER BY start) > {c.window} AS step FROM ({windows}))"
         high.append(f"SELECT doc_id, '{kind}' AS kind, {rank} AS rank, min(start) AS start, max(start) + {c.window} AS stop FROM ({islands}) GROUP BY doc_id, i, island")
     joined = lambda where: f"coalesce(string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, rank){where}, '')"
