@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -214,10 +214,16 @@ def stored_schema(
 
 def conform(df: DataFrame, schema: StructType) -> DataFrame:
     """Exactly the declared columns, in order, with the declared types; text that is no value of its type becomes null."""
+    return conform_beside(df, schema, {})
+
+
+def conform_beside(df: DataFrame, schema: StructType, extra: Mapping[str, Column]) -> DataFrame:
+    """``conform``, with expressions over the columns as they were beside it."""
     missing = [name for name in schema.fieldNames() if name not in df.columns]
     if missing:
         raise ContractError(f"missing columns: {', '.join(missing)}")
-    return df.select([F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema.fields])
+    typed = [F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema.fields]
+    return df.select(*typed, *(value.alias(name) for name, value in extra.items()))
 
 
 def unparsable(df: DataFrame, schema: StructType) -> Column:

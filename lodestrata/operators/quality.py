@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import logging
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
+from types import MappingProxyType
 
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
@@ -73,22 +74,26 @@ def min_count(rows: int, critical: bool = True) -> Rule:
 STATE_CODE = r"^[A-Z]{2}$"
 MUNICIPALITY_KEY = r"^\d{7}$"
 FIRST_YEAR = 2023
+LEAST_ROWS = {"uf": 27, "municipio": 1000}
 
 
 def rule_book(
-    state_code: str = STATE_CODE, first_year: int = FIRST_YEAR, last_year: int = TARGET_YEARS[-1]
+    state_code: str = STATE_CODE,
+    first_year: int = FIRST_YEAR,
+    last_year: int = TARGET_YEARS[-1],
+    least_rows: Mapping[str, int] = MappingProxyType(LEAST_ROWS),
 ) -> dict[tuple[str, str], list[Rule]]:
-    """All rules; the arguments fit them to data with other codes or years."""
+    """All rules; the arguments fit them to data with other codes, years or sizes of the directories."""
     last_target = f"{TARGET_PREFIX}{last_year}"
     return {
-        ("uf", "bronze"): [not_null("sigla"), unique("sigla"), matches("sigla", state_code), min_count(27)],
+        ("uf", "bronze"): [not_null("sigla"), unique("sigla"), matches("sigla", state_code), min_count(least_rows["uf"])],
         ("uf", "silver"): [not_null("sigla_uf"), unique("sigla_uf"), matches("sigla_uf", state_code)],
         ("uf", "gold"): [min_count(1), not_null("sigla_uf")],
         ("municipio", "bronze"): [
             not_null("id_municipio"),
             matches("id_municipio", MUNICIPALITY_KEY),
             not_null("sigla_uf"),
-            min_count(1000),
+            min_count(least_rows["municipio"]),
         ],
         ("municipio", "silver"): [
             not_null("id_municipio"),

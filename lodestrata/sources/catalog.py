@@ -13,28 +13,64 @@ from lodestrata.contracts import (
     EVENT_ENTITY,
     GOLD_VIEWS,
     INTEGRATED_ENTITY,
+    LOAD,
     TARGET_YEARS,
     partition_columns,
     stored_schema,
 )
+from lodestrata.session import subfolders
 from lodestrata.sources.layout import Lake
+from lodestrata.sources.manifest import folder_of, manifest_or_empty
 from lodestrata.sources.tables import path_missing, scan
 
+#: Table properties that name the folder of each load in the catalog.
+REGISTERED = "lodestrata.carga."
+
 
 def register_table(
     spark: SparkSession, name: str, path: str, schema: StructType, partitions: Sequence[str] = ()
 ) -> DataFrame:
-    """Declares an external table over a Parquet tree and loads the partitions found on disk."""
+    """Declares an external table over the finished loads of a Parquet table; what no manifest names is not in it.
+
+    Loads already in the catalog under the folder their manifest names are left alone, so a run pays for its own load only.
+    """
     last = [schema[p] for p in partitions]
     columns = [f for f in schema.fields if f.name not in partitions] + last
     ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in columns)
     layout = f"PARTITIONED BY ({', '.join(f'`{p}`' for p in partitions)})" if partitions else ""
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({ddl}) USING PARQUET {layout} LOCATION '{path}'")
     if partitions:
-        spark.sql(f"MSCK REPAIR TABLE {name}")
+        known = _registered(spark, name)
+        for load, part in manifest_or_empty(spark, path).parts.items():
+            if known.get(load) != part:
+                add_load(spark, name, path, load, part, partitions)
+        told = ", ".join(f"'{REGISTERED}{load}' = '{part or ''}'" for load, part in manifest_or_empty(spark, path).parts.items())
+        if told:
+            spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ({told})")
     return spark.table(name)
 
 
+def _registered(spark: SparkSession, name: str) -> dict[str, str | None]:
+    """The loads a table of the catalog has, with their folders."""
+    rows = spark.sql(f"SHOW TBLPROPERTIES {name}").collect()
+    return {r["key"].removeprefix(REGISTERED): r["value"] or None for r in rows if r["key"].startswith(REGISTERED)}
+
+
+def add_load(spark: SparkSession, name: str, path: str, load: str, part: str | None, partitions: Sequence[str]) -> None:
+    """Puts the partitions of one load into the catalog, by the folders below the load's own, in place of those it had before."""
+    spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION (`{LOAD}` = '{load}')")
+    found = [({LOAD: load}, folder_of(path, part))] if part is not None else []
+    for column in (p for p in partitions if p != LOAD):
+        found = [
+            ({**spec, column: sub.partition("=")[2]}, f"{folder}/{sub}")
+            for spec, folder in found for sub in subfolders(spark, folder) if sub.startswith(f"{column}=")
+        ]
+    if found:
+        specs = (", ".join(f"`{k}` = '{v}'" for k, v in spec.items()) for spec, _ in found)
+        added = " ".join(f"PARTITION ({spec}) LOCATION '{folder}'" for spec, (_, folder) in zip(specs, found, strict=True))
+        spark.sql(f"ALTER TABLE {name} ADD {added}")
+
+
 def register_stream_output(spark: SparkSession, name: str, path: str, schema: StructType) -> DataFrame:
     """A view over what a stream wrote. Its own log of finished files says what belongs to it, so rows of
     a batch that is being written are not seen; a table over the folder would not know that log."""
@@ -62,6 +98,11 @@ def register_lake(
     names = []
     for name, (entity, layer, path) in lake_tables(lake).items():
         schema = stored_schema(entity, layer, target_years)
+        if entity != EVENT_ENTITY:
+            if manifest_or_empty(spark, path).parts:
+                names.append(f"{database}.{name}")
+                register_table(spark, names[-1], path, schema, partition_columns(entity, layer))
+            continue
         try:
             scan(spark, path, schema)
         except AnalysisException as error:
@@ -69,8 +110,5 @@ def register_lake(
                 raise
             continue
         names.append(f"{database}.{name}")
-        if entity == EVENT_ENTITY:
-            register_stream_output(spark, names[-1], path, schema)
-        else:
-            register_table(spark, names[-1], path, schema, partition_columns(entity, layer))
+        register_stream_output(spark, names[-1], path, schema)
     return names

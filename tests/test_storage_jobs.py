@@ -14,8 +14,9 @@ from lodestrata.plans.validation import validate_lake
 from lodestrata.session import INITIAL_PARTITIONS, SHUFFLE_BYTES, input_bytes, materialise, sized_shuffles, subfolders, work_folder, work_table
 from lodestrata.sources.catalog import register_lake, register_table
 from lodestrata.sources.layout import Lake
-from lodestrata.sources.sinks import write_layer, write_partitions
-from lodestrata.sources.tables import extract, optional_scan, loads, scan, scan_load, stored_or
+from lodestrata.sources.sinks import publish_load, stage_layer, write_layer, write_partitions
+from lodestrata.sources.manifest import NothingPublished, PublicationConflict, publish, read_manifest
+from lodestrata.sources.tables import extract, optional_scan, loads, scan, scan_load, scan_loads, stored_or
 from lodestrata.streaming import jobs
 from lodestrata.streaming.source import NoEventsError, drain, file_wire
 
@@ -67,10 +68,10 @@ def test_a_load_replaces_its_own_day_only(spark, folder):
     df = spark.createDataFrame([("1", "SP", "n", "r")], schema_for("uf", "bronze", lineage=False))
     for day in (DAY1, DAY2, DAY2):
         write_layer(bronze_rows(df, "uf", day), path, "uf", "bronze", day)
-    stored = scan(spark, path, schema)
+    stored = scan_loads(spark, path, schema)
     assert rows(stored, "sigla", "ano", "mes", "dia") == [("SP", "2026", "07", "11"), ("SP", "2026", "07", "12")]
     write_layer(bronze_rows(df.where("false"), "uf", DAY1), path, "uf", "bronze", DAY1)
-    assert rows(scan(spark, path, schema), "carga") == [("2026-07-12",)]
+    assert rows(scan_loads(spark, path, schema), "carga") == [("2026-07-12",)]
     write_layer(bronze_rows(df.where("false"), "uf", DAY2), path, "uf", "bronze", DAY2)
     assert scan_load(spark, path, schema).isEmpty() and loads(spark, path) == ["2026-07-11", "2026-07-12"]
 
@@ -82,7 +83,64 @@ def test_the_newest_load_is_read_by_its_partition(spark, folder):
         write_layer(bronze_rows(df, "uf", day), path, "uf", "bronze", day)
     newest = scan_load(spark, path, schema)
     assert rows(newest, "carga") == [("2026-07-12",)]
-    assert "PartitionFilters: [isnotnull(carga" in plan(newest) and "(carga#" in plan(newest)
+    assert all("carga=2026-07-12" in file for file in newest.inputFiles())
+
+
+def uf_rows(spark, *codes):
+    return spark.createDataFrame([("1", c, "n", "r") for c in codes], schema_for("uf", "bronze", lineage=False))
+
+
+def test_an_unfinished_load_is_not_read(spark, folder):
+    path, schema = folder("bronze"), stored_schema("uf", "bronze")
+    with pytest.raises(NothingPublished):
+        scan_load(spark, path, schema)
+    write_layer(bronze_rows(uf_rows(spark, "SP"), "uf", DAY1), path, "uf", "bronze", DAY1)
+    fail = F.udf(lambda x: 1 // 0, "string")
+    for day in (DAY1, DAY2):  # of the same day, and of the next
+        broken = bronze_rows(uf_rows(spark, "RJ").withColumn("sigla", fail("sigla")), "uf", day)
+        with pytest.raises(Exception, match="ZeroDivisionError"):
+            write_layer(broken, path, "uf", "bronze", day)
+        spark.range(1).write.parquet(f"{path}/carga={day:%Y-%m-%d}/lote=died")
+        assert rows(scan_load(spark, path, schema), "sigla", "carga") == [("SP", "2026-07-11")]
+        assert rows(scan_loads(spark, path, schema), "sigla") == [("SP",)] and loads(spark, path) == ["2026-07-11"]
+    # Written whole but not published: still the load of the day before.
+    staged = stage_layer(bronze_rows(uf_rows(spark, "RJ"), "uf", DAY2), path, "uf", "bronze", DAY2)
+    assert rows(scan_load(spark, path, schema), "sigla") == [("SP",)]
+    publish_load(spark, path, DAY2, staged)
+    assert rows(scan_load(spark, path, schema), "sigla", "carga") == [("RJ", "2026-07-12")]
+
+
+def test_readers_of_a_replaced_load_may_finish(spark, folder):
+    path, schema = folder("bronze"), stored_schema("uf", "bronze")
+    write_layer(bronze_rows(uf_rows(spark, "SP"), "uf", DAY1), path, "uf", "bronze", DAY1)
+    before = scan_load(spark, path, schema).select("sigla")
+    old = read_manifest(spark, path).parts["2026-07-11"]
+    write_layer(bronze_rows(uf_rows(spark, "RJ"), "uf", DAY1), path, "uf", "bronze", DAY1)
+    assert rows(before) == [("SP",)] and rows(scan_load(spark, path, schema), "sigla") == [("RJ",)]
+    assert read_manifest(spark, path).replaced == (old,)
+    write_layer(bronze_rows(uf_rows(spark, "AC"), "uf", DAY1), path, "uf", "bronze", DAY1)
+    assert old.rpartition("/")[2] not in subfolders(spark, f"{path}/carga=2026-07-11")
+
+
+def test_a_second_writer_is_refused(spark, folder):
+    path = folder("t")
+    first = publish(spark, path, {"a": None})
+    publish(spark, path, {"b": None})
+    with pytest.raises(PublicationConflict):
+        publish(spark, path, {"c": None}, before=first)
+    assert sorted(read_manifest(spark, path).parts) == ["a", "b"]
+    for _ in range(12):
+        publish(spark, path, {"a": None})
+    assert read_manifest(spark, path).number == 14
+
+
+def test_many_batches_are_one_reader(spark, folder):
+    path, schema = folder("log"), schema_for("uf", "silver").add("batch_id", "integer")
+    for i in range(30):
+        spark.createDataFrame([(str(i),)], "id_uf string").coalesce(1).write.parquet(f"{path}/batch_id={i}")
+    both = scan(spark, [f"{path}/batch_id={i}" for i in range(5, 30)], schema)
+    assert set(rows(both, "batch_id", "id_uf")) == {(i, str(i)) for i in range(5, 30)} and both.count() == 25
+    assert plan(both).count("FileScan") == 1
 
 
 def test_rebalanced_write(spark, folder):
@@ -121,7 +179,7 @@ def test_partitions_prune_the_scan(spark, folder):
     df = spark.createDataFrame([(2023, "a"), (2024, "b")], "ano int, rede string")
     write_layer(df, path, "meta_brasil", "bronze", DAY1)
     schema = schema_for("meta_brasil", "bronze", lineage=False).add("mes", "string").add("dia", "string")
-    got = scan(spark, path, schema).where("ano = 2024").select("rede")
+    got = scan_loads(spark, path, schema).where("ano = 2024").select("rede")
     assert rows(got) == [("b",)] and "PartitionFilters: [isnotnull(ano" in plan(got)
 
 
@@ -202,8 +260,73 @@ def test_settled_events_read_each_batch_once(spark, folder):
         drain(jobs.store_latest(arriving(spark, bus), out, checkpoint))
         current = jobs.settle_events(spark, out, settled, FLAT)
     assert rows(current, "event_id", "taxa_alfabetizacao") == [("a", 2.0), ("b", 1.0)]
-    assert subfolders(spark, settled) == ["upto=1", "upto=2"]
-    assert jobs.settle_events(spark, out, settled, FLAT).inputFiles() == current.inputFiles()
+    assert subfolders(spark, out) == [] and read_manifest(spark, settled).state == {"upto": 2, "slots": jobs.SLOTS}
+    assert sorted(jobs.settle_events(spark, out, settled, FLAT).inputFiles()) == sorted(current.inputFiles())
+
+
+def log_batch(spark, log, batch_id, *events):
+    spark.createDataFrame(list(events), FLAT).write.parquet(f"{log}/batch_id={batch_id}")
+
+
+def test_a_run_that_dies_while_settling_loses_nothing(spark, folder, monkeypatch):
+    log, settled = folder("log"), folder("settled")
+    assert jobs.settle_events(spark, log, settled, FLAT).isEmpty()
+    log_batch(spark, log, 0, event("a", at(1), 1.0), event("b", at(1), 1.0))
+    jobs.settle_events(spark, log, settled, FLAT)
+    log_batch(spark, log, 1, event("a", at(2), 2.0))
+
+    def dies(*_, **__):
+        raise RuntimeError("died")
+
+    with monkeypatch.context() as m:  # all files are there, the manifest is not
+        m.setattr(jobs, "publish", dies)
+        with pytest.raises(RuntimeError, match="died"):
+            jobs.settle_events(spark, log, settled, FLAT)
+    assert rows(jobs.settled_events(spark, settled, FLAT), "event_id", "taxa_alfabetizacao") == [("a", 1.0), ("b", 1.0)]
+    assert subfolders(spark, log) == ["batch_id=1"]
+    # A folder that a dead writer left, and a batch without its end: neither is read, and no later batch overtakes it.
+    spark.range(1).write.parquet(f"{settled}/versao=left")
+    spark.range(1).write.parquet(f"{log}/batch_id=2/_temporary/0")
+    log_batch(spark, log, 3, event("b", at(3), 3.0))
+    assert rows(jobs.settle_events(spark, log, settled, FLAT), "event_id", "taxa_alfabetizacao") == [("a", 2.0), ("b", 1.0)]
+    spark.createDataFrame([event("c", at(1), 4.0)], FLAT).write.mode("overwrite").parquet(f"{log}/batch_id=2")
+    assert rows(jobs.settle_events(spark, log, settled, FLAT), "event_id", "taxa_alfabetizacao") == [("a", 2.0), ("b", 3.0), ("c", 4.0)]
+    assert subfolders(spark, log) == []
+
+
+def test_settling_writes_what_the_wave_touches(spark, folder):
+    log, settled = folder("log"), folder("settled")
+    log_batch(spark, log, 0, *(event(f"e{i}", at(1), 1.0) for i in range(600)))
+    jobs.settle_events(spark, log, settled, FLAT, slots=64)
+    first = read_manifest(spark, settled)
+    log_batch(spark, log, 1, event("e5", at(2), 2.0), event("e6", at(2), 2.0))
+    current = jobs.settle_events(spark, log, settled, FLAT, slots=64)
+    second = read_manifest(spark, settled)
+    changed = [n for n in second.parts if second.parts[n] != first.parts.get(n)]
+    assert len(first.parts) == 64 and 1 <= len(changed) <= 2
+    assert rows(current.groupBy("taxa_alfabetizacao").count()) == [(1.0, 598), (2.0, 2)]
+    assert plan(current).count("FileScan") == 1
+    # Full slots are cut in two, all of them in one run.
+    log_batch(spark, log, 2, event("e7", at(2), 3.0))
+    size = jobs._bytes_below(spark, settled, list(second.parts.values()))
+    current = jobs.settle_events(spark, log, settled, FLAT, slot_bytes=size // 100)
+    assert read_manifest(spark, settled).state == {"upto": 2, "slots": 128}
+    assert current.count() == 600 and current.select("event_id").distinct().count() == 600
+    log_batch(spark, log, 3, event("e8", at(2), 4.0))
+    current = jobs.settle_events(spark, log, settled, FLAT)
+    assert current.count() == 600 and rows(current.where("taxa_alfabetizacao > 2"), "event_id") == [("e7",), ("e8",)]
+
+
+def test_suppression_reads_nothing_of_what_is_stored(spark, folder):
+    bus, out, checkpoint = folder("bus"), folder("out"), folder("cp")
+    for wave in range(2):
+        put(spark, bus, event("a", at(10)), event(f"b{wave}", at(11)))
+        query = jobs.store_unique(arriving(spark, bus), out, checkpoint, 4)
+        drain(query)
+    text = query._jsq.explainInternal(False)
+    assert "StreamingDeduplicate" in text and out not in text and text.count("Scan") == 1
+    assert rows(scan(spark, out, FLAT), "event_id") == [("a",), ("b0",), ("b1",)]
+    assert spark.conf.get("spark.sql.shuffle.partitions") == "4" and spark.conf.get(jobs.CHANGELOG, None) is None
 
 
 def test_a_batch_written_twice_is_stored_once(spark, folder):
@@ -298,7 +421,7 @@ def test_all_jobs(run, spark, folder):
     assert summary["alunos"]["silver_linhas"] == 2 and summary["meta_municipio"]["silver_linhas"] == 3
     result = integration_job(run)
     assert (result["silver_linhas"], result["quarentena_linhas"]) == (3, 1)
-    aside = spark.read.parquet(run.lake.quarantine(INTEGRATED_ENTITY))
+    aside = run.quarantine(INTEGRATED_ENTITY)
     assert rows(aside, "id_municipio", "_motivo_quarentena") == [("0000009", "municipio_inexistente")]
     assert [s["linhas"] for s in gold_jobs(run)] == [2, 1, 2]
     view = run.gold("indicador_municipio")
@@ -335,7 +458,7 @@ def test_a_second_day_replaces_what_readers_see(run, spark):
     assert later.bronze("alunos").count() == 3  # the newest snapshot alone
     silver_jobs(later)
     assert later.silver("alunos").count() == 2
-    stored = scan(spark, run.lake.silver("alunos"), stored_schema("alunos", "silver"))
+    stored = scan_loads(spark, run.lake.silver("alunos"), stored_schema("alunos", "silver"))
     assert stored.count() == 4  # the first day is still there
 
 
@@ -352,7 +475,7 @@ def test_gate_mode_stops_and_quarantine_mode_sets_aside(run, spark):
     strict = Run(spark, run.lake, DAY1, rules=run.rules, on_violation="gate")
     with pytest.raises(QualityError, match="meta_alfabetizacao_2030"):
         silver_job(strict, "meta_brasil")
-    with pytest.raises(AnalysisException):
+    with pytest.raises(NothingPublished):
         run.silver("meta_brasil")
     assert silver_job(run, "meta_brasil") == {"entidade": "meta_brasil", "silver_linhas": 1, "quarentena_linhas": 1}
 
@@ -360,5 +483,5 @@ def test_gate_mode_stops_and_quarantine_mode_sets_aside(run, spark):
 def test_bad_raw_data_is_not_stored(run, spark):
     with pytest.raises(QualityError):
         bronze_job(run, raw(spark, "meta_uf", [{"ano": None, "sigla_uf": "SP"}]), "meta_uf")
-    with pytest.raises(AnalysisException):
+    with pytest.raises(NothingPublished):
         run.bronze("meta_uf")

@@ -141,6 +141,26 @@ SELECT ano, id_municipio, sigla_uf, rede, taxa_alfabetizacao - 1 AS taxa_alfabet
 FROM {{fx_meta_municipio}} WHERE ano < 2001""",
 }
 
+
+
+def _key(x: str) -> str:
+    return f"CASE WHEN length({x}) < 7 THEN lpad({x}, 7, '0') ELSE {x} END"
+
+
+# The raw entities as an origin delivers them that meets the rules of the raw layer. What is left is for the clean layer to find: copies, missing
+# targets, keys without a directory entry, scores that are no numbers.
+SOURCES |= {
+    "ok_uf": "SELECT id_uf, upper(trim(sigla)) AS sigla, min(nome) AS nome, min(regiao) AS regiao FROM {fx_uf} GROUP BY id_uf, upper(trim(sigla))",
+    "ok_municipio": f"SELECT {_key("replace(id_municipio, 'X', '9')")} AS id_municipio, sigla_uf, nome, nome_uf FROM {{fx_municipio}}",
+    "ok_meta_brasil": "SELECT * FROM {fx_meta_brasil}",
+    "ok_meta_uf": "SELECT * FROM {fx_meta_uf}",
+    "ok_meta_municipio": f"""SELECT ano, {_key("id_municipio")} AS id_municipio, rede,
+  CASE WHEN taxa_alfabetizacao > 100 THEN CAST(100 AS DOUBLE) ELSE taxa_alfabetizacao END AS taxa_alfabetizacao,
+  {", ".join(TARGETS)}, nivel_alfabetizacao, percentual_participacao FROM {{fx_meta_municipio}}""",
+    "ok_alunos": f"""SELECT ano, {_key("id_municipio")} AS id_municipio, id_escola, id_aluno, caderno, serie, rede, presenca,
+  preenchimento_caderno, alfabetizado, proficiencia, peso_aluno FROM {{fx_alunos}}""",
+}
+
 _ISO = {
     "spark": """date_format(CAST(<ts> AS TIMESTAMP), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+00:00'")""",
     "duckdb": "strftime(<ts>, '%Y-%m-%dT%H:%M:%S.%f+00:00')",

@@ -135,18 +135,15 @@ TABLES = {
     FROM {{base_gap}})""",
 }
 
-# The same steps as the jobs see them: one raw load without state codes, bad rows set aside on the way.
-TABLES |= {
-    "job_municipio": "SELECT * FROM {municipio} WHERE regexp_full_match(id_municipio, '[0-9]{7}')",
-    "job_meta_all": f"""SELECT f.*, taxa_alfabetizacao - {IN_FORCE} AS gap_meta,
-    {hit('taxa_alfabetizacao', IN_FORCE)} AS atingiu_meta
-  FROM (SELECT r.* REPLACE ({pad('r.id_municipio')} AS id_municipio, m.sigla_uf AS sigla_uf)
-        FROM {{fx_meta_municipio}} r LEFT JOIN {{job_municipio}} m ON m.id_municipio = {pad('r.id_municipio')}) f""",
-    "job_meta": "SELECT * FROM {job_meta_all} WHERE NOT coalesce(taxa_alfabetizacao > 100, false)",
-}
-for _name in ("batch", "judged", "valid", "events_rich", "merged", "integrated", "base", "base_gap", "v1", "rollup", "v2", "v3"):
-    _text = TABLES[_name].replace("{meta_municipio}", "{job_meta}").replace("{municipio}", "{job_municipio}")
-    for _dep in ("batch", "judged", "valid", "events_rich", "merged", "integrated", "base", "base_gap", "rollup"):
+# The same steps as the jobs see them: one raw load that meets the raw rules, without state codes in the facts.
+for _name in ("uf", "municipio", "meta_brasil", "alunos"):
+    TABLES["job_" + _name] = TABLES[_name].replace("{fx_", "{ok_")
+TABLES["job_meta"] = f"""SELECT f.*, taxa_alfabetizacao - {IN_FORCE} AS gap_meta, {hit('taxa_alfabetizacao', IN_FORCE)} AS atingiu_meta
+  FROM (SELECT r.*, m.sigla_uf FROM {{ok_meta_municipio}} r LEFT JOIN {{job_municipio}} m USING (id_municipio)) f"""
+_STEPS = ("batch", "judged", "valid", "events_rich", "merged", "integrated", "base", "base_gap", "student_totals", "v1", "rollup", "v2", "v3")
+for _name in _STEPS:
+    _text = TABLES[_name].replace("{meta_municipio}", "{job_meta}")
+    for _dep in ("uf", "municipio", "alunos", *_STEPS):
         _text = _text.replace("{" + _dep + "}", "{job_" + _dep + "}")
     TABLES["job_" + _name] = _text
 

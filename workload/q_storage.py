@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Sequence
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -16,7 +17,7 @@ from lodestrata.operators.quality import in_range, quarantine_split
 from lodestrata.session import materialise
 from lodestrata.sources.catalog import register_table
 from lodestrata.sources.sinks import write_layer
-from lodestrata.sources.tables import loads, optional_scan, scan, scan_load, stored_or
+from lodestrata.sources.tables import loads, optional_scan, scan, scan_load, scan_loads, stored_or
 from workload.data import EARLIER_TS, RUN_TS, Data
 from workload.fixtures import TARGETS, YEARS
 from workload.oracle import STUDENTS_TYPED
@@ -31,7 +32,7 @@ def store_twice(d: Data, df: DataFrame, entity: str, runs: Sequence[datetime]) -
     columns = schema_for(entity, "bronze", YEARS, lineage=False).fieldNames()
     for run_ts in (*runs, runs[-1]):
         write_layer(bronze_rows(df.select(*columns), entity, run_ts), path, entity, "bronze", run_ts)
-    return scan(d.spark, path, stored_schema(entity, "bronze", YEARS))
+    return scan_loads(d.spark, path, stored_schema(entity, "bronze", YEARS))
 
 
 FACTS = f"ano, id_municipio, rede, taxa_alfabetizacao, {T}, nivel_alfabetizacao, percentual_participacao"
@@ -45,7 +46,7 @@ def scan_partitioned(d: Data):
     for run_ts in (RUN_TS, EARLIER_TS):
         rows = bronze_rows(d.raw("fx_meta_municipio").drop("sigla_uf"), "meta_municipio", run_ts)
         paths.append(write_layer(rows, d.folder("scan"), "meta_municipio", "bronze", run_ts))
-    both = scan(d.spark, paths, stored_schema("meta_municipio", "bronze", YEARS))
+    both = reduce(DataFrame.unionByName, (scan_loads(d.spark, p, stored_schema("meta_municipio", "bronze", YEARS)) for p in paths))
     return both.drop(*struct_of(LINEAGE["bronze"]).fieldNames())
 
 
@@ -87,7 +88,7 @@ def sink_overwrite_roundtrip(d: Data):
 def sink_silver_roundtrip(d: Data):
     path = d.folder("silver")
     write_layer(stamp(d.municipio, "silver", RUN_TS), path, "municipio", "silver", RUN_TS)
-    return scan(d.spark, path, stored_schema("municipio", "silver")).drop("_silver_processed_at").withColumn(
+    return scan_loads(d.spark, path, stored_schema("municipio", "silver")).drop("_silver_processed_at").withColumn(
         "ano", F.col("ano").cast("string")
     )
 
@@ -99,7 +100,7 @@ def sink_quarantine_roundtrip(d: Data):
     set_aside = quarantine_split(d.students_typed, [in_range("proficiencia", 0, 1000)])[1]
     write_layer(set_aside, path, "alunos", "silver", RUN_TS)
     schema = stored_schema("alunos", "silver", lineage=False).add("_motivo_quarentena", "string")
-    return scan(d.spark, path, schema)
+    return scan_loads(d.spark, path, schema)
 
 
 @query("SELECT *, '2026-07-12' AS carga, '07' AS mes, '12' AS dia FROM {v2}")
@@ -107,7 +108,7 @@ def sink_gold_roundtrip(d: Data):
     path = d.folder("gold")
     view = stamp(gold.meta_vs_resultado(d.integrated, d.uf), "gold", RUN_TS)
     write_layer(view, path, "meta_vs_resultado", "gold", RUN_TS)
-    return scan(d.spark, path, stored_schema("meta_vs_resultado", "gold")).drop("_gold_processed_at")
+    return scan_loads(d.spark, path, stored_schema("meta_vs_resultado", "gold")).drop("_gold_processed_at")
 
 
 @query("SELECT *, '2026-07-12' AS carga, '07' AS mes, '12' AS dia FROM {v3}")
@@ -144,7 +145,7 @@ def rerun_same_day(d: Data):
     """A second run of the day with fewer years leaves nothing of the first."""
     facts = d.raw("fx_meta_municipio")
     path = facts_at(d, [(facts, RUN_TS), (facts.where("ano >= 1999"), RUN_TS)])
-    return facts_of(scan(d.spark, path, stored_schema("meta_municipio", "bronze", YEARS)))
+    return facts_of(scan_loads(d.spark, path, stored_schema("meta_municipio", "bronze", YEARS)))
 
 
 @query(f"SELECT {FACTS}, '2026-07-11' AS carga, '2026-07-12' AS newest FROM {{fx_meta_municipio}}")
@@ -153,7 +154,7 @@ def rerun_empty(d: Data):
     facts = d.raw("fx_meta_municipio")
     path = facts_at(d, [(facts, EARLIER_TS), (facts, RUN_TS), (facts.where("false"), RUN_TS)])
     schema = stored_schema("meta_municipio", "bronze", YEARS)
-    both = facts_of(scan(d.spark, path, schema)).unionByName(facts_of(scan_load(d.spark, path, schema)))
+    both = facts_of(scan_loads(d.spark, path, schema)).unionByName(facts_of(scan_load(d.spark, path, schema)))
     return both.withColumn("newest", F.lit(loads(d.spark, path)[-1]))
 
 
@@ -162,4 +163,4 @@ def load_a_year_later(d: Data):
     """A load on the same day of the next year stands beside the first."""
     facts = d.raw("fx_meta_municipio")
     path = facts_at(d, [(facts, RUN_TS), (facts.where("ano >= 1999"), A_YEAR_LATER)])
-    return facts_of(scan(d.spark, path, stored_schema("meta_municipio", "bronze", YEARS)))
+    return facts_of(scan_loads(d.spark, path, stored_schema("meta_municipio", "bronze", YEARS)))
