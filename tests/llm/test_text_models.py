@@ -135,7 +135,7 @@ def plain_tree_score(train, texts):
 
     one = judged({k: n for k, n in pairs.items() if n >= suffix_tree.PAIR_SEEN}, lambda c: len(train) if c == "<s>" else uni[c], lambda c, w: p0(w))
     p1 = lambda c, w: one[c][0].get(w, 0) + one[c][1] * p0(w) if c in one else p0(w)
-    frequent = {k for k, n in pairs.items() if n >= suffix_tree.CONTEXT_SEEN}
+    frequent = {k for k, n in pairs.items() if n >= suffix_tree.PAIR_SEEN}
     kept = {k: n for k, n in triples.items() if n >= suffix_tree.PAIR_SEEN and k[0] in frequent}
     two = judged(kept, pairs.__getitem__, lambda c, w: p1(c[1], w))
     out = []
@@ -210,8 +210,12 @@ def deep_tree_score(train, texts, deepest):
     return scores, max(map(len, kept))
 
 
-def test_suffix_tree_grows_while_contexts_gain(table):
-    """The word after four words tells the first of them, and texts of one word repeated differ in length."""
+@pytest.mark.parametrize("local,reach", [(250_000, (8, 64)), (0, (8, 64)), (250_000, (1, 2)), (25, (2, 3))])
+def test_suffix_tree_grows_while_contexts_gain(table, monkeypatch, local, reach):
+    """The word after four words tells the first of them, and texts of one word repeated differ in length. Contexts grow inside tasks, by
+    counting all tokens, or one way after the other."""
+    monkeypatch.setattr(suffix_tree, "LOCAL", local)
+    monkeypatch.setattr(suffix_tree, "REACH", reach)
     rnd = random.Random(3)
     train = [" ".join(f"{x} m n o {x}{x}" if rnd.random() < 0.9 else rnd.choice("pq") for x in rnd.choices("abcdef", k=12)) for _ in range(40)]
     train += [" ".join(["r"] * rnd.choice([3, 6]) + [rnd.choice("st")]) for _ in range(30)]
