@@ -13,6 +13,9 @@ TOKENIZER = "piece_bpe_32k.model"
 TOKEN_LIMIT = 4096
 QUALITY_AT_LEAST = 0.3
 SAMPLES = 2
+#: Longest context of the language model. Without a limit the contexts that still might gain follow copied documents to their beginnings, thousands of
+#: words each; at 21 million words 1.58 million contexts are retained, 1,700 of them longer than 8 words and 10 to 63 at each length from 30 to 39.
+CONTEXT_WORDS = 40
 
 
 def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -30,7 +33,7 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text")
-    tree = suffix_tree.fit(docs.where(remainder("doc_id", 5) != 1))
+    tree = suffix_tree.fit(docs.where(remainder("doc_id", 5) != 1), depth=CONTEXT_WORDS)
     scored = suffix_tree.score(docs, tree)
     return scored.withColumns({"held_out": remainder("doc_id", 5) == 1, "train_tokens": F.lit(tree.tokens).cast("long")})
 
