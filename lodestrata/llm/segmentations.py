@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import heapq
 import zlib
 from collections.abc import Iterator
@@ -22,6 +23,8 @@ from lodestrata.llm.words import mixed, portions
 THETA = 0.5
 #: A branch whose prefix has a probability below e to minus this never comes first (chance under 1e-26) and isn't looked at.
 DEEP = 60.0
+#: Characters of texts that share their words' lattices.
+LATTICES_OF = 3_000_000
 _U = np.uint64
 _BASE = _U(0x9E3779B97F4A7C15)
 
@@ -44,6 +47,7 @@ class Pieces:
         self.spelled = [p.piece.replace(SPACE, " ").encode() for p in proto.pieces]
         for b, i in byte.items():
             self.spelled[i] = bytes([b])
+        self.spelled = np.array(self.spelled, dtype=object)
         # Scores of byte-pair models only rank the pieces; their weights then follow Zipf's law. Others are log probabilities.
         order = sorted(pieces, key=lambda x: (-x[2], x[0]))
         if proto.trainer_spec.model_type == 2:
@@ -135,6 +139,8 @@ class Lattices:
             top = np.maximum.reduceat(value, offset)
             beta[nodes] = top + np.log(np.add.reduceat(np.exp(value - np.repeat(top, c)), offset))
         self.log = weight + np.where(ends, 0.0, beta[self.to]) - beta[node]
+        #: Edges that are the only one of their node.
+        self.lone = (counts == 1)[node]
         chance = np.exp(self.log)
         total = np.cumsum(chance)
         before = np.r_[0.0, total][self.first[:-1]]
@@ -156,7 +162,7 @@ def uniform(seed: np.ndarray | np.uint64, *counters) -> np.ndarray:
     """Numbers between 0 and 1 that depend on their seed and counters only."""
     h = np.atleast_1d(np.asarray(seed, dtype=_U))
     for c in counters:
-        h = h * _BASE + np.asarray(c).astype(_U) + _U(1)
+        h = h * _BASE + (_U(c + 1) if isinstance(c, int) else c.astype(_U) + _U(1))
     return ((mixed(h) >> _U(11)).astype(np.float64) + 0.5) / (1 << 53)
 
 
@@ -195,14 +201,16 @@ def _best(lattices: Lattices, walks: list[tuple[np.ndarray, np.ndarray]], lo: in
 
     def branches(path: np.ndarray, since: int, taken: tuple[int, ...], value: float) -> None:
         nonlocal ticket
-        before = np.r_[0.0, np.cumsum(lattices.log[path])][:-1]
-        last = int(np.searchsorted(-before, DEEP))
-        spots = np.arange(since, last)
-        if not len(spots):
+        log = lattices.log[path]
+        before = np.empty(len(path) + 1)
+        before[0] = 0.0
+        np.cumsum(log, out=before[1:])
+        last = min(int(np.searchsorted(-before, DEEP)), len(path))
+        if since >= last:
             return
-        free = -np.expm1(np.minimum(lattices.log[path[spots]], 0.0))
-        edge = path[spots]
-        free[lattices.first[lattices.node[edge] + 1] - lattices.first[lattices.node[edge]] == 1] = 0.0
+        spots, edge = np.arange(since, last), path[since:last]
+        free = -np.expm1(np.minimum(log[since:last], 0.0))
+        free[lattices.lone[edge]] = 0.0
         if taken:
             others = [*taken, int(path[since])]
             node = lattices.node[path[since]]
@@ -214,7 +222,8 @@ def _best(lattices: Lattices, walks: list[tuple[np.ndarray, np.ndarray]], lo: in
         location = before[spots[keep]] + np.log(free[keep])
         values, spots = _below(location, value, u[keep]), spots[keep]
         # No more than k entries leave the queue and one bounds the rest, so the largest k + 1 of a path are enough.
-        for i in np.argsort(-values, kind="stable")[: k + 1]:
+        high = np.argpartition(-values, k)[: k + 1] if len(values) > 4 * (k + 1) else np.arange(len(values))
+        for i in high[np.argsort(-values[high], kind="stable")][: k + 1].tolist():
             t = int(spots[i])
             heapq.heappush(queue, (-float(values[i]), (ticket << 32) + t, (path, t, taken if t == since else ())))
 
@@ -264,13 +273,13 @@ def ids_of(path: np.ndarray, lattices: Lattices, pieces: Pieces) -> np.ndarray:
     return out
 
 
-def spelled(ids, pieces: Pieces) -> bytes:
+def spelled(ids: np.ndarray, pieces: Pieces) -> bytes:
     """The UTF-8 text of token ids: bytes joined, spaces as such, and without the space in front."""
-    return b"".join(map(pieces.spelled.__getitem__, ids)).removeprefix(b" ")
+    return b"".join(pieces.spelled[ids].tolist()).removeprefix(b" ")
 
 
-def decoded(ids, pieces: Pieces) -> str:
-    return spelled(ids, pieces).decode("utf-8", "replace")
+def decoded(ids: np.ndarray, pieces: Pieces) -> str:
+    return spelled(np.asarray(ids, dtype=np.int64), pieces).decode("utf-8", "replace")
 
 
 def sampled(texts: list[str | None], keys: list[str], pieces: Pieces, k: int, theta: float, seed: int) -> list[list[tuple]]:
@@ -302,40 +311,55 @@ def sampled(texts: list[str | None], keys: list[str], pieces: Pieces, k: int, th
     return out
 
 
+def joined(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Batches put together to about LATTICES_OF characters, so that the lattice of a frequent word is made for many of its occurrences."""
+    held: list[pd.DataFrame] = []
+    size = 0
+    for batch in batches:
+        held.append(batch)
+        size += int(batch["text"].str.len().fillna(0).sum())
+        if size >= LATTICES_OF:
+            yield pd.concat(held, ignore_index=True)
+            held, size = [], 0
+    if held:
+        yield pd.concat(held, ignore_index=True)
+
+
 def encode_samples(docs: DataFrame, model_path: str, k: int = 2, theta: float = THETA, seed: int = 29, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """k distinct segmentations of each whole text: id, sample (from 1, by falling perturbed value), n_tokens, log_prob, gumbel, log_inclusion, ids, ids_crc32, same_text.
+    """k distinct segmentations of each whole text: id, sample (from 1, by falling perturbed value), n_tokens, log_prob, gumbel, log_inclusion, ids, ids_crc32, same_text, decoded_crc32.
 
     A segmentation's probability is proportional to the product of its pieces' weights to the power ``theta``. The k are drawn without
     replacement: they have the largest log probabilities after a Gumbel variable is added to each. log_inclusion is the log
     of the chance that a segmentation would be among them, given the largest value left out. Random numbers depend on ``seed`` and the row's id only, so
-    reruns and other partitionings agree, and rows that repeat id and text get the same samples. same_text tells whether decoding gives the text back (a literal ▁ comes back as a space).
+    reruns and other partitionings agree, and rows that repeat id and text get the same samples. The ids are then decoded by ``decode``: same_text tells whether that gives the text back (a literal ▁ comes back as a space), decoded_crc32 is of what it gives.
 
-    A null or empty text has one segmentation, without tokens; texts with fewer than k segmentations give all they have. An empty table
-    gives an empty result. Other columns are not read. The model's file, of a fixed size, is broadcast.
+    A null or empty text has one segmentation, without tokens; texts with fewer than k segmentations give all they have. A very long text is a portion of
+    its own, in arrays of its length. An empty table gives an empty result. Other columns are not read, whatever their names. The model's file, of a
+    fixed size, is broadcast.
     """
     spark = docs.sparkSession
     ship(spark)
     with open(model_path, "rb") as file:
         model = spark.sparkContext.broadcast(file.read())
-    columns = ["id", "sample", "n_tokens", "log_prob", "gumbel", "log_inclusion", "ids", "ids_crc32", "same_text"]
+    columns = ["id", "sample", "n_tokens", "log_prob", "gumbel", "log_inclusion", "ids", "ids_crc32", "text_md5"]
 
     def drawn(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         pieces = _pieces(model.value)
-        for batch in batches:
+        for batch in joined(batches):
             texts = batch["text"].tolist()
             keys = batch["key"].tolist()
-            found = [best for part in portions(texts) for best in sampled(texts[part], keys[part], pieces, k, theta, seed)]
-            rows = []
+            found = [best for part in portions(texts, LATTICES_OF) for best in sampled(texts[part], keys[part], pieces, k, theta, seed)]
             owners = batch["id"].astype("Int64").where(batch["there"])
+            rows = []
             for ident, body, best in zip(owners, texts, found, strict=True):
-                plain = (body or "").replace(SPACE, " ").encode("utf-8", "surrogatepass")
-                for j, (ids, log, value, inside) in enumerate(best, 1):
-                    rows.append((ident, j, len(ids), log, value, inside, ids, zlib.crc32(ids.tobytes()), spelled(ids.tolist(), pieces) == plain))
+                plain = hashlib.md5((body or "").replace(SPACE, " ").encode("utf-8", "surrogatepass")).hexdigest()
+                rows += [(ident, j, len(ids), log, value, inside, ids, zlib.crc32(ids.tobytes()), plain) for j, (ids, log, value, inside) in enumerate(best, 1)]
             yield pd.DataFrame(rows, columns=columns).astype({"id": "Int64"})
 
     rows = docs.select(*id_parts(id_col), F.coalesce(F.col(id_col).cast("string"), F.lit("")).alias("key"), F.col(text).alias("text"))
-    out = rows.mapInPandas(drawn, "id long, sample int, n_tokens long, log_prob double, gumbel double, log_inclusion double, ids array<int>, ids_crc32 long, same_text boolean")
-    return out.withColumnRenamed("id", id_col)
+    out = rows.mapInPandas(drawn, "id long, sample int, n_tokens long, log_prob double, gumbel double, log_inclusion double, ids array<int>, ids_crc32 long, text_md5 string")
+    kept = [F.col("id").alias(id_col), *columns[1:-1]]
+    return out.withColumn("decoded", decode(spark, model_path)).select(*kept, (F.md5("decoded") == F.col("text_md5")).alias("same_text"), F.crc32("decoded").alias("decoded_crc32"))
 
 
 def decode(spark: SparkSession, model_path: str, ids: str | Column = "ids") -> Column:
@@ -348,6 +372,6 @@ def decode(spark: SparkSession, model_path: str, ids: str | Column = "ids") -> C
     def text(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         pieces = _pieces(model.value)
         for batch in batches:
-            yield pd.Series([None if x is None else decoded(list(x), pieces) for x in batch], dtype=object)
+            yield pd.Series([None if x is None else decoded(x, pieces) for x in batch], dtype=object)
 
     return text(ids)
