@@ -18,7 +18,7 @@ from lodestrata.sources.sinks import publish_load, stage_layer, write_layer, wri
 from lodestrata.sources.manifest import NothingPublished, PublicationConflict, publish, read_manifest
 from lodestrata.sources.tables import extract, optional_scan, loads, scan, scan_load, scan_loads, stored_or
 from lodestrata.streaming import jobs
-from lodestrata.streaming.source import NoEventsError, drain, file_wire
+from lodestrata.streaming.source import WIRE_COLUMNS, NoEventsError, drain, file_wire, kafka_options, wire_of
 
 DAY1 = datetime(2026, 7, 11, 8, tzinfo=timezone.utc)
 DAY2 = DAY1 + timedelta(days=1)
@@ -213,6 +213,18 @@ def at(hour, day=12):
     return f"2026-07-{day:02d}T{hour:02d}:00:00+00:00"
 
 
+def test_records_of_a_bus(spark):
+    """Options of the reader, and records as a broker delivers them: bytes beside columns of its own."""
+    assert kafka_options("a:9092,b:9092", "t", 500) == {"kafka.bootstrap.servers": "a:9092,b:9092", "subscribe": "t", "startingOffsets": "earliest", "maxOffsetsPerTrigger": "500"}
+    assert "maxOffsetsPerTrigger" not in kafka_options("a:9092")
+    sent = encode_events(spark.createDataFrame([event("é1", at(1), 61.5, key="0000001")], FLAT)).first()
+    records = [(bytearray(sent.key.encode()), bytearray(sent.value.encode()), "t", 0, 7), (None, bytearray(b"no json"), "t", 0, 8), (None, None, "t", 1, 0)]
+    wire = wire_of(spark.createDataFrame(records, "key binary, value binary, topic string, partition int, offset long"))
+    assert wire.schema.simpleString() == spark.createDataFrame([], WIRE_COLUMNS).schema.simpleString()
+    want = [(None, None, None), (None, None, None), ("é1", 61.5, "0000001")]
+    assert rows(decode_events(wire), "event_id", "taxa_alfabetizacao", "id_municipio") == sorted(want, key=repr)
+
+
 def test_a_repeated_run_adds_nothing(spark, folder):
     bus, out, checkpoint = folder("bus"), folder("out"), folder("cp")
     put(spark, bus, event("a", at(1)), event("b", at(2)))
