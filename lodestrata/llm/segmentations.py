@@ -102,7 +102,7 @@ class Lattices:
             place, alive = pieces.places(hashed)
             begin, hashed, place = begin[alive], hashed[alive], place[alive]
             whole = pieces.piece[place] >= 0
-            found.append((begin[whole], np.full(whole.sum(), size), pieces.piece[place[whole]], theta * pieces.weight[place[whole]]))
+            found.append((size, begin[whole], pieces.piece[place[whole]], theta * pieces.weight[place[whole]]))
             if size == 1:
                 lone[begin[whole]] = False
             more = begin + size < self.stop[begin]
@@ -111,20 +111,25 @@ class Lattices:
         bare = np.flatnonzero(lone)
         p = points[bare]
         width = 1 + (p > 0x7F) + (p > 0x7FF) + (p > 0xFFFF)
-        found.append((bare, np.ones(len(bare), dtype=np.int64), -1 - p.astype(np.int64), theta * width * pieces.byte_weight))
-        # Long pieces, mostly the likely ones, first: they come last above, and the sort by node keeps their order.
-        node, size, piece, weight = (np.concatenate(x) for x in zip(*reversed(found), strict=True))
-        order = np.argsort(node, kind="stable")
-        node, size, self.piece, weight = node[order], size[order], piece[order], weight[order]
-        self.node, self.to = node, node + size
-        first = np.searchsorted(node, at)
-        self.first = np.r_[first, len(node)]
+        found.append((1, bare, -1 - p.astype(np.int64), theta * width * pieces.byte_weight))
+        # A node has at most one edge of each kind, so edges go to their places without a sort: long pieces, mostly the likely ones, first.
+        counts = np.zeros(n, dtype=np.int64)
+        for _, begin, _, _ in found:
+            counts[begin] += 1
+        self.first = np.r_[0, np.cumsum(counts)]
+        node, free = np.repeat(at, counts), self.first[:-1].copy()
+        self.to, self.piece, weight = node.copy(), np.empty(len(node), dtype=np.int64), np.empty(len(node))
+        for size, begin, piece, gain in reversed(found):
+            spot = free[begin]
+            self.to[spot] += size
+            self.piece[spot], weight[spot] = piece, gain
+            free[begin] += 1
+        self.node = node
 
         left = self.stop - at
         by_left = np.argsort(left, kind="stable")
         beta = np.zeros(n + 1)
         ends = self.to == self.stop[node]
-        counts = np.diff(self.first)
         bounds = np.searchsorted(left[by_left], np.arange(1, (left.max() if n else 0) + 2))
         for lo, hi in zip(bounds[:-1], bounds[1:], strict=True):
             nodes = by_left[lo:hi]
@@ -186,70 +191,101 @@ def _below(location, limit: float, u):
     return location - np.log(np.exp(np.minimum(location - limit, 700.0)) - np.log(u))
 
 
-def _best(lattices: Lattices, walks: list[tuple[np.ndarray, np.ndarray]], lo: int, hi: int, seed: np.uint64, k: int) -> tuple[list[tuple[float, np.ndarray]], float]:
-    """The k segmentations of one text with the largest perturbed log probability, and the largest of those left out.
+#: An entry of a text's queue: minus its priority, a number that settles ties, and (path, place of the branch, edges taken there).
+Entry = tuple[float, int, tuple[np.ndarray, int, tuple[int, ...]]]
 
-    A-star over the tree of prefixes: an entry of the queue is a prefix together with the edges after it that are still
-    free, and its priority is the exact maximum of the perturbed values below. The largest leaves the queue; an edge is
-    drawn, the rest of the text follows from a fresh walk, and the branches along the new path enter, bounded by its value.
+
+def _branches(lattices: Lattices, paths: list[np.ndarray], since: np.ndarray, taken: list[tuple[int, ...]], value: np.ndarray, seed: np.ndarray, ticket: np.ndarray, k: int) -> list[list[Entry]]:
+    """The branches that leave new paths at ``since`` or later, a path for each of many texts: per text its k + 1 largest.
+
+    No more than k entries leave a queue and one bounds the rest, so these are enough. Only the beginnings of paths down to ``DEEP`` are looked at; these
+    lie side by side in an array, longer ones in a wider array of their own, so a value does not depend on the texts beside it. ``ticket`` is counted up.
     """
-    queue: list[tuple[float, int, tuple]] = []
-    out: list[tuple[float, np.ndarray]] = []
-    ticket = 0
-
-    def branches(path: np.ndarray, since: int, taken: tuple[int, ...], value: float) -> None:
-        nonlocal ticket
-        log = lattices.log[path]
-        before = np.empty(len(path) + 1)
-        before[0] = 0.0
-        np.cumsum(log, out=before[1:])
-        last = min(int(np.searchsorted(-before, DEEP)), len(path))
-        if since >= last:
-            return
-        spots, edge = np.arange(since, last), path[since:last]
-        free = -np.expm1(np.minimum(log[since:last], 0.0))
+    out: list[list[Entry]] = [[] for _ in paths]
+    length = np.fromiter(map(len, paths), dtype=np.int64, count=len(paths))
+    start = np.r_[0, np.cumsum(length)][:-1]
+    flat = np.concatenate(paths)
+    rows, width = np.arange(len(paths)), 128
+    while len(rows):
+        spots = np.arange(width)
+        there = spots < length[rows, None]
+        edge = flat[np.where(there, start[rows, None] + spots, 0)]
+        log = np.where(there, lattices.log[edge], 0.0)
+        before = np.zeros((len(rows), width + 1))
+        np.cumsum(log, axis=1, out=before[:, 1:])
+        last = np.minimum((before > -DEEP).sum(axis=1), length[rows])
+        ended = (last < width) | (length[rows] <= width)
+        ticket[rows[ended & (since[rows] < last)]] += 1
+        free = -np.expm1(np.minimum(log, 0.0))
         free[lattices.lone[edge]] = 0.0
-        if taken:
-            others = [*taken, int(path[since])]
-            node = lattices.node[path[since]]
-            open_edges = [e for e in range(lattices.first[node], lattices.first[node + 1]) if e not in others]
-            free[0] = np.exp(lattices.log[open_edges]).sum() if open_edges else 0.0
-        ticket += 1
-        u = uniform(seed, 1 << 40, ticket, spots)
-        keep = free > 0
-        location = before[spots[keep]] + np.log(free[keep])
-        values, spots = _below(location, value, u[keep]), spots[keep]
-        # No more than k entries leave the queue and one bounds the rest, so the largest k + 1 of a path are enough.
-        high = np.argpartition(-values, k)[: k + 1] if len(values) > 4 * (k + 1) else np.arange(len(values))
-        for i in high[np.argsort(-values[high], kind="stable")][: k + 1].tolist():
-            t = int(spots[i])
-            heapq.heappush(queue, (-float(values[i]), (ticket << 32) + t, (path, t, taken if t == since else ())))
+        for r in np.flatnonzero(ended & (since[rows] < last)).tolist():
+            i = rows[r]
+            if taken[i]:
+                used = (*taken[i], int(paths[i][since[i]]))
+                node = lattices.node[used[-1]]
+                open_edges = [e for e in range(lattices.first[node], lattices.first[node + 1]) if e not in used]
+                free[r, since[i]] = np.exp(lattices.log[open_edges]).sum() if open_edges else 0.0
+        r, t = np.nonzero(ended[:, None] & (spots >= since[rows, None]) & (spots < last[:, None]) & (free > 0))
+        owner = rows[r]
+        values = _below(before[r, t] + np.log(free[r, t]), value[owner], uniform(seed[owner], 1 << 40, ticket[owner], t))
+        order = np.lexsort((-values, owner))
+        owner, t, values = owner[order], t[order], values[order]
+        rank = np.arange(len(owner)) - np.searchsorted(owner, owner)
+        top = rank <= k
+        for i, spot, v in zip(owner[top].tolist(), t[top].tolist(), values[top].tolist(), strict=True):
+            out[i].append((-v, (int(ticket[i]) << 32) + spot, (paths[i], spot, taken[i] if spot == since[i] else ())))
+        rows, width = rows[~ended], 4 * width
+    return out
+
+
+def _best(lattices: Lattices, walks: list[tuple[np.ndarray, np.ndarray]], bounds: np.ndarray, seeds: np.ndarray, k: int) -> tuple[list[list[tuple[float, np.ndarray]]], list[float]]:
+    """Of each text the k segmentations with the largest perturbed log probability, and the largest of those left out.
 
+    A-star over the tree of prefixes: an entry of a text's queue is a prefix together with the edges after it that are still
+    free, and its priority is the exact maximum of the perturbed values below. The largest leaves the queue; an edge is
+    drawn, the rest of the text follows from a fresh walk, and the branches along the new path enter, bounded by its value.
+    Every text has a queue of its own; all texts take a step before any takes the next.
+    """
     path, starts = walks[0]
-    first = path[starts[lo] : starts[hi]]
-    value = float(-np.log(-np.log(uniform(seed, 1 << 41)[0])))
-    out.append((value, first))
-    branches(first, 0, (), value)
-    while queue and len(out) < k:
-        minus, _, (path, t, taken) = heapq.heappop(queue)
-        value, j = -minus, len(out)
-        used = (*taken, int(path[t]))
-        node = lattices.node[path[t]]
-        free = [e for e in range(lattices.first[node], lattices.first[node + 1]) if e not in used]
-        chance = np.cumsum(np.exp(lattices.log[free]))
-        edge = free[min(int(np.searchsorted(chance, uniform(seed, 1 << 42, j)[0] * chance[-1])), len(free) - 1)]
+    paths = [path[a:b] for a, b in zip(starts[bounds[:, 0]], starts[bounds[:, 1]], strict=True)]
+    value, ticket = -np.log(-np.log(uniform(seeds, 1 << 41))), np.zeros(len(paths), dtype=np.int64)
+    out = [[(float(v), p)] for v, p in zip(value, paths, strict=True)]
+    queues = _branches(lattices, paths, np.zeros(len(paths), dtype=np.int64), [()] * len(paths), value, seeds, ticket, k)
+    for queue in queues:
+        heapq.heapify(queue)
+    for j in range(1, k):
+        going = [i for i, queue in enumerate(queues) if queue]
+        if not going:
+            break
+        at, drawn = np.array(going), uniform(seeds[going], 1 << 42, j)
         fresh, starts = walks[j]
-        tail, step = [edge], 0
-        while lattices.to[edge] < lattices.stop[node]:
-            edge = int(lattices.pick(lattices.to[edge : edge + 1], uniform(seed, 1 << 43, j, np.array([step])))[0])
-            tail.append(edge)
-            step += 1
-        # The pre-token that the branch lies in, counted by its ends along the path.
-        done = int((lattices.to[path[:t]] == lattices.stop[lattices.node[path[:t]]]).sum())
-        new = np.concatenate([path[:t], tail, fresh[starts[lo + done + 1] : starts[hi]]])
-        out.append((value, new))
-        branches(new, t, used, value)
-    return out, -queue[0][0] if queue else -np.inf
+        paths, since, taken = [], [], []
+        for i, u in zip(going, drawn, strict=True):
+            minus, _, (path, t, gone) = heapq.heappop(queues[i])
+            used = (*gone, int(path[t]))
+            node = lattices.node[path[t]]
+            free = [e for e in range(lattices.first[node], lattices.first[node + 1]) if e not in used]
+            chance = np.cumsum(np.exp(lattices.log[free]))
+            edge = free[min(int(np.searchsorted(chance, u * chance[-1])), len(free) - 1)]
+            tail, step = [edge], 0
+            while lattices.to[edge] < lattices.stop[node]:
+                edge = int(lattices.pick(lattices.to[edge : edge + 1], uniform(seeds[i], 1 << 43, j, np.array([step])))[0])
+                tail.append(edge)
+                step += 1
+            # The pre-token that the branch lies in, counted by its ends along the path.
+            done = int((lattices.to[path[:t]] == lattices.stop[lattices.node[path[:t]]]).sum())
+            paths.append(np.concatenate([path[:t], tail, fresh[starts[bounds[i, 0] + done + 1] : starts[bounds[i, 1]]]]))
+            since.append(t)
+            taken.append(used)
+            value[i] = -minus
+            out[i].append((-minus, paths[-1]))
+        tickets = ticket[at]
+        entered = _branches(lattices, paths, np.array(since), taken, value[at], seeds[at], tickets, k)
+        ticket[at] = tickets
+        for i, entries in zip(going, entered, strict=True):
+            for entry in entries:
+                heapq.heappush(queues[i], entry)
+    return out, [-queue[0][0] if queue else -np.inf for queue in queues]
 
 
 @lru_cache(maxsize=2)
@@ -257,18 +293,19 @@ def _pieces(model: bytes) -> Pieces:
     return Pieces(model)
 
 
-def ids_of(path: np.ndarray, lattices: Lattices, pieces: Pieces) -> np.ndarray:
-    """Token ids of a path; characters that are no piece give a token for each byte."""
-    ids = lattices.piece[path]
-    bare = np.flatnonzero(ids < 0)
-    if not len(bare):
-        return ids.astype(np.int32)
-    spelled = [pieces.bytes_of[list(chr(-1 - i).encode("utf-8", "surrogatepass"))] for i in ids[bare].tolist()]
+def ids_of(paths: list[np.ndarray], lattices: Lattices, pieces: Pieces) -> list[np.ndarray]:
+    """Token ids of paths; characters that are no piece give a token for each byte."""
+    ends = np.cumsum([len(p) for p in paths])
+    ids = lattices.piece[np.concatenate(paths)]
     times = np.ones(len(ids), dtype=np.int64)
-    times[bare] = [len(s) for s in spelled]
+    bare = np.flatnonzero(ids < 0)
+    points, which = np.unique(-1 - ids[bare], return_inverse=True)
+    spelled = [pieces.bytes_of[list(chr(p).encode("utf-8", "surrogatepass"))] for p in points.tolist()]
+    times[bare] = np.array([len(s) for s in spelled], dtype=np.int64)[which]
     out = np.repeat(ids, times).astype(np.int32)
-    out[out < 0] = np.concatenate(spelled)
-    return out
+    if len(bare):
+        out[out < 0] = np.concatenate([spelled[w] for w in which.tolist()])
+    return np.split(out, np.cumsum(times)[ends[:-1] - 1])
 
 
 def spelled(ids: np.ndarray, pieces: Pieces) -> bytes:
@@ -293,19 +330,17 @@ def sampled(texts: list[str | None], keys: list[str], pieces: Pieces, k: int, th
     row = np.repeat(np.arange(len(texts)), np.diff(bounds))
     place = np.arange(len(token)) - bounds[row]
     walks = [_walk(lattices, token, seeds[row], place, j) for j in range(k)]
-    out = []
-    for i in range(len(texts)):
-        if bounds[i] == bounds[i + 1]:
-            out.append([(np.zeros(0, np.int32), 0.0, 0.0, 0.0)])
-            continue
-        best, bound = _best(lattices, walks, bounds[i], bounds[i + 1], seeds[i], k)
-        rows = []
-        for value, path in best:
+    out: list[list[tuple]] = [[(np.zeros(0, np.int32), 0.0, 0.0, 0.0)] for _ in texts]
+    some = np.flatnonzero(np.diff(bounds))
+    best, left_out = _best(lattices, walks, np.stack([bounds[some], bounds[some + 1]], axis=1), seeds[some], k)
+    ids = iter(ids_of([path for found in best for _, path in found], lattices, pieces))
+    for i, found, bound in zip(some.tolist(), best, left_out, strict=True):
+        out[i] = []
+        for value, path in found:
             log = float(lattices.log[path].sum())
             # Included if its own Gumbel variable exceeds the largest value left out: 1 - exp(-exp(log - bound)).
             inside = 0.0 if bound == -np.inf else float(np.log(-np.expm1(-np.exp(min(log - bound, 700.0))))) if log - bound > -30 else log - bound
-            rows.append((ids_of(path, lattices, pieces), log, value, inside))
-        out.append(rows)
+            out[i].append((next(ids), log, value, inside))
     return out
 
 
