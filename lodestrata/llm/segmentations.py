@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-import hashlib
 import heapq
 import zlib
+from collections import defaultdict
 from collections.abc import Iterator
 from functools import lru_cache
 from itertools import chain
@@ -23,6 +23,8 @@ from lodestrata.llm.words import mixed, portions
 THETA = 0.5
 #: A branch whose prefix has a probability below e to minus this never comes first (chance under 1e-26) and isn't looked at.
 DEEP = 60.0
+#: Tokens of a path that are looked at first; most paths are that deep, and those that are not yet get a wider array.
+WIDTH = 384
 _U = np.uint64
 _BASE = _U(0x9E3779B97F4A7C15)
 
@@ -205,7 +207,7 @@ def _branches(lattices: Lattices, paths: list[np.ndarray], since: np.ndarray, ta
     length = np.fromiter(map(len, paths), dtype=np.int64, count=len(paths))
     start = np.r_[0, np.cumsum(length)][:-1]
     flat = np.concatenate(paths)
-    rows, width = np.arange(len(paths)), 128
+    rows, width = np.arange(len(paths)), min(WIDTH, int(length.max()))
     while len(rows):
         spots = np.arange(width)
         there = spots < length[rows, None]
@@ -320,13 +322,14 @@ def decoded(ids: np.ndarray, pieces: Pieces) -> str:
 def sampled(texts: list[str | None], keys: list[str], pieces: Pieces, k: int, theta: float, seed: int) -> list[list[tuple]]:
     """For each text its k sampled segmentations: (ids, log probability, perturbed value, log of the chance of inclusion)."""
     cut = [pre_tokens(t or "") for t in texts]
-    distinct = {w: i for i, w in enumerate(dict.fromkeys(chain.from_iterable(cut)))}
     seeds = np.array([xxh3_64_intdigest(f"{seed}:{key}".encode()) for key in keys], dtype=_U)
     bounds = np.r_[0, np.cumsum([len(words) for words in cut])].astype(np.int64)
-    if not distinct:
+    if not bounds[-1]:
         return [[(np.zeros(0, np.int32), 0.0, 0.0, 0.0)] for _ in texts]
-    lattices = Lattices([w if w[0] == SPACE else SPACE + w for w in distinct], pieces, theta)
+    distinct: defaultdict[str, int] = defaultdict()
+    distinct.default_factory = distinct.__len__
     token = np.fromiter(map(distinct.__getitem__, chain.from_iterable(cut)), dtype=np.int64, count=bounds[-1])
+    lattices = Lattices([w if w[0] == SPACE else SPACE + w for w in distinct], pieces, theta)
     row = np.repeat(np.arange(len(texts)), np.diff(bounds))
     place = np.arange(len(token)) - bounds[row]
     walks = [_walk(lattices, token, seeds[row], place, j) for j in range(k)]
@@ -350,7 +353,7 @@ def encode_samples(docs: DataFrame, model_path: str, k: int = 2, theta: float =
     A segmentation's probability is proportional to the product of its pieces' weights to the power ``theta``. The k are drawn without
     replacement: they have the largest log probabilities after a Gumbel variable is added to each. log_inclusion is the log
     of the chance that a segmentation would be among them, given the largest value left out. Random numbers depend on ``seed`` and the row's id only, so
-    reruns and other partitionings agree, and rows that repeat id and text get the same samples. The ids are then decoded by ``decode``: same_text tells whether that gives the text back (a literal ▁ comes back as a space), decoded_crc32 is of what it gives.
+    reruns and other partitionings agree, and rows that repeat id and text get the same samples. The ids are then spelled again, as ``decode`` does: same_text tells whether that gives the text back (a literal ▁ comes back as a space), decoded_crc32 is of what it gives.
 
     A null or empty text has one segmentation, without tokens; texts with fewer than k segmentations give all they have. A very long text is a portion of
     its own, in arrays of its length. An empty table gives an empty result. Other columns are not read, whatever their names. The model's file, of a
@@ -360,7 +363,7 @@ def encode_samples(docs: DataFrame, model_path: str, k: int = 2, theta: float =
     ship(spark)
     with open(model_path, "rb") as file:
         model = spark.sparkContext.broadcast(file.read())
-    columns = ["id", "sample", "n_tokens", "log_prob", "gumbel", "log_inclusion", "ids", "ids_crc32", "text_md5"]
+    columns = ["id", "sample", "n_tokens", "log_prob", "gumbel", "log_inclusion", "ids", "ids_crc32", "same_text", "decoded_crc32"]
 
     def drawn(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         pieces = _pieces(model.value)
@@ -371,14 +374,16 @@ def encode_samples(docs: DataFrame, model_path: str, k: int = 2, theta: float =
             owners = batch["id"].astype("Int64").where(batch["there"])
             rows = []
             for ident, body, best in zip(owners, texts, found, strict=True):
-                plain = hashlib.md5((body or "").replace(SPACE, " ").encode("utf-8", "surrogatepass")).hexdigest()
-                rows += [(ident, j, len(ids), log, value, inside, ids, zlib.crc32(ids.tobytes()), plain) for j, (ids, log, value, inside) in enumerate(best, 1)]
+                plain = (body or "").replace(SPACE, " ").encode("utf-8", "surrogatepass")
+                for j, (ids, log, value, inside) in enumerate(best, 1):
+                    back = spelled(ids, pieces)
+                    told = back if back == plain else back.decode("utf-8", "replace").encode()
+                    rows.append((ident, j, len(ids), log, value, inside, ids, zlib.crc32(ids.tobytes()), told == plain, zlib.crc32(told)))
             yield pd.DataFrame(rows, columns=columns).astype({"id": "Int64"})
 
     rows = docs.select(*id_parts(id_col), F.coalesce(F.col(id_col).cast("string"), F.lit("")).alias("key"), F.col(text).alias("text"))
-    out = rows.mapInPandas(drawn, "id long, sample int, n_tokens long, log_prob double, gumbel double, log_inclusion double, ids array<int>, ids_crc32 long, text_md5 string")
-    kept = [F.col("id").alias(id_col), *columns[1:-1]]
-    return out.withColumn("decoded", decode(spark, model_path)).select(*kept, (F.md5("decoded") == F.col("text_md5")).alias("same_text"), F.crc32("decoded").alias("decoded_crc32"))
+    out = rows.mapInPandas(drawn, "id long, sample int, n_tokens long, log_prob double, gumbel double, log_inclusion double, ids array<int>, ids_crc32 long, same_text boolean, decoded_crc32 long")
+    return out.withColumnRenamed("id", id_col)
 
 
 def decode(spark: SparkSession, model_path: str, ids: str | Column = "ids") -> Column:
