@@ -238,26 +238,36 @@ def _detail(rule: Rule, measure: Column) -> Column:
     return F.concat(F.lit(before), measure.cast("string"), F.lit(after))
 
 
-def quality_report(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
-    """One row per rule, all measured in a single pass over the table."""
-    names = [f"m{i}" for i in range(len(rules))]
-    measured = df.agg(F.count(F.lit(1)).alias("rows"), *(_measure(r).alias(n) for r, n in zip(rules, names)))
+def quality_reports(df: DataFrame, sets: Mapping[tuple[str, ...], Sequence[Rule]], labels: Sequence[str]) -> DataFrame:
+    """One row per rule of several rule sets on one table, after the columns ``labels`` that name the set.
+
+    The table is read once for all sets; a measure that several sets ask for is taken once.
+    """
+    named = [(at, place, rule) for at, rules in sets.items() for place, rule in enumerate(rules, start=1)]
+    names = {rule: f"m{i}" for i, rule in enumerate(dict.fromkeys(rule for _, _, rule in named))}
+    measured = df.agg(F.count(F.lit(1)).alias("rows"), *(_measure(rule).alias(name) for rule, name in names.items()))
     rows = [
         F.struct(
-            F.lit(position).alias("ordem"),
+            *(F.lit(value).alias(label) for label, value in zip(labels, at, strict=True)),
+            F.lit(place).alias("ordem"),
             F.lit(rule.label).alias("check"),
             F.lit(rule.kind).alias("tipo"),
             # A rule nobody can evaluate must not pass quietly.
             F.lit(rule.critical or rule.kind not in (*ROW_KINDS, *TABLE_KINDS)).alias("critico"),
-            _passed(rule, F.col(name)).alias("aprovado"),
-            F.col(name).alias("medida"),
-            _detail(rule, F.col(name)).alias("detalhe"),
+            _passed(rule, F.col(names[rule])).alias("aprovado"),
+            F.col(names[rule]).alias("medida"),
+            _detail(rule, F.col(names[rule])).alias("detalhe"),
         )
-        for position, (rule, name) in enumerate(zip(rules, names), start=1)
+        for at, place, rule in named
     ]
     return measured.select(F.inline(F.array(*rows)))
 
 
+def quality_report(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
+    """One row per rule, all measured in a single pass over the table."""
+    return quality_reports(df, {(): rules}, ())
+
+
 def quality_gate(df: DataFrame, rules: Sequence[Rule]) -> list[Row]:
     """The report, or QualityError naming every critical rule that failed. Other failures are logged.
 

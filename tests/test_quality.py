@@ -15,6 +15,7 @@ from lodestrata.operators.quality import (
     not_null,
     quality_gate,
     quality_report,
+    quality_reports,
     quarantine_split,
     rule_book,
     rules_for,
@@ -184,3 +185,18 @@ def test_dq_report_judges_every_rule_set():
     from workload.q_quality import BOOK
 
     assert set(BOOK) == set(rule_book())
+
+
+def test_rule_sets_of_one_table_share_a_pass(spark, tmp_path):
+    spark.createDataFrame([("1", 5), ("1", None), (None, 7)], "k string, v int").write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    sets = {("e", "silver"): [not_null("k"), unique("k")], ("e", "gold"): [min_count(4), not_null("k")], ("e", "none"): []}
+    got = quality_reports(df, sets, ("entidade", "camada"))
+    found = {(r.entidade, r.camada, r.ordem, r.check, r.aprovado, r.medida) for r in got.collect()}
+    assert found == {
+        ("e", "silver", 1, "not_null:k", False, 1),
+        ("e", "silver", 2, "unique:k", False, 1),
+        ("e", "gold", 1, "min_count", False, 3),
+        ("e", "gold", 2, "not_null:k", False, 1),
+    }
+    assert got._jdf.queryExecution().optimizedPlan().toString().count("Relation [") == 1

@@ -19,11 +19,13 @@ from lodestrata.operators.quality import (
     min_count,
     not_null,
     quality_report,
+    quality_reports,
     quarantine_split,
     rules_for,
     unique,
     with_row_reasons,
 )
+from lodestrata.session import materialise
 from workload.data import EARLIER_TS, RUN_TS, Data
 from workload.fixtures import FIT
 from workload.oracle import STUDENT, STUDENTS_TYPED
@@ -148,34 +150,25 @@ BOOK = {
     )
 )
 def dq_report(d: Data):
-    """The rules of the rule book, one pass over each table."""
+    """The rules of the rule book. Clean tables are stored, as the jobs find them; each table is read once for all its layers."""
+    clean = {name: materialise(getattr(d, name), name) for name in ("meta_brasil", "alunos", "events_clean")}
     tables = {
-        "fx_uf": d.raw("fx_uf"),
+        **{name: d.raw(name) for name in dict.fromkeys(BOOK.values()) if name.startswith("fx_")},
+        **clean,
         "uf": d.uf,
         "municipio": d.municipio,
-        "meta_brasil": d.meta_brasil,
-        "fx_municipio": d.raw("fx_municipio"),
-        "fx_meta_brasil": d.raw("fx_meta_brasil"),
-        "fx_meta_uf": d.raw("fx_meta_uf"),
         "meta_uf": d.meta_uf,
-        "fx_meta_municipio": d.raw("fx_meta_municipio"),
-        "fx_alunos": d.raw("fx_alunos"),
         "meta_municipio": d.meta_municipio,
-        "alunos": d.alunos,
-        "fx_eventos": d.raw("fx_eventos"),
-        "events_clean": d.events_clean,
-        "gold_meta_brasil": gold.gold_meta_brasil(d.meta_brasil),
+        "gold_meta_brasil": gold.gold_meta_brasil(clean["meta_brasil"]),
         "gold_meta_uf": gold.gold_meta_uf(d.meta_uf),
         "gold_meta_municipio": gold.gold_meta_municipio(d.integrated),
-        "gold_alunos": gold.gold_alunos(d.alunos),
+        "gold_alunos": gold.gold_alunos(clean["alunos"]),
     }
-    reports = [
-        quality_report(tables[table], rules_for(*at, **FIT)).select(
-            F.lit(at[0]).alias("entidade"), F.lit(at[1]).alias("camada"), *REPORT
-        )
-        for at, table in BOOK.items()
-    ]
-    return reduce(DataFrame.unionByName, reports)
+    sets: dict[str, dict] = {}
+    for at, table in BOOK.items():
+        sets.setdefault(table, {})[at] = rules_for(*at, **FIT)
+    reports = [quality_reports(tables[table], book, ("entidade", "camada")) for table, book in sets.items()]
+    return reduce(DataFrame.unionByName, reports).select("entidade", "camada", *REPORT)
 
 
 ROW_RULES = [
