@@ -172,38 +172,57 @@ def near_groups(docs: DataFrame, size: int = 5, percent: int = 80, bands: int =
     mixed = placed.groupBy("bucket").agg(F.min("component").alias("least"), F.max("component").alias("most"))
     mixed = stored(mixed.where("least <> most").select("bucket"), "near-mixed")
     inside = stored(placed.join(mixed, "bucket", "left_semi"), "near-inside")
-    nodes = inside.select("node").distinct()
-    known = stored(_texts_of(texts, nodes).join(signs, "node"), "near-known")
     blocks = F.ceil(F.col("n") / BLOCK).cast("int")
     # Every block of a bucket meets every block, itself too: both sorted numbers are part of the group's key.
-    spread = inside.join(known, "node").withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("node"), "blocks").cast("int"))
+    spread = inside.join(signs, "node").withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("node"), "blocks").cast("int"))
     spread = spread.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    spread = spread.select("bucket", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "band", "node", "component", "sig", "buckets", "text")
+    spread = spread.select("bucket", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "band", "node", "component", "sig", "buckets")
+
+    def surviving(group: pd.DataFrame) -> Iterator[tuple[int, np.ndarray, pd.DataFrame, pd.DataFrame]]:
+        """For each member of the lower block the members of the other that lie in another component, whose first shared band is this bucket's, and whose signature survives."""
+        low, high, band = group["low"].iloc[0], group["high"].iloc[0], group["band"].iloc[0]
+        one, two = (group[group["block"] == block].reset_index(drop=True) for block in (low, high))
+        if not len(two):
+            return
+        sigs, all_buckets = _stacked(two["sig"].tolist()), np.stack(two["buckets"].to_numpy())
+        comps, nodes = two["component"].to_numpy(), two["node"].to_numpy()
+        for i, (node, comp, own_sig, own_buckets) in enumerate(zip(one["node"], one["component"], one["sig"], one["buckets"], strict=True)):
+            at = np.flatnonzero((comps != comp) & ((nodes > node) | (low != high)))
+            at = at[(all_buckets[at] == own_buckets).argmax(axis=1) == band]
+            if len(at):
+                repeated = np.broadcast_to(np.frombuffer(own_sig, dtype=np.uint16), (len(at), bands * rows))
+                at = at[plausible(repeated, sigs[at], bounds)]
+            if len(at):
+                yield i, at, one, two
+
+    def involved(group: pd.DataFrame) -> pd.DataFrame:
+        """The members of two blocks that have a surviving partner there."""
+        group = group.drop_duplicates(["node", "block"]).sort_values("node")
+        met: set[int] = set()
+        for i, at, one, two in surviving(group):
+            met.add(one["node"].iloc[i])
+            met.update(two["node"].iloc[at])
+        return group[group["node"].isin(met)]
 
     def across(group: pd.DataFrame) -> pd.DataFrame:
         """Links between members of a bucket that lie in different components, each pair in the first band it shares."""
         group = group.drop_duplicates(["node", "block"]).sort_values("node")
-        low, high, band = group["low"].iloc[0], group["high"].iloc[0], group["band"].iloc[0]
-        one, two = group[group["block"] == low], group[group["block"] == high]
         found: list[tuple[int, int]] = []
-        if len(two):
-            sigs, all_buckets = _stacked(two["sig"].tolist()), np.stack(two["buckets"].to_numpy())
-            comps, nodes, bodies = two["component"].to_numpy(), two["node"].to_numpy(), two["text"].tolist()
-            sets: dict[int, np.ndarray] = {}
-            for node, comp, own_sig, own_buckets, body in zip(one["node"], one["component"], one["sig"], one["buckets"], one["text"], strict=True):
-                at = np.flatnonzero((comps != comp) & ((nodes > node) | (low != high)))
-                at = at[(all_buckets[at] == own_buckets).argmax(axis=1) == band]
-                if len(at):
-                    repeated = np.broadcast_to(np.frombuffer(own_sig, dtype=np.uint16), (len(at), bands * rows))
-                    at = at[plausible(repeated, sigs[at], bounds)]
-                own = shingles(body, size, _KEPT) if len(at) else None
-                for i in at:
-                    if nodes[i] not in sets:
-                        sets[nodes[i]] = shingles(bodies[i], size, _KEPT)
-                    if _similar(own, sets[nodes[i]], percent):
-                        found.append((min(node, nodes[i]), max(node, nodes[i])))
+        sets: dict[int, np.ndarray] = {}
+        for i, at, one, two in surviving(group):
+            node, own = one["node"].iloc[i], shingles(one["text"].iloc[i], size, _KEPT)
+            for k in at:
+                other = two["node"].iloc[k]
+                if other not in sets:
+                    sets[other] = shingles(two["text"].iloc[k], size, _KEPT)
+                if _similar(own, sets[other], percent):
+                    found.append((min(node, other), max(node, other)))
         return pd.DataFrame(found, columns=["a", "b"]).astype("int64")
 
+    # Blocks meet as signatures; only members with a surviving partner are sent again with their texts.
+    spread = stored(spread.groupBy("bucket", "low", "high").applyInPandas(involved, spread.schema), "near-involved")
+    known = stored(_texts_of(texts, spread.select("node").distinct()), "near-known")
+    spread = spread.join(known, "node")
     more = spread.groupBy("bucket", "low", "high").applyInPandas(across, "a long, b long")
     links = stored(links.unionByName(more), "near-links")
     reached = stored(components(links), "near-components")

@@ -9,7 +9,7 @@ from conftest import plan, rows
 from llm_tables import empty, hard, table  # noqa: F401 - fixtures
 
 import corpus_pipeline
-from lodestrata.llm import components, language_id, minhash_dedup, mixing, neighbours
+from lodestrata.llm import components, language_id, minhash_dedup, mixing, neighbours, shared
 
 
 def plain_groups(pairs, size, percent):
@@ -81,6 +81,30 @@ def test_near_groups_of_hard_rows(hard, empty):
     assert minhash_dedup.near_groups(empty).count() == 0 and minhash_dedup.drop_near(empty).count() == 0
 
 
+def test_members_of_a_crowded_bucket_meet_by_signature(table, monkeypatch):
+    """Bands of one row put hundreds of unlike texts into a bucket of many blocks; only texts of pairs that survive are read again."""
+    rnd = random.Random(9)
+    fresh = lambda n: [f"w{rnd.randint(0, 10**6)}" for _ in range(n)]
+    passage = fresh(80)
+    texts = [" ".join(passage + fresh(120)) for _ in range(300)]
+    texts += [varied(rnd, texts[i].split(), 2) for i in range(0, 300, 30)]
+    rnd.shuffle(texts)
+    pairs = list(enumerate(texts))
+    seen = {}
+
+    def counting(df, label):
+        seen[label] = made = shared.stored(df, label)
+        return made
+
+    monkeypatch.setattr(minhash_dedup, "BLOCK", 16)
+    monkeypatch.setattr(minhash_dedup, "stored", counting)
+    got = minhash_dedup.near_groups(table([(i, t, None, None) for i, t in pairs]), bands=96, rows=1).collect()
+    want, _ = plain_groups(pairs, 5, 80)
+    assert {r.doc_id: r.component_id for r in got} == want
+    inside = seen["near-inside"].groupBy("bucket").agg({"n": "max"}).selectExpr("max(`max(n)`)").first()[0]
+    assert inside > 64 and seen["near-known"].count() <= 40
+
+
 def test_pruning_bound_is_the_posterior_tail():
     bounds = minhash_dedup.least_matches(0.8, 1e-3, 32, 64)
     rng = np.random.default_rng(1)
