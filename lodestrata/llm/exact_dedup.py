@@ -46,11 +46,12 @@ def drop_exact(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> D
     """``docs`` without later copies: all columns of the rows that stay, one row for each id that stays.
 
     Of rows that repeat a kept id with an equal text, the one whose other columns hash lowest stays. Rows of one id with
-    different texts are told apart by the text.
+    different texts are told apart by the text. Null and empty texts are one group, very long ones are hashed whole, an empty
+    table gives an empty one. Columns of ``docs`` may have any names.
     """
-    kept = exact_groups(docs, id_col, text).where("kept").select(F.col(id_col).alias("__id"), F.col("text_sha256").alias("__sha")).distinct()
-    rows = docs.withColumn("__hash", F.sha2(normal_text(text), 256))
-    same = F.col(id_col).eqNullSafe(F.col("__id")) & (F.col("__hash") == F.col("__sha"))
+    kept = exact_groups(docs, id_col, text).where("kept").select(F.col(id_col).alias("id"), F.col("text_sha256").alias("sha")).distinct()
+    rows = docs.select(*(F.col(f"`{c}`").alias(f"in_{c}") for c in docs.columns)).withColumn("hash", F.sha2(normal_text(f"in_{text}"), 256))
+    same = F.col(f"in_{id_col}").eqNullSafe(F.col("id")) & (F.col("hash") == F.col("sha"))
     rows = rows.join(kept, same, "left_semi")
-    first = Window.partitionBy(F.col(id_col), F.col("__hash")).orderBy(F.xxhash64(*[c for c, t in docs.dtypes if not t.startswith("map")]))
-    return rows.withColumn("__n", F.row_number().over(first)).where("__n = 1").select(*docs.columns)
+    first = Window.partitionBy(f"in_{id_col}", "hash").orderBy(F.xxhash64(*[F.col(f"`in_{c}`") for c, t in docs.dtypes if not t.startswith("map")]))
+    return rows.withColumn("place", F.row_number().over(first)).where("place = 1").select(*(F.col(f"`in_{c}`").alias(c) for c in docs.columns))

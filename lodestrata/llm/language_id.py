@@ -69,7 +69,8 @@ def profiles(docs: DataFrame, lang: str = "lang", text: str = "text", top: int =
     """The ``top`` most frequent n-grams of each language over all rows: lang, gram, rank (from 1).
 
     Tasks count their own rows and pass on sums, so the shuffle holds at most a task's distinct n-grams; the window keeps its
-    first rows before the shuffle. Rows without language or text take no part; a table without any gives an empty result.
+    first rows before the shuffle. Rows without language or text take no part; a table without any gives an empty result. Very
+    long texts are counted whole, repeated rows each; ties go to the smaller code. Other columns are not read, whatever their names.
     """
 
     def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -109,7 +110,8 @@ def language(learned: DataFrame, text: str = "text", top: int = TOP) -> Column:
     score is one less the mean distance over ``top``. Texts that are null or without a letter, and all texts if nothing was
     learned, get ``und`` and 0.
 
-    What comes to the driver is ``top`` n-grams for each language.
+    Very long texts are counted whole; repeated rows get equal results; an empty table gives an empty one. What comes to the
+    driver is ``top`` n-grams for each language, of which there should be few.
     """
     ship(learned.sparkSession)
     table = learned.toPandas()
@@ -140,5 +142,6 @@ def language(learned: DataFrame, text: str = "text", top: int = TOP) -> Column:
 
 def identify(docs: DataFrame, learned: DataFrame, text: str = "text", top: int = TOP) -> DataFrame:
     """``docs`` with lang_pred and score, see ``language``. Columns of ``docs`` with these names are replaced."""
-    rows = docs.drop("lang_pred", "score").withColumn("__found", language(learned, text, top))
-    return rows.withColumns({"lang_pred": F.col("__found.lang_pred"), "score": F.col("__found.score")}).drop("__found")
+    names = [c for c in docs.columns if c not in ("lang_pred", "score")]
+    rows = docs.select(*(F.col(f"`{c}`").alias(f"in_{c}") for c in names)).withColumn("found", language(learned, f"in_{text}", top))
+    return rows.select(*(F.col(f"`in_{c}`").alias(c) for c in names), "found.lang_pred", "found.score")

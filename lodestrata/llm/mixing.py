@@ -51,28 +51,30 @@ def mix(docs: DataFrame, seed: int = 17, weights: Sequence[int] = WEIGHTS, most:
 
     Null texts have size 0; rows without words may be taken and add nothing. A source without words has target 0 and is not
     taken. Null sources form a source of their own. Repeated rows count each. An empty table gives an empty one. Columns of ``docs``
-    named like an added one are replaced. The same rows give the same mix.
+    named like an added one are replaced, all others may have any names. The same rows give the same mix. Windows over the
+    sources run in one task, over one row per source.
     """
     extra = ("size", "source_size", "target", "copies")
-    base = docs.select(*(c for c in docs.columns if c not in extra)).withColumns({"__source": F.col(source), "__size": word_count(text)})
+    names = [c for c in docs.columns if c not in extra]
+    base = docs.select(*(F.col(f"`{c}`").alias(f"in_{c}") for c in names)).withColumns({"__source": F.col(f"in_{source}"), "__size": word_count(f"in_{text}")})
     targets = stored(source_targets(base.select("__source", "__size"), weights, most), "mix-targets")
     targets = targets.withColumnRenamed("__source", "__name")
     rows = base.join(targets, F.col("__source").eqNullSafe(F.col("__name")), "left")
     bits = F.length(F.bin("__size"))
     band = bits * 16 + F.floor(F.col("__size") / F.pow(F.lit(2.0), F.greatest(bits - 4, F.lit(0)))).cast("int")
-    ranked = numbered(rows, ["__source"], id_col, ["__size", F.col(id_col), F.xxhash64(text)], band, "__rank")
+    ranked = numbered(rows, ["__source"], f"in_{id_col}", ["__size", F.col(f"in_{id_col}"), F.xxhash64(f"in_{text}")], band, "__rank")
     offset = F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce("__source", F.lit("\0")))), 1, 5), 16, 10).cast("double") / STEPS
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     crossed = F.floor(F.col("__rank") * rate + offset) - F.floor((F.col("__rank") - 1) * rate + offset)
     ranked = ranked.withColumn("copies", F.least(crossed, F.lit(most)).cast("long"))
-    return ranked.withColumn("size", F.col("__size")).drop("__source", "__name", "__size", "__rank")
+    return ranked.select(*(F.col(f"`in_{c}`").alias(c) for c in names), "source_size", "target", "copies", F.col("__size").alias("size"))
 
 
 def take(docs: DataFrame, **options) -> DataFrame:
     """The mix itself: each row as often as it is taken, in the columns of ``docs``."""
-    mixed = mix(docs.select(*(F.col(c).alias(f"in_{c}") for c in docs.columns)), id_col="in_doc_id", text="in_text", source="in_source", **options)
+    mixed = mix(docs.select(*(F.col(f"`{c}`").alias(f"in_{c}") for c in docs.columns)), id_col="in_doc_id", text="in_text", source="in_source", **options)
     taken = mixed.where("copies > 0").withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("long"), "copies")))
-    return taken.select(*(F.col(f"in_{c}").alias(c) for c in docs.columns))
+    return taken.select(*(F.col(f"`in_{c}`").alias(c) for c in docs.columns))
 
 
 ORACLE_SQL = rf"""

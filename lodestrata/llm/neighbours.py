@@ -167,7 +167,7 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "v
     searched whole. Rows of a part are dealt into blocks by a hash of their id, so one common vector doesn't fill a task.
 
     Vectors that are null, zero, or hold null or non-finite components take no part, nor do those of another length than most. Ties go
-    to the smaller id. A row that repeats id and vector counts once; a query id with several vectors is searched by each. Empty tables give an empty result.
+    to the smaller id. A row that repeats id and vector counts once; a query id with several vectors is searched by each. Empty tables give an empty result. Long vectors are kept whole; other columns are not read, whatever their names.
     """
     spark = vectors.sparkSession
     ship(spark)

@@ -86,7 +86,9 @@ def fit(docs: DataFrame, labels: DataFrame, label: str, id_col: str = "doc_id",
     """Weights (the last is the bias) learned from the texts of at most ``sample`` labelled ids, chosen and ordered by a hash of the id.
 
     The ids are chosen from ``labels`` alone, so only their texts are moved. These stream through one task, text by text, which holds
-    no more than a batch. An id with several labels takes the largest; null labels and ids take no part. Without labelled rows all weights are 0.
+    no more than a batch. An id with several labels takes the largest; null labels and ids take no part. Without labelled rows, or without
+    texts, all weights are 0. Null and empty texts teach the bias alone, very long ones are read whole, and each row of a repeated id is learned from. Other
+    columns are not read, whatever their names.
     """
     ship(docs.sparkSession)
     known = labels.where(F.col(label).isNotNull() & F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("id")).agg(F.max(F.col(label).cast("int")).alias("label"))
@@ -110,7 +112,8 @@ def fit(docs: DataFrame, labels: DataFrame, label: str, id_col: str = "doc_id",
 def quality(spark: SparkSession, weights: np.ndarray, text: str | Column = "text") -> Column:
     """The probability of label 1 for each whole text, as the dot product of its n-grams with the weights.
 
-    Null and empty texts, and texts without words, get the bias alone. The weights, of a fixed size, are broadcast.
+    Null and empty texts, and texts without words, get the bias alone. Very long texts are read whole, repeated rows get equal
+    scores, an empty table gives no rows. Only the text column is read. The weights, of a fixed size, are broadcast.
     """
     ship(spark)
     sent = spark.sparkContext.broadcast(weights.astype(np.float64))

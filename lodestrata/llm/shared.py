@@ -99,7 +99,7 @@ def numbered(df: DataFrame, groups: Sequence[str], key: str, order: Sequence[str
     placed = rows.withColumn("__row", F.row_number().over(Window.partitionBy(*lane).orderBy(*order)))
     same = [F.col(c).eqNullSafe(F.col(f"{c}s")) for c in lane]
     joined = placed.join(starts, same, "left").withColumn(name, F.col("__start") + F.col("__row"))
-    return joined.select(*df.columns, name)
+    return joined.select(*(F.col(f"`{c}`") for c in df.columns), name)
 
 
 _shipped: set[str] = set()

@@ -161,7 +161,8 @@ def token_count(spark: SparkSession, model_path: str, text: str | Column = "text
     """Number of tokens that the piece model at ``model_path`` (on the driver) cuts each text into, without begin and end.
 
     Null and empty texts have none. Texts are read whole; very long runs without a space take a queue of pairs instead of the
-    arrays. The model's file, of a fixed size, is broadcast. Equal texts give equal counts in any order of rows.
+    arrays. The model's file, of a fixed size, is broadcast. Equal texts give equal counts in any order of rows;
+    an empty table gives no rows. Only the text column is read.
     """
     ship(spark)
     with open(model_path, "rb") as file:

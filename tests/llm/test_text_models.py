@@ -107,6 +107,40 @@ def test_quality_of_held_out_rows(spark, table, hard, empty):
     assert not none.any() and empty.select(quality.quality(spark, none)).count() == 0
 
 
+def test_quality_equals_a_plain_leader(spark, table):
+    """Weights and scores of follow-the-regularised-leader, one coordinate at a time in dicts."""
+    rnd = random.Random(8)
+    texts = [" ".join(rnd.choice(["Stone", "river", "of.", "THE", "cloud!"]) for _ in range(rnd.randint(0, 12))) for _ in range(60)]
+    docs = table([(i, t, None, None) for i, t in enumerate(texts)])
+    labels = spark.range(60).selectExpr("id AS doc_id", "CAST(id % 3 = 0 AS INT) AS quality")
+    order = [r.id for r in spark.range(60).orderBy(F.xxhash64("id", F.lit("fit"))).collect()]
+    z, n = Counter(), Counter()
+
+    def weight(i):
+        if abs(z[i]) <= quality.L1:
+            return 0.0
+        return -(z[i] - math.copysign(quality.L1, z[i])) / ((quality.BETA + math.sqrt(n[i])) / quality.ALPHA + quality.L2)
+
+    def inputs(text):
+        bins = quality.features(text).tolist()
+        return {**{b: c * quality.SCALE / len(bins) for b, c in Counter(bins).items()}, quality.BINS: 1.0}
+
+    def chance(x):
+        return 1 / (1 + math.exp(-sum(weight(i) * v for i, v in x.items())))
+
+    for i in order * quality.EPOCHS:
+        x = inputs(texts[i])
+        error, w = chance(x) - (i % 3 == 0), {j: weight(j) for j in x}
+        for j, v in x.items():
+            g = error * v
+            z[j] += g - (math.sqrt(n[j] + g * g) - math.sqrt(n[j])) / quality.ALPHA * w[j]
+            n[j] += g * g
+    got = quality.fit(docs, labels, "quality")
+    assert set(np.flatnonzero(got)) == {j for j in n if weight(j)} and all(abs(got[j] - weight(j)) < 1e-5 for j in n)
+    for r in docs.select("doc_id", quality.quality(spark, got).alias("p")).collect():
+        assert abs(r.p - chance(inputs(texts[r.doc_id]))) < 1e-5
+
+
 def plain_tree_score(train, texts):
     """The same suffix tree with dicts."""
     split = lambda t: [w.decode() for w in (t or "").encode().lower().split()] + ["</s>"]
