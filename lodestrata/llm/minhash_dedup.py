@@ -8,12 +8,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, GroupedData
 from pyspark.sql import functions as F
 
 from lodestrata.llm.components import components
 from lodestrata.llm.filters import maybe_in
-from lodestrata.llm.shared import id_parts, ship, stored
+from lodestrata.llm.shared import id_parts, one_row, ship, stored
 from lodestrata.llm.words import WordHashes, chained, shingles
 
 BANDS, ROWS = 32, 6
@@ -178,52 +178,64 @@ def near_groups(docs: DataFrame, size: int = 5, percent: int = 80, bands: int =
     spread = spread.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     spread = spread.select("bucket", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "band", "node", "component", "sig", "buckets")
 
-    def surviving(group: pd.DataFrame) -> Iterator[tuple[int, np.ndarray, pd.DataFrame, pd.DataFrame]]:
-        """For each member of the lower block the members of the other that lie in another component, whose first shared band is this bucket's, and whose signature survives."""
-        low, high, band = group["low"].iloc[0], group["high"].iloc[0], group["band"].iloc[0]
-        one, two = (group[group["block"] == block].reset_index(drop=True) for block in (low, high))
-        if not len(two):
-            return
-        sigs, all_buckets = _stacked(two["sig"].tolist()), np.stack(two["buckets"].to_numpy())
-        comps, nodes = two["component"].to_numpy(), two["node"].to_numpy()
-        for i, (node, comp, own_sig, own_buckets) in enumerate(zip(one["node"], one["component"], one["sig"], one["buckets"], strict=True)):
-            at = np.flatnonzero((comps != comp) & ((nodes > node) | (low != high)))
-            at = at[(all_buckets[at] == own_buckets).argmax(axis=1) == band]
-            if len(at):
-                repeated = np.broadcast_to(np.frombuffer(own_sig, dtype=np.uint16), (len(at), bands * rows))
-                at = at[plausible(repeated, sigs[at], bounds)]
-            if len(at):
-                yield i, at, one, two
+    def dealt(table: DataFrame, n: int, rows_each: int) -> GroupedData:
+        """The ``n`` rows grouped by a hash of their pair of blocks: most buckets hold few rows, so many pairs share a group of pandas; none is cut."""
+        return table.groupBy(F.pmod(F.xxhash64("bucket", "low", "high"), F.lit(1 + n // rows_each)).alias("part"))
+
+    def ordered(group: pd.DataFrame) -> pd.DataFrame:
+        names = ["bucket", "low", "high", "block", "node"]
+        return group.sort_values(names).drop_duplicates(names).reset_index(drop=True)
+
+    def surviving(group: pd.DataFrame) -> Iterator[tuple[int, np.ndarray]]:
+        """For rows of ``ordered`` the later ones of the same two blocks that lie in another component, whose first shared band is this bucket's, and whose signature survives."""
+        sigs, all_buckets = _stacked(group["sig"].tolist()), np.stack(group["buckets"].to_numpy())
+        low, high, block, band, comps = (group[c].to_numpy() for c in ("low", "high", "block", "band", "component"))
+        names = group[["bucket", "low", "high"]].to_numpy()
+        ends = np.flatnonzero(np.r_[(names[1:] != names[:-1]).any(axis=1), True]) + 1
+        start = 0
+        for end in ends:
+            cut = start + np.searchsorted(block[start:end], high[start])
+            for i in range(start, end if low[start] == high[start] else cut):
+                at = np.arange(max(i + 1, cut), end)
+                at = at[comps[at] != comps[i]]
+                if len(at):
+                    at = at[(all_buckets[at] == all_buckets[i]).argmax(axis=1) == band[i]]
+                if len(at):
+                    at = at[plausible(np.broadcast_to(sigs[i], (len(at), bands * rows)), sigs[at], bounds)]
+                if len(at):
+                    yield i, at
+            start = end
 
     def involved(group: pd.DataFrame) -> pd.DataFrame:
         """The members of two blocks that have a surviving partner there."""
-        group = group.drop_duplicates(["node", "block"]).sort_values("node")
-        met: set[int] = set()
-        for i, at, one, two in surviving(group):
-            met.add(one["node"].iloc[i])
-            met.update(two["node"].iloc[at])
-        return group[group["node"].isin(met)]
+        group = ordered(group)
+        met = np.zeros(len(group), dtype=bool)
+        for i, at in surviving(group):
+            met[i] = met[at] = True
+        return group[met]
 
     def across(group: pd.DataFrame) -> pd.DataFrame:
         """Links between members of a bucket that lie in different components, each pair in the first band it shares."""
-        group = group.drop_duplicates(["node", "block"]).sort_values("node")
+        group = ordered(group)
+        nodes, bodies = group["node"].tolist(), group["text"].tolist()
         found: list[tuple[int, int]] = []
         sets: dict[int, np.ndarray] = {}
-        for i, at, one, two in surviving(group):
-            node, own = one["node"].iloc[i], shingles(one["text"].iloc[i], size, _KEPT)
-            for k in at:
-                other = two["node"].iloc[k]
-                if other not in sets:
-                    sets[other] = shingles(two["text"].iloc[k], size, _KEPT)
-                if _similar(own, sets[other], percent):
-                    found.append((min(node, other), max(node, other)))
+        bucket = None
+        for i, at in surviving(group):
+            if bucket != group["bucket"].iat[i] or len(sets) > 2 * BLOCK:
+                bucket = group["bucket"].iat[i]
+                sets.clear()
+            for k in (i, *at):
+                if nodes[k] not in sets:
+                    sets[nodes[k]] = shingles(bodies[k], size, _KEPT)
+            found += [(min(nodes[i], nodes[k]), max(nodes[i], nodes[k])) for k in at if _similar(sets[nodes[i]], sets[nodes[k]], percent)]
         return pd.DataFrame(found, columns=["a", "b"]).astype("int64")
 
     # Blocks meet as signatures; only members with a surviving partner are sent again with their texts.
-    spread = stored(spread.groupBy("bucket", "low", "high").applyInPandas(involved, spread.schema), "near-involved")
-    known = stored(_texts_of(texts, spread.select("node").distinct()), "near-known")
-    spread = spread.join(known, "node")
-    more = spread.groupBy("bucket", "low", "high").applyInPandas(across, "a long, b long")
+    sent = one_row(inside.agg(F.sum(blocks).alias("n")))["n"] or 0
+    met = stored(dealt(spread, sent, 4 * BLOCK).applyInPandas(involved, spread.schema), "near-involved")
+    known = stored(_texts_of(texts, met.select("node").distinct()), "near-known")
+    more = dealt(met.join(known, "node"), met.count(), BLOCK // 2).applyInPandas(across, "a long, b long")
     links = stored(links.unionByName(more), "near-links")
     reached = stored(components(links), "near-components")
 
@@ -234,6 +246,11 @@ def near_groups(docs: DataFrame, size: int = 5, percent: int = 80, bands: int =
 
 
 def drop_near(docs: DataFrame, size: int = 5, percent: int = 80, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` without near copies: of each component the document with the smallest id stays, with all its rows and columns."""
-    gone = near_groups(docs, size, percent, id_col=id_col, text=text).where("NOT kept").select(F.col(id_col).alias("__id")).distinct()
-    return docs.join(stored(gone, "near-gone"), F.col(id_col) == F.col("__id"), "left_anti")
+    """``docs`` without near copies: of each component the document with the smallest id stays, with all its rows and columns.
+
+    Rows with a null id, and those without words, stay. Very long texts are compared whole. Columns of ``docs`` may have any names.
+    """
+    gone = near_groups(docs, size, percent, id_col=id_col, text=text).where("NOT kept").select(F.col(id_col).alias("gone")).distinct()
+    rows = docs.select(*(F.col(f"`{c}`").alias(f"in_{c}") for c in docs.columns))
+    rows = rows.join(stored(gone, "near-gone"), F.col(f"in_{id_col}") == F.col("gone"), "left_anti")
+    return rows.select(*(F.col(f"`in_{c}`").alias(c) for c in docs.columns))

@@ -1,13 +1,15 @@
 """Exact duplicates, mixing and shards against plain versions."""
 
 import hashlib
+import random
 import re
 from collections import defaultdict
 
 from conftest import rows
 from llm_tables import empty, hard, table  # noqa: F401 - fixtures
+from pyspark.sql import functions as F
 
-from lodestrata.llm import exact_dedup, kd_shards, mixing
+from lodestrata.llm import exact_dedup, kd_shards, minhash_dedup, mixing
 from lodestrata.llm.shared import numbered
 
 
@@ -95,6 +97,39 @@ def test_shards_are_even_gapless_and_keep_equal_texts(spark, table, empty):
     assert kd_shards.kd_shards(empty, leaves=8).count() == 0
 
 
+def test_each_cut_is_the_weighted_median_of_the_widest_dimension(spark):
+    """Every node of the tree against a plain look at its rows; steps are heavy, so cuts go on into the hash of the text."""
+    rnd = random.Random(6)
+    fines = rnd.sample(range(1 << 32), 3000)
+    points = [(i, rnd.randint(20, 60), 0, f << 20, [rnd.randint(0, 9) * 40, rnd.randint(0, 700), 5]) for i, f in enumerate(fines)]
+    df = spark.createDataFrame(points, "id long, w long, crc long, fine long, bins array<int>")
+    total, leaves = sum(p[1] for p in points), 11
+    got = kd_shards.kd_split(df, leaves, total).collect()
+    nodes = [(got, 0, leaves)]
+    while nodes:
+        own, base, count = nodes.pop()
+        if count == 1:
+            assert {r.shard for r in own} == {base}
+            continue
+        left, right = [r for r in own if r.shard < base + count // 2], [r for r in own if r.shard >= base + count // 2]
+        spans = [max(r.bins[d] for r in own) - min(r.bins[d] for r in own) for d in range(3)]
+        d = spans.index(max(spans))
+        assert max((r.bins[d], r.fine) for r in left) < min((r.bins[d], r.fine) for r in right)
+        share = sum(r.w for r in own) * (count // 2) / count
+        assert abs(sum(r.w for r in left) - share) <= max(kd_shards.CLOSE * total / leaves, 60) / 2
+        nodes += [(left, base, count // 2), (right, base + count // 2, count - count // 2)]
+    assert len(got) == 3000
+
+
+def test_columns_of_any_names_are_kept(hard):
+    """Names that helpers use or used to use."""
+    named = hard.withColumns({c: F.lit(c) for c in ("__id", "__hash", "__n", "__source", "__size", "__rank", "__lane", "in_text", "a.b", "gone", "hash")})
+    for made in (exact_dedup.drop_exact(named), mixing.take(named), minhash_dedup.drop_near(named)):
+        first = made.where("doc_id = 0").first()
+        assert made.columns == named.columns and (first is None or (first["__id"], first["__source"], first["a.b"]) == ("__id", "__source", "a.b"))
+    assert {"__source", "__size", "__rank"} < set(mixing.mix(named.drop("a.b")).columns)
+
+
 def test_one_text_may_fill_several_shards(table):
     docs = table([(i, "the same text", "en", "a") for i in range(1000)] + [(5000 + i, f"other {i}", "en", "a") for i in range(500)])
     got = kd_shards.kd_shards(docs, target_bytes=7000).collect()
