@@ -39,6 +39,10 @@ class Data:
     def raw(self, name: str) -> DataFrame:
         return source(self.spark, self.sf_dir, name, self._known)
 
+    def keep(self, name: str) -> None:
+        """Stores a raw entity that several derivations read, so that it is derived once."""
+        self._known[name] = materialise(self.raw(name), name)
+
     def folder(self, label: str) -> str:
         return work_folder(self.spark, label)
 

@@ -151,7 +151,9 @@ BOOK = {
 )
 def dq_report(d: Data):
     """The rules of the rule book. Clean tables are stored, as the jobs find them; each table is read once for all its layers."""
+    d.keep("fx_meta_municipio")
     clean = {name: materialise(getattr(d, name), name) for name in ("meta_brasil", "alunos", "events_clean")}
+    d.meta_municipio = materialise(d.meta_municipio, "meta_municipio")
     tables = {
         **{name: d.raw(name) for name in dict.fromkeys(BOOK.values()) if name.startswith("fx_")},
         **clean,
