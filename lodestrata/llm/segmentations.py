@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest
 
-from lodestrata.llm.shared import id_parts, ship
+from lodestrata.llm.shared import give_back, id_parts, ship
 from lodestrata.llm.token_counts import BYTE, NORMAL, SPACE, pre_tokens
 from lodestrata.llm.words import mixed, portions
 
@@ -56,130 +56,153 @@ class Pieces:
         else:
             weight = {i: s for i, _, s in pieces}
         self.byte_weight = min(weight.values()) - 1.0
-        begins: dict[int, int] = {}
+        # A tree of the beginnings in an open table: each lies at the place that a hash of its own beginning's place and its last character names, or at the next free one.
+        ends: dict[str, int] = {}
         for i, piece, _ in pieces:
-            h = np.zeros(1, dtype=_U)
-            for j, c in enumerate(piece):
-                h = mixed(h * _BASE + _U(ord(c)) + _U(1))
-                begins[int(h[0])] = i if j == len(piece) - 1 else begins.get(int(h[0]), -1)
-        # An open table: a beginning lies at the place its hash names, or at the next free one.
-        size = 1 << (4 * len(begins)).bit_length()
-        self.hashes, self.taken = np.zeros(size, dtype=_U), np.zeros(size, dtype=bool)
+            for j in range(1, len(piece) + 1):
+                ends[piece[:j]] = i if j == len(piece) else ends.get(piece[:j], -1)
+        size = 1 << (4 * len(ends)).bit_length()
+        self.shift = 65 - size.bit_length()
+        self.keys = np.full(size, -1, dtype=np.int64)
         self.piece, self.weight = np.full(size, -1, dtype=np.int32), np.full(size, -np.inf)
-        for h, p in begins.items():
-            at = h & (size - 1)
-            while self.taken[at]:
+        place = {"": -1}
+        for beginning in sorted(ends, key=len):
+            key = (place[beginning[:-1]] + 1 << 21) | ord(beginning[-1])
+            at = (key * int(_BASE) & 0xFFFFFFFFFFFFFFFF) >> self.shift
+            while self.keys[at] >= 0:
                 at = (at + 1) & (size - 1)
-            self.hashes[at], self.taken[at], self.piece[at], self.weight[at] = h, True, p, weight.get(p, -np.inf)
+            p = ends[beginning]
+            place[beginning], self.keys[at], self.piece[at], self.weight[at] = at, key, p, weight.get(p, -np.inf)
+        self.whole = self.piece >= 0
         self.longest = max(len(p) for _, p, _ in pieces)
 
-
-    def places(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Places of these beginnings in the table, and which are there."""
-        mask = len(self.hashes) - 1
-        at = (hashes & _U(mask)).astype(np.int64)
-        look = np.flatnonzero(self.taken[at] & (self.hashes[at] != hashes))
+    def places(self, state: np.ndarray, points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places in the table of beginnings made longer by a character, and which are there; ``state``: the place of the beginning plus 1, or 0 for none."""
+        key = (state << 21) | points
+        at = ((key.view(_U) * _BASE) >> _U(self.shift)).view(np.int64)
+        got = self.keys[at]
+        alive = got == key
+        look = np.flatnonzero(~alive & (got >= 0))
         while len(look):
-            at[look] = (at[look] + 1) & mask
-            look = look[self.taken[at[look]] & (self.hashes[at[look]] != hashes[look])]
-        return at, self.taken[at]
+            at[look] = (at[look] + 1) & (len(self.keys) - 1)
+            got = self.keys[at[look]]
+            alive[look] = got == key[look]
+            look = look[(got >= 0) & (got != key[look])]
+        return at, alive
 
 
 class Lattices:
     """Lattices of many pre-tokens side by side. A node is a character; edges are sorted by node, with their chance there.
 
-    The backward pass sums the weights of all ways to the end of the pre-token, for all of them at once by distance from the end.
+    Nodes lie by their distance from the end of their pre-token, and those of one distance by pre-token, longest first. The backward pass, which sums
+    the weights of all ways to the end, thus takes the nodes of each distance, and their edges, as one stretch. ``end`` stands for the end of all pre-tokens.
     """
 
     def __init__(self, tokens: list[str], pieces: Pieces, theta: float):
-        points = np.frombuffer("".join(tokens).encode("utf-32-le", "surrogatepass"), dtype=np.uint32).astype(_U)
+        points = np.frombuffer("".join(tokens).encode("utf-32-le", "surrogatepass"), dtype=np.uint32).astype(np.int64)
         lengths = np.fromiter(map(len, tokens), dtype=np.int64, count=len(tokens))
-        self.start = np.r_[0, np.cumsum(lengths)][:-1]
-        self.stop = np.repeat(self.start + lengths, lengths)
-        n, at = len(points), np.arange(len(points))
-        begin, hashed, found = at, np.zeros(n, dtype=_U), []
-        lone = np.ones(n, dtype=bool)
+        by_length = np.argsort(-lengths, kind="stable")
+        most = int(lengths.max()) if len(lengths) else 0
+        wide = np.searchsorted(-lengths[by_length], -np.arange(1, most + 1), side="right")
+        offset = np.r_[0, np.cumsum(wide)]
+        n = self.end = len(points)
+        self.start = np.empty(len(tokens), dtype=np.int64)
+        self.start[by_length] = offset[lengths[by_length] - 1] + np.arange(len(tokens))
+        left = np.repeat(np.arange(1, most + 1), wide)
+        rank = np.arange(n) - offset[left - 1]
+        points = points[np.cumsum(lengths)[by_length][rank] - left]
+        #: The node of the next character.
+        after = np.where(left > 1, np.arange(n) - np.r_[0, wide][left - 1], n)
+        del left, rank
+        begin, cur, state, found = np.arange(n), np.arange(n), np.zeros(n, dtype=np.int64), []
+        lone, counts = np.ones(n, dtype=bool), np.zeros(n, dtype=np.int64)
         for size in range(1, pieces.longest + 1):
-            hashed = mixed(hashed * _BASE + points[begin + size - 1] + _U(1))
-            place, alive = pieces.places(hashed)
-            begin, hashed, place = begin[alive], hashed[alive], place[alive]
-            whole = pieces.piece[place] >= 0
-            found.append((size, begin[whole], pieces.piece[place[whole]], theta * pieces.weight[place[whole]]))
+            place, alive = pieces.places(state, points[cur])
+            begin, place, cur = begin[alive], place[alive], after[cur[alive]]
+            whole = pieces.whole[place]
+            found.append((begin[whole], cur[whole], place[whole]))
+            counts[found[-1][0]] += 1
             if size == 1:
-                lone[begin[whole]] = False
-            more = begin + size < self.stop[begin]
-            begin, hashed = begin[more], hashed[more]
+                lone[found[-1][0]] = False
+            more = cur < n
+            begin, cur, state = begin[more], cur[more], place[more] + 1
         # Characters that are no piece become their UTF-8 bytes: one edge, told by a piece below zero.
         bare = np.flatnonzero(lone)
         p = points[bare]
         width = 1 + (p > 0x7F) + (p > 0x7FF) + (p > 0xFFFF)
-        found.append((1, bare, -1 - p.astype(np.int64), theta * width * pieces.byte_weight))
+        counts[bare] += 1
         # A node has at most one edge of each kind, so edges go to their places without a sort: long pieces, mostly the likely ones, first.
-        counts = np.zeros(n, dtype=np.int64)
-        for _, begin, _, _ in found:
-            counts[begin] += 1
         self.first = np.r_[0, np.cumsum(counts)]
-        node, free = np.repeat(at, counts), self.first[:-1].copy()
-        self.to, self.piece, weight = node.copy(), np.empty(len(node), dtype=np.int64), np.empty(len(node))
-        for size, begin, piece, gain in reversed(found):
+        free = self.first[:-1].copy()
+        spots, free[bare] = free[bare], free[bare] + 1
+        self.to, places = np.empty(self.first[-1], dtype=np.int32), np.zeros(self.first[-1], dtype=np.int32)
+        self.to[spots] = after[bare]
+        for begin, to, place in reversed(found):
             spot = free[begin]
-            self.to[spot] += size
-            self.piece[spot], weight[spot] = piece, gain
-            free[begin] += 1
-        self.node = node
-
-        left = self.stop - at
-        by_left = np.argsort(left, kind="stable")
+            self.to[spot], places[spot] = to, place
+            free[begin] = spot + 1
+        del found, begin, cur, state, place, after
+        self.piece, self.log = pieces.piece[places], theta * pieces.weight[places]
+        self.piece[spots], self.log[spots] = -1 - p, theta * width * pieces.byte_weight
+        #: The chances of a node's edges summed up to each; over 1 at its last.
+        self.ladder = np.empty(len(self.to))
         beta = np.zeros(n + 1)
-        ends = self.to == self.stop[node]
-        bounds = np.searchsorted(left[by_left], np.arange(1, (left.max() if n else 0) + 2))
-        for lo, hi in zip(bounds[:-1], bounds[1:], strict=True):
-            nodes = by_left[lo:hi]
-            if not len(nodes):
-                continue
-            c = counts[nodes]
-            offset = np.r_[0, np.cumsum(c)][:-1]
-            edges = np.repeat(self.first[nodes] - offset, c) + np.arange(c.sum())
-            value = weight[edges] + np.where(ends[edges], 0.0, beta[self.to[edges]])
-            top = np.maximum.reduceat(value, offset)
-            beta[nodes] = top + np.log(np.add.reduceat(np.exp(value - np.repeat(top, c)), offset))
-        self.log = weight + np.where(ends, 0.0, beta[self.to]) - beta[node]
+        for a, b in zip(offset[:-1].tolist(), offset[1:].tolist(), strict=True):
+            c = counts[a:b]
+            lo, hi = self.first[a], self.first[b]
+            starts = self.first[a:b] - lo
+            value = self.log[lo:hi] + beta[self.to[lo:hi]]
+            top = np.maximum.reduceat(value, starts)
+            chance = np.exp(value - np.repeat(top, c))
+            total = np.add.reduceat(chance, starts)
+            beta[a:b] = top + np.log(total)
+            self.log[lo:hi] = value - np.repeat(beta[a:b], c)
+            chance /= np.repeat(total, c)
+            total = np.cumsum(chance)
+            self.ladder[lo:hi] = total - np.repeat((total - chance)[starts], c)
+        self.ladder[self.first[1:] - 1] = 2.0
         #: Edges that are the only one of their node.
-        self.lone = (counts == 1)[node]
-        chance = np.exp(self.log)
-        total = np.cumsum(chance)
-        before = np.r_[0.0, total][self.first[:-1]]
-        share = total - before[node]
-        share[self.first[1:] - 1] = 1.0
-        self.ladder = node + np.minimum(share, 1.0)
+        self.lone = np.repeat(counts == 1, counts)
+
+    def edges(self, edge: int) -> range:
+        """All edges of the node of an edge."""
+        node = int(np.searchsorted(self.first, edge, side="right"))
+        return range(int(self.first[node - 1]), int(self.first[node]))
 
     def pick(self, node: np.ndarray, u: np.ndarray) -> np.ndarray:
         """The edge of each node whose stretch of chance holds the number u; few are passed over, as the likely ones come first."""
-        wanted, edge = node + u, self.first[node]
-        more = np.flatnonzero((self.ladder[edge] <= wanted) & (edge < self.first[node + 1] - 1))
+        edge = self.first[node]
+        more = np.flatnonzero(self.ladder[edge] <= u)
         while len(more):
             edge[more] += 1
-            more = more[(self.ladder[edge[more]] <= wanted[more]) & (edge[more] < self.first[node[more] + 1] - 1)]
+            more = more[self.ladder[edge[more]] <= u[more]]
         return edge
 
 
 def uniform(seed: np.ndarray | np.uint64, *counters) -> np.ndarray:
     """Numbers between 0 and 1 that depend on their seed and counters only."""
-    h = np.atleast_1d(np.asarray(seed, dtype=_U))
+    return _uniform(_counted(np.atleast_1d(np.asarray(seed, dtype=_U)), *counters))
+
+
+def _counted(h: np.ndarray, *counters) -> np.ndarray:
     for c in counters:
         h = h * _BASE + (_U(c + 1) if isinstance(c, int) else c.astype(_U) + _U(1))
+    return h
+
+
+def _uniform(h: np.ndarray) -> np.ndarray:
     return ((mixed(h) >> _U(11)).astype(np.float64) + 0.5) / (1 << 53)
 
 
 def _walk(lattices: Lattices, token: np.ndarray, seed: np.ndarray, place: np.ndarray, sample: int) -> tuple[np.ndarray, np.ndarray]:
     """One path through every pre-token, drawn edge by edge for all of them together: the edges, and where each pre-token's begin."""
-    occ, node, step, drawn = np.arange(len(token)), lattices.start[token], 0, []
+    occ, node, step, drawn, h = np.arange(len(token)), lattices.start[token], 0, [], _counted(seed, sample, place)
     while len(occ):
-        edge = lattices.pick(node, uniform(seed[occ], sample, place[occ], step))
+        edge = lattices.pick(node, _uniform(_counted(h, step)))
         drawn.append((occ, edge))
         node = lattices.to[edge]
-        more = node < lattices.stop[lattices.node[edge]]
-        occ, node, step = occ[more], node[more], step + 1
+        more = node < lattices.end
+        occ, node, step, h = occ[more], node[more], step + 1, h[more]
     counts = np.bincount(np.concatenate([o for o, _ in drawn]), minlength=len(token)) if drawn else np.zeros(0, np.int64)
     starts = np.r_[0, np.cumsum(counts)]
     path = np.empty(starts[-1], dtype=np.int64)
@@ -205,13 +228,12 @@ def _branches(lattices: Lattices, paths: list[np.ndarray], since: np.ndarray, ta
     """
     out: list[list[Entry]] = [[] for _ in paths]
     length = np.fromiter(map(len, paths), dtype=np.int64, count=len(paths))
-    start = np.r_[0, np.cumsum(length)][:-1]
-    flat = np.concatenate(paths)
     rows, width = np.arange(len(paths)), min(WIDTH, int(length.max()))
     while len(rows):
         spots = np.arange(width)
         there = spots < length[rows, None]
-        edge = flat[np.where(there, start[rows, None] + spots, 0)]
+        edge = np.zeros(there.shape, dtype=np.int64)
+        edge[there] = np.concatenate([paths[i][:width] for i in rows.tolist()])
         log = np.where(there, lattices.log[edge], 0.0)
         before = np.zeros((len(rows), width + 1))
         np.cumsum(log, axis=1, out=before[:, 1:])
@@ -224,18 +246,20 @@ def _branches(lattices: Lattices, paths: list[np.ndarray], since: np.ndarray, ta
             i = rows[r]
             if taken[i]:
                 used = (*taken[i], int(paths[i][since[i]]))
-                node = lattices.node[used[-1]]
-                open_edges = [e for e in range(lattices.first[node], lattices.first[node + 1]) if e not in used]
+                open_edges = [e for e in lattices.edges(used[-1]) if e not in used]
                 free[r, since[i]] = np.exp(lattices.log[open_edges]).sum() if open_edges else 0.0
         r, t = np.nonzero(ended[:, None] & (spots >= since[rows, None]) & (spots < last[:, None]) & (free > 0))
         owner = rows[r]
         values = _below(before[r, t] + np.log(free[r, t]), value[owner], uniform(seed[owner], 1 << 40, ticket[owner], t))
-        order = np.lexsort((-values, owner))
-        owner, t, values = owner[order], t[order], values[order]
-        rank = np.arange(len(owner)) - np.searchsorted(owner, owner)
-        top = rank <= k
-        for i, spot, v in zip(owner[top].tolist(), t[top].tolist(), values[top].tolist(), strict=True):
-            out[i].append((-v, (int(ticket[i]) << 32) + spot, (paths[i], spot, taken[i] if spot == since[i] else ())))
+        best = np.full(there.shape, -np.inf)
+        best[r, t] = values
+        for _ in range(min(k + 1, width)):
+            t = best.argmax(axis=1)
+            values = best[np.arange(len(rows)), t]
+            for r in np.flatnonzero(values > -np.inf).tolist():
+                i, spot = int(rows[r]), int(t[r])
+                out[i].append((-float(values[r]), (int(ticket[i]) << 32) + spot, (paths[i], spot, taken[i] if spot == since[i] else ())))
+            best[np.arange(len(rows)), t] = -np.inf
         rows, width = rows[~ended], 4 * width
     return out
 
@@ -261,26 +285,33 @@ def _best(lattices: Lattices, walks: list[tuple[np.ndarray, np.ndarray]], bounds
             break
         at, drawn = np.array(going), uniform(seeds[going], 1 << 42, j)
         fresh, starts = walks[j]
-        paths, since, taken = [], [], []
-        for i, u in zip(going, drawn, strict=True):
+        popped, edge, taken = [], np.empty(len(going), dtype=np.int64), []
+        for r, (i, u) in enumerate(zip(going, drawn.tolist(), strict=True)):
             minus, _, (path, t, gone) = heapq.heappop(queues[i])
             used = (*gone, int(path[t]))
-            node = lattices.node[path[t]]
-            free = [e for e in range(lattices.first[node], lattices.first[node + 1]) if e not in used]
+            free = [e for e in lattices.edges(used[-1]) if e not in used]
             chance = np.cumsum(np.exp(lattices.log[free]))
-            edge = free[min(int(np.searchsorted(chance, u * chance[-1])), len(free) - 1)]
-            tail, step = [edge], 0
-            while lattices.to[edge] < lattices.stop[node]:
-                edge = int(lattices.pick(lattices.to[edge : edge + 1], uniform(seeds[i], 1 << 43, j, np.array([step])))[0])
-                tail.append(edge)
-                step += 1
-            # The pre-token that the branch lies in, counted by its ends along the path.
-            done = int((lattices.to[path[:t]] == lattices.stop[lattices.node[path[:t]]]).sum())
-            paths.append(np.concatenate([path[:t], tail, fresh[starts[bounds[i, 0] + done + 1] : starts[bounds[i, 1]]]]))
-            since.append(t)
+            edge[r] = free[min(int(np.searchsorted(chance, u * chance[-1])), len(free) - 1)]
+            popped.append((path, t))
             taken.append(used)
             value[i] = -minus
-            out[i].append((-minus, paths[-1]))
+        # The rest of the pre-tokens that the branches lie in, for all texts together.
+        tails, step, rows = [[e] for e in edge.tolist()], 0, np.arange(len(going))
+        while True:
+            node = lattices.to[edge]
+            rows, node = rows[node < lattices.end], node[node < lattices.end]
+            if not len(rows):
+                break
+            edge = lattices.pick(node, uniform(seeds[at[rows]], 1 << 43, j, step))
+            for r, e in zip(rows.tolist(), edge.tolist(), strict=True):
+                tails[r].append(e)
+            step += 1
+        paths, since = [], [t for _, t in popped]
+        for i, (path, t), tail in zip(going, popped, tails, strict=True):
+            # The pre-token that the branch lies in, counted by its ends along the path.
+            done = int((lattices.to[path[:t]] == lattices.end).sum())
+            paths.append(np.concatenate([path[:t], tail, fresh[starts[bounds[i, 0] + done + 1] : starts[bounds[i, 1]]]]))
+            out[i].append((float(value[i]), paths[-1]))
         tickets = ticket[at]
         entered = _branches(lattices, paths, np.array(since), taken, value[at], seeds[at], tickets, k)
         ticket[at] = tickets
@@ -365,21 +396,25 @@ def encode_samples(docs: DataFrame, model_path: str, k: int = 2, theta: float =
         model = spark.sparkContext.broadcast(file.read())
     columns = ["id", "sample", "n_tokens", "log_prob", "gumbel", "log_inclusion", "ids", "ids_crc32", "same_text", "decoded_crc32"]
 
+    def rows_of(batch: pd.DataFrame, pieces: Pieces) -> pd.DataFrame:
+        texts = batch["text"].tolist()
+        keys = batch["key"].tolist()
+        found = [best for part in portions(texts) for best in sampled(texts[part], keys[part], pieces, k, theta, seed)]
+        owners = batch["id"].astype("Int64").where(batch["there"])
+        rows = []
+        for ident, body, best in zip(owners, texts, found, strict=True):
+            plain = (body or "").replace(SPACE, " ").encode("utf-8", "surrogatepass")
+            for j, (ids, log, value, inside) in enumerate(best, 1):
+                back = spelled(ids, pieces)
+                told = back if back == plain else back.decode("utf-8", "replace").encode()
+                rows.append((ident, j, len(ids), log, value, inside, ids, zlib.crc32(ids.tobytes()), told == plain, zlib.crc32(told)))
+        return pd.DataFrame(rows, columns=columns).astype({"id": "Int64"})
+
     def drawn(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         pieces = _pieces(model.value)
         for batch in batches:
-            texts = batch["text"].tolist()
-            keys = batch["key"].tolist()
-            found = [best for part in portions(texts) for best in sampled(texts[part], keys[part], pieces, k, theta, seed)]
-            owners = batch["id"].astype("Int64").where(batch["there"])
-            rows = []
-            for ident, body, best in zip(owners, texts, found, strict=True):
-                plain = (body or "").replace(SPACE, " ").encode("utf-8", "surrogatepass")
-                for j, (ids, log, value, inside) in enumerate(best, 1):
-                    back = spelled(ids, pieces)
-                    told = back if back == plain else back.decode("utf-8", "replace").encode()
-                    rows.append((ident, j, len(ids), log, value, inside, ids, zlib.crc32(ids.tobytes()), told == plain, zlib.crc32(told)))
-            yield pd.DataFrame(rows, columns=columns).astype({"id": "Int64"})
+            yield rows_of(batch, pieces)
+        give_back()
 
     rows = docs.select(*id_parts(id_col), F.coalesce(F.col(id_col).cast("string"), F.lit("")).alias("key"), F.col(text).alias("text"))
     out = rows.mapInPandas(drawn, "id long, sample int, n_tokens long, log_prob double, gumbel double, log_inclusion double, ids array<int>, ids_crc32 long, same_text boolean, decoded_crc32 long")

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from lodestrata.llm import language_id, quality, segmentations, suffix_tree, token_counts
 from lodestrata.llm.queries import QUERIES
+from lodestrata.llm.shared import give_back
 
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
 ODD = ["", " ", "  ", "a  b", "   a   b  ", "a\n\n\tb", "▁a▁ ▁", "日本語の 文章", "x" * 2000, " " * 100 + "a", " " * 700 + "b", "<s>hi</s> <0x0A>", "é" * 600, "\x00🎉 𝒳", "ab" * 400]
@@ -300,6 +301,34 @@ def test_segmentations_follow_their_distribution():
         assert abs(first[way] / n - prob[way]) < 0.03 and abs(second[way] / n - again) < 0.03 and abs(weighed[way] / n - prob[way]) < 0.03
 
 
+def test_branches_of_many_texts_are_drawn_together(monkeypatch):
+    with open(MODEL, "rb") as file:
+        pieces = segmentations.Pieces(file.read())
+    calls = []
+    pick = segmentations.Lattices.pick
+    monkeypatch.setattr(segmentations.Lattices, "pick", lambda self, *a: calls.append(1) or pick(self, *a))
+    texts = [f"the cat sat on mat {i} and saw überraschungen 日本語 there" for i in range(200)]
+    many = segmentations.sampled(texts, [str(i) for i in range(200)], pieces, 2, 0.5, 7)
+    assert len(calls) < 100  # steps along a word, not texts
+    assert all(segmentations.decoded(ids, pieces) == text for text, best in zip(texts, many, strict=True) for ids, *_ in best)
+    for i in (0, 71, 199):
+        alone = segmentations.sampled([texts[i]], [str(i)], pieces, 2, 0.5, 7)[0]
+        assert all((a[0] == b[0]).all() and a[1:] == b[1:] for a, b in zip(alone, many[i], strict=True))
+
+
+def test_workers_give_back_what_a_task_has_freed():
+    def held() -> int:
+        with open("/proc/self/statm") as file:
+            return int(file.read().split()[1]) * 4096 >> 20
+
+    blocks = [bytearray(50_000) for _ in range(6_000)]
+    kept = blocks[::1000]
+    most = held()
+    del blocks
+    give_back()
+    assert held() < most - 200 and len(kept) == 6
+
+
 def test_segmentations_of_hard_rows(spark, hard, empty):
     drawn = segmentations.encode_samples(hard, MODEL, k=3)
     got = drawn.collect()
