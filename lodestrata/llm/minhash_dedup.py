@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from lodestrata.llm.components import components
 from lodestrata.llm.filters import maybe_in
-from lodestrata.llm.shared import id_parts, one_row, ship, stored
+from lodestrata.llm.shared import give_back, id_parts, one_row, ship, stored
 from lodestrata.llm.words import WordHashes, chained, shingles
 
 BANDS, ROWS = 32, 6
@@ -137,6 +137,7 @@ def near_groups(docs: DataFrame, size: int = 5, percent: int = 80, bands: int =
                 out.append((ident, len(own), key, sig.astype(np.uint16).tobytes(), buckets.tolist()))
             yield pd.DataFrame(out, columns=["id", "n", "key", "sig", "buckets"]).astype({"id": "Int64"})
         _KEPT.clear()
+        give_back()
 
     sets = stored(docs.select(*id_parts(id_col), F.col(text).alias("text")).mapInPandas(signed, "id long, n long, key binary, sig binary, buckets array<long>"), "near-sets")
     # Only keys that occur twice are grouped with their signatures; the filter tells the others without a shuffle.

@@ -13,7 +13,7 @@ from conftest import rows
 from llm_tables import empty, hard, table  # noqa: F401 - fixtures
 from pyspark.sql import functions as F
 
-from lodestrata.llm import language_id, quality, segmentations, suffix_tree, token_counts
+from lodestrata.llm import language_id, minhash_dedup, quality, segmentations, suffix_tree, token_counts
 from lodestrata.llm.queries import QUERIES
 from lodestrata.llm.shared import give_back
 
@@ -329,6 +329,24 @@ def test_workers_give_back_what_a_task_has_freed():
     assert held() < most - 200 and len(kept) == 6
 
 
+@pytest.mark.parametrize("module", [suffix_tree, minhash_dedup, segmentations])
+def test_tasks_give_back_what_they_have_freed(spark, hard, monkeypatch, tmp_path, module):
+    def marked():
+        import uuid
+
+        open(f"{tmp_path}/{uuid.uuid4().hex}", "w").close()
+
+    monkeypatch.setattr(module, "give_back", marked)
+    runs = {
+        suffix_tree: lambda: suffix_tree.fit(hard, depth=2),
+        minhash_dedup: lambda: minhash_dedup.near_groups(hard).collect(),
+        segmentations: lambda: segmentations.encode_samples(hard, MODEL).collect(),
+    }
+    runs[module]()
+    # The tree counts words and pairs besides coding the texts, each in two steps.
+    assert len(list(tmp_path.iterdir())) >= (5 if module is suffix_tree else 1)
+
+
 def test_segmentations_of_hard_rows(spark, hard, empty):
     drawn = segmentations.encode_samples(hard, MODEL, k=3)
     got = drawn.collect()
