@@ -4,8 +4,10 @@ import math
 import random
 import re
 from collections import Counter, defaultdict
+from types import SimpleNamespace
 
 import numpy as np
+import pandas as pd
 import public_tokenizers
 import pytest
 import sentencepiece
@@ -264,6 +266,25 @@ def test_suffix_tree_grows_while_contexts_gain(table, monkeypatch, local, reach)
         assert all(abs(got[i] - s) < 1e-6 for i, s in enumerate(want)), depth
 
 
+def test_suffix_tree_deals_only_places_of_living_contexts():
+    """The filter of all lengths fills up; places are told by that of the last length alone."""
+    codes = suffix_tree._tokens(["a b c d a b c e", "a b x y"])
+    full, last = np.full(1 << 10, ~np.uint64(0)), np.zeros(1 << 10, np.uint64)
+    living = suffix_tree.pair_key(codes[2:3], codes[1:2])
+    for place in (int(living.view(np.uint64)[0]) & 0xFFFF, (int(living.view(np.uint64)[0]) >> 31) & 0xFFFF):
+        last[place >> 6] |= np.uint64(1 << (place & 63))
+    ctx, gram, before = suffix_tree._place_entries(2, 1, SimpleNamespace(value=(full, last)))(codes)
+    assert len(ctx) == 3 and (ctx == living[0]).all() and len(set(gram.tolist())) == 2
+    parent, near, far = suffix_tree._level_entries(3, SimpleNamespace(value=(full, last)))(codes)
+    assert (near[parent == 0] == living[0]).all() and not (parent != 0).any()
+
+
+def test_suffix_tree_filter_holds_its_keys(spark):
+    keys = np.random.default_rng(1).integers(-(1 << 62), 1 << 62, 5000)
+    bits = suffix_tree._filter(spark.createDataFrame(pd.DataFrame({"key": keys[:4000]})))
+    assert suffix_tree.in_filter(bits, keys[:4000]).all() and not suffix_tree.in_filter(bits, keys[4000:]).any()
+
+
 def test_suffix_tree_without_rows(hard, empty):
     tree = suffix_tree.fit(empty)
     got = suffix_tree.score(hard, tree)
