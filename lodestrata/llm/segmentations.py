@@ -7,7 +7,7 @@ import zlib
 from collections import defaultdict
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain
+from itertools import chain, islice
 
 import numpy as np
 import pandas as pd
@@ -25,6 +25,10 @@ THETA = 0.5
 DEEP = 60.0
 #: Tokens of a path that are looked at first; most paths are that deep, and those that are not yet get a wider array.
 WIDTH = 384
+#: Pre-tokens whose lattices are made at a time, in arrays that stay in a processor's cache.
+CHUNK = 4_000
+#: Edges of lattices that a task keeps for later texts, and edges for which it has room, those of a portion included.
+KEPT, ROOM = 2_000_000, 3_500_000
 _U = np.uint64
 _BASE = _U(0x9E3779B97F4A7C15)
 
@@ -75,6 +79,8 @@ class Pieces:
             place[beginning], self.keys[at], self.piece[at], self.weight[at] = at, key, p, weight.get(p, -np.inf)
         self.whole = self.piece >= 0
         self.longest = max(len(p) for _, p, _ in pieces)
+        #: For each theta the pre-tokens whose lattices are kept, with their numbers, the lattices, and arrays that begin with these.
+        self.kept: dict[float, tuple[dict[str, int], Lattices, dict[str, np.ndarray]]] = {}
 
     def places(self, state: np.ndarray, points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Places in the table of beginnings made longer by a character, and which are there; ``state``: the place of the beginning plus 1, or 0 for none."""
@@ -98,6 +104,8 @@ class Lattices:
     the weights of all ways to the end, thus takes the nodes of each distance, and their edges, as one stretch. ``end`` stands for the end of all pre-tokens.
     """
 
+    end = int(np.iinfo(np.int32).max)
+
     def __init__(self, tokens: list[str], pieces: Pieces, theta: float):
         points = np.frombuffer("".join(tokens).encode("utf-32-le", "surrogatepass"), dtype=np.uint32).astype(np.int64)
         lengths = np.fromiter(map(len, tokens), dtype=np.int64, count=len(tokens))
@@ -105,27 +113,29 @@ class Lattices:
         most = int(lengths.max()) if len(lengths) else 0
         wide = np.searchsorted(-lengths[by_length], -np.arange(1, most + 1), side="right")
         offset = np.r_[0, np.cumsum(wide)]
-        n = self.end = len(points)
+        n = len(points)
+        every = np.arange(n)
         self.start = np.empty(len(tokens), dtype=np.int64)
         self.start[by_length] = offset[lengths[by_length] - 1] + np.arange(len(tokens))
         left = np.repeat(np.arange(1, most + 1), wide)
-        rank = np.arange(n) - offset[left - 1]
+        rank = every - offset[left - 1]
         points = points[np.cumsum(lengths)[by_length][rank] - left]
         #: The node of the next character.
-        after = np.where(left > 1, np.arange(n) - np.r_[0, wide][left - 1], n)
+        after = np.where(left > 1, every - np.r_[0, wide][left - 1], n)
         del left, rank
-        begin, cur, state, found = np.arange(n), np.arange(n), np.zeros(n, dtype=np.int64), []
+        begin, cur, state, found = every, every, np.zeros(n, dtype=np.int64), []
         lone, counts = np.ones(n, dtype=bool), np.zeros(n, dtype=np.int64)
         for size in range(1, pieces.longest + 1):
-            place, alive = pieces.places(state, points[cur])
-            begin, place, cur = begin[alive], place[alive], after[cur[alive]]
-            whole = pieces.whole[place]
-            found.append((begin[whole], cur[whole], place[whole]))
+            place, alive = pieces.places(state, points.take(cur))
+            some = np.flatnonzero(alive)
+            begin, place, cur = begin.take(some), place.take(some), after.take(cur.take(some))
+            some = np.flatnonzero(pieces.whole.take(place))
+            found.append((begin.take(some), cur.take(some), place.take(some)))
             counts[found[-1][0]] += 1
             if size == 1:
                 lone[found[-1][0]] = False
-            more = cur < n
-            begin, cur, state = begin[more], cur[more], place[more] + 1
+            some = np.flatnonzero(cur < n)
+            begin, cur, state = begin.take(some), cur.take(some), place.take(some) + 1
         # Characters that are no piece become their UTF-8 bytes: one edge, told by a piece below zero.
         bare = np.flatnonzero(lone)
         p = points[bare]
@@ -138,31 +148,68 @@ class Lattices:
         self.to, places = np.empty(self.first[-1], dtype=np.int32), np.zeros(self.first[-1], dtype=np.int32)
         self.to[spots] = after[bare]
         for begin, to, place in reversed(found):
-            spot = free[begin]
+            spot = free.take(begin)
             self.to[spot], places[spot] = to, place
             free[begin] = spot + 1
         del found, begin, cur, state, place, after
-        self.piece, self.log = pieces.piece[places], theta * pieces.weight[places]
+        self.piece, self.log = pieces.piece.take(places), theta * pieces.weight.take(places)
         self.piece[spots], self.log[spots] = -1 - p, theta * width * pieces.byte_weight
         #: The chances of a node's edges summed up to each; over 1 at its last.
         self.ladder = np.empty(len(self.to))
-        beta = np.zeros(n + 1)
+        beta, owner = np.zeros(n + 1), np.repeat(every, counts)
         for a, b in zip(offset[:-1].tolist(), offset[1:].tolist(), strict=True):
-            c = counts[a:b]
             lo, hi = self.first[a], self.first[b]
-            starts = self.first[a:b] - lo
-            value = self.log[lo:hi] + beta[self.to[lo:hi]]
+            starts, own = self.first[a:b] - lo, owner[lo:hi] - a
+            value = self.log[lo:hi] + beta.take(self.to[lo:hi])
             top = np.maximum.reduceat(value, starts)
-            chance = np.exp(value - np.repeat(top, c))
+            chance = np.exp(value - top.take(own))
             total = np.add.reduceat(chance, starts)
             beta[a:b] = top + np.log(total)
-            self.log[lo:hi] = value - np.repeat(beta[a:b], c)
-            chance /= np.repeat(total, c)
+            np.subtract(value, beta[a:b].take(own), out=self.log[lo:hi])
+            chance /= total.take(own)
             total = np.cumsum(chance)
-            self.ladder[lo:hi] = total - np.repeat((total - chance)[starts], c)
+            np.subtract(total, (total.take(starts) - chance.take(starts)).take(own), out=self.ladder[lo:hi])
         self.ladder[self.first[1:] - 1] = 2.0
         #: Edges that are the only one of their node.
-        self.lone = np.repeat(counts == 1, counts)
+        self.lone = (counts == 1).take(owner)
+        self.to[self.to == n] = self.end
+
+    @classmethod
+    def of(cls, tokens: list[str], pieces: Pieces, theta: float, kept: Lattices | None = None, room: dict[str, np.ndarray] | None = None) -> Lattices:
+        """Lattices of any number of pre-tokens, made CHUNK by CHUNK and put side by side, behind those of the pre-tokens that are ``kept``.
+
+        ``room``: arrays that begin with those of ``kept``. What fits is put there, and written over when they are given again.
+        """
+        parts = [cls(tokens[i : i + CHUNK], pieces, theta) for i in range(0, len(tokens), CHUNK)]
+        if kept is not None:
+            parts.insert(0, kept)
+        nodes = edges = 0
+        for p in parts:
+            if p is not kept:
+                p.start += nodes
+                p.to[p.to != cls.end] += nodes
+                p.first += edges
+            nodes, edges = nodes + len(p.first) - 1, edges + len(p.to)
+        out = object.__new__(cls)
+        out.start = np.concatenate([p.start for p in parts])
+        for name in ("first", "to", "piece", "log", "ladder", "lone"):
+            own = [getattr(p, name) for p in parts]
+            if name == "first":
+                own[:-1] = [first[:-1] for first in own[:-1]]
+            if room is None or edges >= ROOM:
+                setattr(out, name, np.concatenate(own))
+                continue
+            if name not in room:
+                room[name] = np.empty(ROOM, dtype=own[0].dtype)
+                at = 0
+            else:
+                at = len(own.pop(0))
+            whole = room[name]
+            for x in own:
+                whole[at : at + len(x)] = x
+                at += len(x)
+            setattr(out, name, whole[:at])
+        return out
 
     def edges(self, edge: int) -> range:
         """All edges of the node of an edge."""
@@ -350,6 +397,24 @@ def decoded(ids: np.ndarray, pieces: Pieces) -> str:
     return spelled(np.asarray(ids, dtype=np.int64), pieces).decode("utf-8", "replace")
 
 
+def _lattices(cut: list[list[str]], size: int, pieces: Pieces, theta: float) -> tuple[np.ndarray, Lattices]:
+    """Number of each of ``size`` pre-tokens among the distinct ones, and the lattices of these.
+
+    Half of the distinct pre-tokens of a portion, the frequent ones, came before in a few others; their lattices are kept, up to KEPT edges.
+    """
+    words, kept, room = pieces.kept.get(theta, ({}, None, {}))
+    distinct: defaultdict[str, int] = defaultdict(None, words)
+    distinct.default_factory = distinct.__len__
+    token = np.fromiter(map(distinct.__getitem__, chain.from_iterable(cut)), dtype=np.int64, count=size)
+    fresh = [w if w[0] == SPACE else SPACE + w for w in islice(distinct, len(words), None)]
+    if not fresh:
+        return token, kept
+    lattices = Lattices.of(fresh, pieces, theta, kept, room)
+    if len(lattices.to) <= KEPT:
+        pieces.kept[theta] = dict(distinct), lattices, room
+    return token, lattices
+
+
 def sampled(texts: list[str | None], keys: list[str], pieces: Pieces, k: int, theta: float, seed: int) -> list[list[tuple]]:
     """For each text its k sampled segmentations: (ids, log probability, perturbed value, log of the chance of inclusion)."""
     cut = [pre_tokens(t or "") for t in texts]
@@ -357,10 +422,7 @@ def sampled(texts: list[str | None], keys: list[str], pieces: Pieces, k: int, th
     bounds = np.r_[0, np.cumsum([len(words) for words in cut])].astype(np.int64)
     if not bounds[-1]:
         return [[(np.zeros(0, np.int32), 0.0, 0.0, 0.0)] for _ in texts]
-    distinct: defaultdict[str, int] = defaultdict()
-    distinct.default_factory = distinct.__len__
-    token = np.fromiter(map(distinct.__getitem__, chain.from_iterable(cut)), dtype=np.int64, count=bounds[-1])
-    lattices = Lattices([w if w[0] == SPACE else SPACE + w for w in distinct], pieces, theta)
+    token, lattices = _lattices(cut, int(bounds[-1]), pieces, theta)
     row = np.repeat(np.arange(len(texts)), np.diff(bounds))
     place = np.arange(len(token)) - bounds[row]
     walks = [_walk(lattices, token, seeds[row], place, j) for j in range(k)]
@@ -414,6 +476,7 @@ def encode_samples(docs: DataFrame, model_path: str, k: int = 2, theta: float =
         pieces = _pieces(model.value)
         for batch in batches:
             yield rows_of(batch, pieces)
+        pieces.kept.clear()
         give_back()
 
     rows = docs.select(*id_parts(id_col), F.coalesce(F.col(id_col).cast("string"), F.lit("")).alias("key"), F.col(text).alias("text"))

@@ -266,6 +266,26 @@ def test_suffix_tree_grows_while_contexts_gain(table, monkeypatch, local, reach)
         assert all(abs(got[i] - s) < 1e-6 for i, s in enumerate(want)), depth
 
 
+@pytest.mark.parametrize(("kept", "room", "chunk"), [(10**6, 10**6, 4000), (2000, 10**6, 7), (2000, 3000, 50), (0, 1, 4000)])
+def test_lattices_of_words_met_before_are_kept(monkeypatch, kept, room, chunk):
+    """Up to a limit no lattice is made twice; what is drawn does not depend on what was met before, on the limits or on the room."""
+    with open(MODEL, "rb") as file:
+        pieces = segmentations.Pieces(file.read())
+    texts, keys, asked = random_texts(60) + ODD, [str(i) for i in range(60 + len(ODD))], []
+    want = segmentations.sampled(texts, keys, pieces, 3, 0.5, 7)
+    for name, value in (("KEPT", kept), ("ROOM", room), ("CHUNK", chunk)):
+        monkeypatch.setattr(segmentations, name, value)
+    make = segmentations.Lattices.__init__
+    monkeypatch.setattr(segmentations.Lattices, "__init__", lambda self, tokens, *a: asked.extend(tokens) or make(self, tokens, *a))
+    pieces.kept.clear()
+    got = [best for a in range(0, len(texts), 5) for best in segmentations.sampled(texts[a : a + 5], keys[a : a + 5], pieces, 3, 0.5, 7)]
+    for one, other in zip(want, got, strict=True):
+        assert [(x[0].tolist(), *x[1:]) for x in one] == [(x[0].tolist(), *x[1:]) for x in other]
+    made = len(asked)
+    segmentations.sampled(texts, keys, pieces, 3, 0.5, 7)
+    assert (len(asked) == made) == (kept == 10**6)
+
+
 def test_suffix_tree_deals_only_places_of_living_contexts():
     """The filter of all lengths fills up; places are told by that of the last length alone."""
     codes = suffix_tree._tokens(["a b c d a b c e", "a b x y"])
