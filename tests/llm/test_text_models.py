@@ -286,6 +286,32 @@ def test_lattices_of_words_met_before_are_kept(monkeypatch, kept, room, chunk):
     assert (len(asked) == made) == (kept == 10**6)
 
 
+def test_suffix_tree_of_large_contexts_and_packed_scores(table, monkeypatch):
+    """Contexts too large for one task are tested by joins, with the same result; scoring joins no row of an n-gram."""
+    rnd = random.Random(5)
+    train = [" ".join(f"{x} m n {x}{x}" for x in rnd.choices("abcdef", k=8)) for _ in range(30)]
+    held = ["a m n aa", "z m n bb q q q q q q", ""]
+    held_table = table([(i, t, None, None) for i, t in enumerate(held)])
+    want, _ = deep_tree_score(train, held, 3)
+    monkeypatch.setattr(suffix_tree, "HOT", 60)
+    monkeypatch.setattr(suffix_tree, "HEAD", 5)
+    monkeypatch.setattr(suffix_tree, "TOP", 3)
+    monkeypatch.setattr(suffix_tree, "OFTEN", 4)
+    tree = suffix_tree.fit(table([(i, t, None, None) for i, t in enumerate(train)]), depth=3)
+    got = {r.doc_id: r.score for r in suffix_tree.score(held_table, tree).collect()}
+    assert all(abs(got[i] - s) < 1e-6 for i, s in enumerate(want))
+    plan = suffix_tree._scored(held_table, tree, "doc_id", "text")._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan and "CoGroup" in plan
+
+
+def test_suffix_tree_buckets_follow_hashes():
+    hashes = np.sort(np.random.default_rng(2).integers(0, 1 << 63, 5000, dtype=np.uint64) << np.uint64(1))
+    buckets = suffix_tree._bucket(hashes, 37)
+    assert (np.diff(buckets) >= 0).all() and set(buckets.tolist()) == set(range(37))
+    names, blobs = suffix_tree._split(buckets[::-1], [hashes[::-1].view(np.int64)])
+    assert names.tolist() == list(range(37)) and sorted(suffix_tree._unpacked(blobs, 1)[0].tolist()) == sorted(hashes.view(np.int64).tolist())
+
+
 def test_suffix_tree_deals_only_places_of_living_contexts():
     """The filter of all lengths fills up; places are told by that of the last length alone."""
     codes = suffix_tree._tokens(["a b c d a b c e", "a b x y"])
