@@ -297,6 +297,7 @@ def test_suffix_tree_of_large_contexts_and_packed_scores(table, monkeypatch):
     monkeypatch.setattr(suffix_tree, "HEAD", 5)
     monkeypatch.setattr(suffix_tree, "TOP", 3)
     monkeypatch.setattr(suffix_tree, "OFTEN", 4)
+    monkeypatch.setattr(suffix_tree, "MANY", 20)
     tree = suffix_tree.fit(table([(i, t, None, None) for i, t in enumerate(train)]), depth=3)
     got = {r.doc_id: r.score for r in suffix_tree.score(held_table, tree).collect()}
     assert all(abs(got[i] - s) < 1e-6 for i, s in enumerate(want))
