@@ -437,3 +437,29 @@ def test_op8_returns_ids_and_what_decoding_them_gives(spark, hard, tmp_path):
     want = hard.dropDuplicates(["doc_id"]).select(F.col("doc_id").alias("d"), F.crc32(F.coalesce("text", F.lit(""))).alias("crc"))
     met = got.join(want, F.col("doc_id").eqNullSafe(F.col("d")))
     assert met.where("size(ids) <> n_tokens OR decoded_crc32 <> crc").count() == 0 and met.count() == got.count() > 100
+
+
+def test_suffix_tree_orders_keys_by_their_places():
+    rng = np.random.default_rng(5)
+    # Keys that differ in their low bits only, equal ones, negative ones, and as many as take several blocks.
+    for keys in (np.zeros(0, np.int64), rng.integers(-9, 9, 1000), rng.integers(-(1 << 62), 1 << 62, 40_000)):
+        assert (suffix_tree._order(keys) == np.argsort(keys, kind="stable")).all()
+        assert (suffix_tree._order(keys.view(np.uint64)) == np.argsort(keys.view(np.uint64), kind="stable")).all()
+        for got, wanted in zip(suffix_tree._classes(keys), np.unique(keys, return_index=True, return_inverse=True), strict=True):
+            assert (got == wanted).all()
+        whole = suffix_tree.pair_key(keys, keys[::-1])
+        assert [suffix_tree.pair_key(keys[i : i + 1], keys[::-1][i : i + 1])[0] for i in range(0, len(keys), 997)] == whole[::997].tolist()
+
+
+def test_suffix_tree_joins_values_as_arrays(spark):
+    rows = pd.DataFrame({"key": [-7, -8, -7, -9], "n": [3, 2, 5, 90], "value": [0.5, 1.0, 0.25, -1.0]})
+    packed = suffix_tree._packed_values(spark.createDataFrame(rows), ["key", "n", "value"], 2)
+    joined = suffix_tree._joined_values(packed)
+    found = joined.collect()
+    key, base, value = suffix_tree._unpacked([r.blob for r in found], 3)
+    assert dict(zip(key.tolist(), value.view(np.float64).tolist(), strict=True)) == {-7: 0.75, -8: 1.0, -9: -1.0} and not base.any()
+    assert sorted(suffix_tree._unpacked([r.n for r in found], 1)[0].tolist()) == [2, 5, 90]
+    assert {r.key: r.value for r in suffix_tree._most_values(joined, 2).collect()} == {-7: 0.75, -9: -1.0}
+    assert suffix_tree._most_values(joined, 0).count() == 0
+    bits = suffix_tree._filter(joined)
+    assert suffix_tree.in_filter(bits, np.array([-7, -8, -9])).all() and not suffix_tree.in_filter(bits, np.arange(1, 500)).any()
